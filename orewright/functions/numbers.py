@@ -48,9 +48,9 @@ def fix_negative(col: Column, mode: str = "as_coded") -> Column:
 
 
 def stable_round(col: Column, digits: int) -> Column:
-    """Round a computed double, snapped to ten digits first.
+    """Round a computed double, snapped to eight digits first.
 
     Partial sums arrive in any order, so the last bits of a mean differ between runs; the
     snap keeps a value that is a tie in exact arithmetic from falling either way.
     """
-    return F.round(col.cast("decimal(38,10)"), digits).cast("double")
+    return F.round(col.cast("decimal(38,8)"), digits).cast("double")

@@ -128,29 +128,27 @@ def dim_fiscal_periods(periods: DataFrame) -> DataFrame:
 # --- transactions --------------------------------------------------------------------
 
 
-def _dated_headers(headers: DataFrame, periods: DataFrame) -> DataFrame:
-    spans = periods.select(
-        *PERIOD_COLUMNS, "period_start_date", "period_end_date",
-        F.col("is_closed").alias("period_is_closed"),
-    )
-    return assign_period(headers, spans, "posting_date")
-
-
 def gl_transactions(
     lines: DataFrame, headers: DataFrame, accounts: DataFrame, centers: DataFrame, periods: DataFrame
 ) -> DataFrame:
     """One row per entry line with account, cost center and period attributes.
 
     Periods meet the headers, which are fewer than the lines; the one large join is lines
-    to headers; names are attached after it so they are not shuffled.
+    to headers; names are attached after it so they are not shuffled. Both sides of that
+    join grow with the ledger, so it is asked to be a sort-merge join whatever its files
+    look like to the planner.
     """
-    dated = _dated_headers(headers, periods).select(
+    spans = periods.select(
+        *PERIOD_COLUMNS, "period_start_date", "period_end_date",
+        F.col("is_closed").alias("period_is_closed"),
+    )
+    dated = assign_period(headers, spans, "posting_date").select(
         "journal_entry_id", "posting_date", F.col("description").alias("je_description"),
         "source_system", "created_by", F.col("status").alias("je_status"),
         *PERIOD_COLUMNS, "period_is_closed",
     )
     return (
-        lines.join(dated, "journal_entry_id")
+        lines.join(dated.hint("merge"), "journal_entry_id")
         .join(accounts.drop("is_active"), "account_id")
         .join(centers.drop("is_active", "manager_name"), "cost_center_id")
     )
@@ -166,18 +164,22 @@ def gl_totals(
     join the few totals. The amount columns keep their names; a row-level frame from
     ``gl_transactions`` may be passed wherever this one is.
     """
-    dated = _dated_headers(headers, periods).select(
-        "journal_entry_id", F.col("status").alias("je_status"), *PERIOD_COLUMNS, "period_is_closed"
+    spans = periods.select("fiscal_period_id", "period_start_date", "period_end_date")
+    dated = assign_period(headers, spans, "posting_date").select(
+        "journal_entry_id", F.col("status").alias("je_status"), "fiscal_period_id"
     )
     amounts = ("debit_amount", "credit_amount", "net_amount")
-    keys = ("je_status", "fiscal_period_id", "account_id", "cost_center_id")
-    return (
+    summed = (
         lines.select("journal_entry_id", "account_id", "cost_center_id", *amounts)
-        .join(dated, "journal_entry_id")
-        .groupBy(*keys, "fiscal_year", "fiscal_month", "fiscal_quarter", "period_is_closed")
+        .join(dated.hint("merge"), "journal_entry_id")
+        .groupBy("je_status", "fiscal_period_id", "account_id", "cost_center_id")
         .agg(*[F.sum(a).alias(a) for a in amounts])
-        .join(accounts.drop("is_active"), "account_id")
+    )
+    named = periods.select(*PERIOD_COLUMNS, F.col("is_closed").alias("period_is_closed"))
+    return (
+        summed.join(accounts.drop("is_active"), "account_id")
         .join(centers.drop("is_active", "manager_name"), "cost_center_id")
+        .join(named, "fiscal_period_id")
     )
 
 

@@ -12,7 +12,7 @@ def title(x: str) -> str:
 
 
 def rounded(x: str, digits: int) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
 
 
 def key2(text: str, x: str) -> str:

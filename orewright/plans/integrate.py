@@ -10,7 +10,7 @@ from orewright.plans import retail, workforce
 from orewright.plans.registry import query
 from orewright.sources import adapters as given
 from orewright.sources import tables
-from orewright.sources.adapters import Given
+from orewright.sources.adapters import Given, shared
 
 DIVISION = "ASIA"
 KPI_SQL = """
@@ -20,20 +20,24 @@ KPI_SQL = """
       (SELECT CAST(sum(total_headcount) AS BIGINT) FROM x_efficiency) AS total_headcount"""
 
 
+@shared
 def c360(g: Given) -> DataFrame:
     return op.customer_360(given.crm_customers(g), given.erp_orders(g))
 
 
+@shared
 def revenue(g: Given) -> DataFrame:
     return op.revenue_by_dept(
         retail.sales(g), workforce.summary(g), workforce.departments(g), DIVISION
     )
 
 
+@shared
 def efficiency(g: Given) -> DataFrame:
     return op.efficiency_metrics(workforce.departments(g), workforce.summary(g), given.erp_orders(g))
 
 
+@shared
 def kpis(g: Given) -> DataFrame:
     return op.cross_source_kpis(c360(g), efficiency(g), revenue(g))
 

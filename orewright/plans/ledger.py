@@ -10,7 +10,7 @@ from orewright.operators import grains
 from orewright.operators import ledger as op
 from orewright.plans.registry import query
 from orewright.sources import adapters as given
-from orewright.sources.adapters import Given
+from orewright.sources.adapters import Given, shared
 
 AMOUNTS = ["debit_amount", "credit_amount", "net_amount"]
 TOTALS = ["total_debits", "total_credits", "net_activity"]
@@ -21,50 +21,62 @@ STATEMENT = [
 MARGINS = ["gross_margin_pct", "operating_margin_pct"]
 
 
+@shared
 def entries(g: Given) -> DataFrame:
     return op.stg_journal_entries(given.ledger_entries(g))
 
 
+@shared
 def lines(g: Given) -> DataFrame:
     return op.stg_journal_entry_lines(given.ledger_lines(g))
 
 
+@shared
 def accounts(g: Given) -> DataFrame:
     return op.stg_chart_of_accounts(given.ledger_accounts(g))
 
 
+@shared
 def centers(g: Given) -> DataFrame:
     return op.stg_cost_centers(given.ledger_centers(g))
 
 
+@shared
 def periods(g: Given) -> DataFrame:
     return op.stg_fiscal_periods(given.ledger_periods(g))
 
 
+@shared
 def budgets(g: Given) -> DataFrame:
     return op.stg_budget_allocations(given.ledger_budgets(g))
 
 
+@shared
 def rows(g: Given) -> DataFrame:
     return op.gl_transactions(lines(g), entries(g), accounts(g), centers(g), periods(g))
 
 
+@shared
 def totals(g: Given) -> DataFrame:
     return op.gl_totals(lines(g), entries(g), accounts(g), centers(g), periods(g))
 
 
+@shared
 def trial_balance(g: Given) -> DataFrame:
     return op.rpt_trial_balance(op.account_balances(op.period_activity(totals(g))))
 
 
+@shared
 def statement(g: Given) -> DataFrame:
     return op.income_statement(totals(g))
 
 
+@shared
 def variance(g: Given) -> DataFrame:
     return op.budget_vs_actuals(budgets(g), op.actuals(totals(g)), accounts(g), centers(g), periods(g))
 
 
+@shared
 def fact(g: Given) -> DataFrame:
     return op.fact_gl_activity(
         rows(g), op.dim_accounts(accounts(g)), op.dim_cost_centers(centers(g)), op.dim_fiscal_periods(periods(g))
@@ -78,7 +90,7 @@ def stg_journal_entries(g: Given) -> DataFrame:
 
 @query("P-13", sql="SELECT * FROM g_lines", real=AMOUNTS)
 def stg_journal_entry_lines(g: Given) -> DataFrame:
-    return lines(g)
+    return op.stg_journal_entry_lines(given.ledger_lines(g, as_text=True))
 
 
 @query("P-14", sql="SELECT * FROM g_accounts")

@@ -11,7 +11,7 @@ from orewright.operators import metrics as op
 from orewright.plans import ledger, retail, workforce
 from orewright.plans.checks import RECOGNIZED
 from orewright.plans.registry import query
-from orewright.sources.adapters import Given
+from orewright.sources.adapters import Given, shared
 
 RETAIL = [
     "recognized_revenue", "gross_revenue", "orders", "recognized_orders", "units", "aov", "estimated_gross_profit",
@@ -26,10 +26,12 @@ RETAIL_SQL = f"""
 RETAIL_REAL = ["recognized_revenue", "gross_revenue", "estimated_gross_profit"]
 
 
+@shared
 def lines(g: Given) -> DataFrame:
     return op.profit_lines(retail.fact(g), retail.products(g))
 
 
+@shared
 def review_facts(g: Given) -> DataFrame:
     """Reviews with their employee's status and department name."""
     staff = workforce.employees(g).select("employee_id", "is_active")

@@ -11,38 +11,46 @@ from orewright.operators.shaping import head, slice_rows
 from orewright.plans.checks import RECOGNIZED
 from orewright.plans.registry import query
 from orewright.sources import adapters as given
-from orewright.sources.adapters import Given
+from orewright.sources.adapters import Given, shared
 
 
+@shared
 def items(g: Given) -> DataFrame:
     return op.clean_items(given.retail_items(g))
 
 
+@shared
 def orders(g: Given) -> DataFrame:
     return op.clean_orders(given.retail_orders(g))
 
 
+@shared
 def customers(g: Given) -> DataFrame:
     return op.clean_customers(given.retail_customers(g))
 
 
+@shared
 def products(g: Given) -> DataFrame:
     return op.conform_products(given.retail_products(g))
 
 
+@shared
 def sales(g: Given) -> DataFrame:
     """Order-level sales, what most aggregates start from."""
     return op.order_sales(items(g), orders(g))
 
 
+@shared
 def fact(g: Given) -> DataFrame:
     return op.fact_sales(items(g), orders(g))
 
 
+@shared
 def value(g: Given) -> DataFrame:
     return op.customer_value(sales(g), customers(g))
 
 
+@shared
 def dim_customer_of(g: Given) -> DataFrame:
     return op.dim_customer(customers(g), sales(g))
 

@@ -12,10 +12,11 @@ from orewright.plans.checks import BREACH3, BREACH4, rounded
 from orewright.plans.registry import query
 from orewright.sources import adapters as given
 from orewright.sources import events as parsing
-from orewright.sources.adapters import Given
+from orewright.sources.adapters import Given, shared
 from orewright.streaming import windows
 
 
+@shared
 def readings(g: Given) -> DataFrame:
     return given.sensor_readings(g.table("events"))
 

@@ -11,28 +11,33 @@ from orewright.operators import workforce as op
 from orewright.plans.checks import rounded
 from orewright.plans.registry import query
 from orewright.sources import adapters as given
-from orewright.sources.adapters import Given
+from orewright.sources.adapters import Given, shared
 
 AS_OF = "2026-01-01"
 DATES = ["hire_date", "termination_date"]
 
 
+@shared
 def employees(g: Given) -> DataFrame:
     return op.clean_employees(given.hr_employees(g), AS_OF)
 
 
+@shared
 def departments(g: Given) -> DataFrame:
     return given.hr_departments(g)
 
 
+@shared
 def reviews(g: Given) -> DataFrame:
     return op.clean_reviews(given.hr_reviews(g))
 
 
+@shared
 def history(g: Given) -> DataFrame:
     return op.clean_salary_history(given.hr_salary_history(g))
 
 
+@shared
 def summary(g: Given) -> DataFrame:
     return op.dept_summary(departments(g), employees(g))
 

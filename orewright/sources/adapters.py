@@ -7,6 +7,9 @@ customers without orders, orphan keys, listed amounts, unbalanced entries.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,18 +20,33 @@ class Given:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.frames: dict = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if name not in self.frames:
+            self.frames[name] = self.spark.read.parquet(self.path(name))
+        return self.frames[name]
 
     def pattern(self, name: str) -> str:
         """A glob for the same table: a stream reads a single file or a folder through it."""
         return f"{self.folder}/{{{name}}}.parquet"
 
 
+def shared(build: Callable[[Given], DataFrame]) -> Callable[[Given], DataFrame]:
+    """Build a frame once per set of given tables, so a query that uses it twice plans it once."""
+
+    @wraps(build)
+    def held(g: Given) -> DataFrame:
+        if build not in g.frames:
+            g.frames[build] = build(g)
+        return g.frames[build]
+
+    return held
+
+
 def _money(col: Column | str, size: str = "decimal(12,2)") -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast(size)
 
@@ -111,8 +129,8 @@ def retail_items(g: Given) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").alias("quantity"),
         price.alias("unit_price"),
-        (price * _money("l_discount")).alias("discount_amount"),
-        (price * _money("l_tax")).alias("tax_amount"),
+        (price * _money("l_discount", "decimal(3,2)")).alias("discount_amount"),
+        (price * _money("l_tax", "decimal(3,2)")).alias("tax_amount"),
         F.col("l_shipdate").alias("created_at"),
     )
 
@@ -248,11 +266,14 @@ def ledger_entries(g: Given) -> DataFrame:
     )
 
 
-def ledger_lines(g: Given) -> DataFrame:
-    """Raw lines, every column text: a debit and a credit line per order line.
+def ledger_lines(g: Given, as_text: bool = False) -> DataFrame:
+    """Raw lines: a debit and a credit line per order line.
 
-    Returned lines are credited short by their line number in cents, so some entries do not balance.
+    As they land, every column is text; numbers keep their types otherwise, as in a stored
+    staging table, and staging accepts both. Returned lines are credited short by their
+    line number in cents, so some entries do not balance.
     """
+    shape = (lambda c: c.cast("string")) if as_text else (lambda c: c)
     part, supp, nr = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     amount = _money("l_extendedprice", "decimal(18,2)")
     short = F.when(F.col("l_returnflag") == "R", nr).otherwise(0).cast("decimal(18,2)") * F.lit("0.01").cast("decimal(3,2)")
@@ -261,10 +282,10 @@ def ledger_lines(g: Given) -> DataFrame:
 
     def side(number: Column, account: Column, debit: Column, credit: Column) -> Column:
         return F.struct(
-            number.cast("string").alias("line_number"),
+            shape(number).alias("line_number"),
             F.concat(F.lit("A"), F.lpad(account.cast("string"), 2, "0")).alias("account_id"),
-            debit.cast("decimal(18,2)").cast("string").alias("debit_amount"),
-            credit.cast("decimal(18,2)").cast("string").alias("credit_amount"),
+            shape(debit.cast("decimal(18,2)")).alias("debit_amount"),
+            shape(credit.cast("decimal(18,2)")).alias("credit_amount"),
         )
 
     sides = F.array(
