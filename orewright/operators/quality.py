@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orewright.operators import ledger
@@ -103,50 +103,103 @@ def check_summary(checks: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def _counted(df: DataFrame, tests: Mapping[str, Column]) -> DataFrame:
+    """Rows failing each named test, all counted in one pass over the frame."""
+    counts = df.agg(
+        F.array(
+            *[
+                F.struct(F.lit(name).alias("check_name"), F.count_if(test).alias("violations"))
+                for name, test in tests.items()
+            ]
+        ).alias("_c")
+    )
+    return counts.select(F.inline("_c"))
+
+
+def null_counts(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
+    """``not_null`` for several columns of one table, name -> column."""
+    return _counted(df, {name: F.col(column).isNull() for name, column in checks.items()})
+
+
+def orphan_counts(child: DataFrame, checks: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
+    """``relationships`` for several keys of one table, name -> (column, parent).
+
+    The parent has the column too. Each parent is reduced to its distinct keys, so the left
+    joins keep the child's rows as they are.
+    """
+    held, tests = child, {}
+    for i, (name, (column, parent)) in enumerate(checks.items()):
+        keys = parent.select(F.col(column).alias(f"_k{i}")).distinct()
+        held = held.join(keys, F.col(column) == F.col(f"_k{i}"), "left")
+        tests[name] = F.col(column).isNotNull() & F.col(f"_k{i}").isNull()
+    return _counted(held, tests)
+
+
 # The kinds an account may have.
 ACCOUNT_TYPES = ("Asset", "Liability", "Equity", "Revenue", "Expense")
 
-
-def ledger_checks(raw: Mapping[str, DataFrame], stg: Mapping[str, DataFrame],
-                  marts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The 32 column checks declared over the ledger: raw, staging and mart tables."""
-    required = {
-        "raw": [("entries", "journal_entry_id"), ("lines", "journal_entry_id")],
-        "stg": [("entries", "journal_entry_id"), ("lines", "journal_entry_id"),
-                ("lines", "account_id"), ("lines", "cost_center_id"), ("accounts", "account_id"),
-                ("centers", "cost_center_id"), ("periods", "fiscal_period_id")],
-        "marts": [("accounts", "account_key"), ("accounts", "account_id"),
-                  ("centers", "cost_center_key"), ("periods", "fiscal_period_key"),
-                  ("fact", "account_key"), ("fact", "cost_center_key"), ("fact", "fiscal_period_key")],
+# The declared column checks, layer -> table -> columns (parents have the column as well).
+REQUIRED = {
+    "raw": {"entries": ["journal_entry_id"], "lines": ["journal_entry_id"]},
+    "stg": {
+        "entries": ["journal_entry_id"],
+        "lines": ["journal_entry_id", "account_id", "cost_center_id"],
+        "accounts": ["account_id"],
+        "centers": ["cost_center_id"],
+        "periods": ["fiscal_period_id"],
+    },
+    "marts": {
+        "accounts": ["account_key", "account_id"],
+        "centers": ["cost_center_key"],
+        "periods": ["fiscal_period_key"],
+        "fact": ["account_key", "cost_center_key", "fiscal_period_key"],
+    },
+}
+DISTINCT = {
+    "raw": {"entries": ["journal_entry_id"]},
+    "stg": {
+        "entries": ["journal_entry_id"],
+        "accounts": ["account_id"],
+        "centers": ["cost_center_id"],
+        "periods": ["fiscal_period_id"],
+    },
+    "marts": {
+        "accounts": ["account_key", "account_id"],
+        "centers": ["cost_center_key"],
+        "periods": ["fiscal_period_key"],
+    },
+}
+LINKS = {
+    "stg": {
+        "lines": {"journal_entry_id": "entries", "account_id": "accounts", "cost_center_id": "centers"}
+    },
+    "marts": {
+        "fact": {"account_key": "accounts", "cost_center_key": "centers", "fiscal_period_key": "periods"}
+    },
+}
+
+
+def ledger_check_counts(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
+    """Violations of the 32 declared checks; each table is read once per kind of check."""
+    parts = []
+    for layer, tables in REQUIRED.items():
+        for table, columns in tables.items():
+            names = {f"not_null {layer}.{table}.{c}": c for c in columns}
+            parts.append(null_counts(layers[layer][table], names))
+    repeated = {
+        f"unique {layer}.{table}.{c}": unique(layers[layer][table], [c])
+        for layer, tables in DISTINCT.items()
+        for table, columns in tables.items()
+        for c in columns
     }
-    distinct = {
-        "raw": [("entries", "journal_entry_id")],
-        "stg": [("entries", "journal_entry_id"), ("accounts", "account_id"),
-                ("centers", "cost_center_id"), ("periods", "fiscal_period_id")],
-        "marts": [("accounts", "account_key"), ("accounts", "account_id"),
-                  ("centers", "cost_center_key"), ("periods", "fiscal_period_key")],
-    }
-    links = {
-        "stg": [("lines", "journal_entry_id", "entries"), ("lines", "account_id", "accounts"),
-                ("lines", "cost_center_id", "centers")],
-        "marts": [("fact", "account_key", "accounts"), ("fact", "cost_center_key", "centers"),
-                  ("fact", "fiscal_period_key", "periods")],
-    }
-    layers = {"raw": raw, "stg": stg, "marts": marts}
-    checks = {}
-    for layer, pairs in required.items():
-        for table, column in pairs:
-            checks[f"not_null {layer}.{table}.{column}"] = not_null(layers[layer][table], column)
-    for layer, pairs in distinct.items():
-        for table, column in pairs:
-            checks[f"unique {layer}.{table}.{column}"] = unique(layers[layer][table], [column])
-    for layer, triples in links.items():
-        tables = layers[layer]
-        for table, column, parent in triples:
-            checks[f"relationships {layer}.{table}.{column}"] = relationships(
-                tables[table], column, tables[parent], column
-            )
-    checks["accepted_values stg.accounts.account_type"] = accepted_values(
-        stg["accounts"], "account_type", ACCOUNT_TYPES
-    )
-    return checks
+    parts.append(check_summary(repeated))
+    for layer, tables in LINKS.items():
+        for table, parents in tables.items():
+            names = {
+                f"relationships {layer}.{table}.{c}": (c, layers[layer][parent])
+                for c, parent in parents.items()
+            }
+            parts.append(orphan_counts(layers[layer][table], names))
+    strange = accepted_values(layers["stg"]["accounts"], "account_type", ACCOUNT_TYPES)
+    parts.append(check_summary({"accepted_values stg.accounts.account_type": strange}))
+    return reduce(DataFrame.unionByName, parts)

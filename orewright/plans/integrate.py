@@ -77,7 +77,7 @@ def table_counts(g: Given) -> DataFrame:
     return tables.table_counts({n: g.table(n) for n in ("customer", "part", "orders", "lineitem")})
 
 
-@query("J-12", sql="SELECT * FROM x_revenue", real=["total_revenue", "revenue_per_employee"])
+@query("J-12", "O-03", sql="SELECT * FROM x_revenue", real=["total_revenue", "revenue_per_employee"])
 def revenue_by_dept(g: Given) -> DataFrame:
     return revenue(g)
 

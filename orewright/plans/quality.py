@@ -108,7 +108,7 @@ def _ledger_layers(g: Given):
         "accounts": ledger.op.dim_accounts(stg["accounts"]), "centers": ledger.op.dim_cost_centers(stg["centers"]),
         "periods": ledger.op.dim_fiscal_periods(stg["periods"]), "fact": ledger.fact(g),
     }
-    return raw, stg, marts
+    return {"raw": raw, "stg": stg, "marts": marts}
 
 
 @query("D-01", "D-02", "D-03", "D-04", sql="""
@@ -129,4 +129,4 @@ def _ledger_layers(g: Given):
       'relationships marts.fact.fiscal_period_key', 'accepted_values stg.accounts.account_type']) AS check_name)""")
 def declared_checks(g: Given) -> DataFrame:
     """All 32 declared column checks of the ledger with their violation counts."""
-    return op.check_summary(op.ledger_checks(*_ledger_layers(g)))
+    return op.ledger_check_counts(_ledger_layers(g))
