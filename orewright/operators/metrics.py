@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orewright.functions.bands import rating_label
+from orewright.functions.bands import order_bucket, rating_label
 from orewright.functions.numbers import safe_divide
 from orewright.operators.grains import related
 from orewright.operators.retail import recognized
@@ -153,6 +153,59 @@ def order_grain(lines: DataFrame, by: Sequence[str]) -> DataFrame:
     return lines.groupBy(*by, "order_id", "order_status").agg(*[F.sum(c).alias(c) for c in sums])
 
 
+def bucket_revenue(sales: DataFrame, customers: DataFrame, dims: Sequence[str] = ()) -> DataFrame:
+    """Recognized revenue by order-count bucket of the customer, and by order dimensions.
+
+    Revenue and order counts come from the same per-customer sums, so the sales are read
+    once. A customer that is not in the dimension has no bucket.
+    """
+    per = sales.groupBy("customer_id", *dims).agg(
+        METRICS["recognized_revenue"]().alias("_revenue"), F.count("order_id").alias("_n")
+    )
+    # A customer has at most one row per combination of the dimensions here.
+    orders = F.sum("_n").over(Window.partitionBy("customer_id")) if dims else F.col("_n")
+    known = customers.select("customer_id", F.lit(True).alias("_known"))
+    placed = per.withColumn("_n", orders).join(known, "customer_id", "left")
+    bucket = F.when(F.col("_known"), order_bucket(F.col("_n")))
+    return placed.groupBy(bucket.alias("Order_Bucket"), *dims).agg(
+        F.sum("_revenue").alias("recognized_revenue")
+    )
+
+
+def review_scores(reviews: DataFrame, by: Sequence[str]) -> DataFrame:
+    """All review metrics under one grouping, over one row per employee.
+
+    The same values as ``evaluate`` gives for these names. Reviews shrink to an employee's
+    sums and extremes first; who scored high or low is then a plain count, where several
+    distinct counts would repeat every review once for each.
+    """
+    rating, active = F.col("overall_rating"), F.col("is_active")
+    per = reviews.groupBy(*by, "employee_id").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("goals_met_pct").alias("_goals"), F.count("goals_met_pct").alias("_goals_n"),
+        F.sum(rating).alias("_rating"), F.count(rating).alias("_rating_n"),
+        F.max(rating).alias("_best"), F.min(rating).alias("_worst"),
+        F.sum(F.when(active, rating)).alias("_active"), F.count(F.when(active, rating)).alias("_active_n"),
+    )
+    totals = per.groupBy(*by).agg(
+        F.sum("_n").alias("review_count"),
+        F.count("employee_id").alias("reviewed_employees"),
+        safe_divide(F.sum("_goals"), F.sum("_goals_n")).alias("average_goals_met_pct"),
+        safe_divide(F.sum("_rating"), F.sum("_rating_n")).alias("average_rating"),
+        F.count(F.when(F.col("_best") >= 4, F.col("employee_id"))).alias("high_performers"),
+        F.count(F.when(F.col("_worst") < 3, F.col("employee_id"))).alias("low_performers"),
+        safe_divide(F.sum("_active"), F.sum("_active_n")).alias("average_rating_active"),
+    )
+    reviewed = F.col("reviewed_employees")
+    return totals.withColumns(
+        {
+            "high_performer_pct": safe_divide(F.col("high_performers"), reviewed),
+            "low_performer_pct": safe_divide(F.col("low_performers"), reviewed),
+            "performance_band_label": rating_label(F.col("average_rating")),
+        }
+    )
+
+
 def default_sum(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """What a numeric column shows when no metric is named: its sum."""
     return df.groupBy(*by).agg(*[F.sum(c).alias(f"sum_{c}") for c in columns])

@@ -68,14 +68,6 @@ def lifetime_orders(g: Given) -> DataFrame:
     return grains.at_grain(rows, ["customer_id"], {"lifetime_orders": F.countDistinct("order_id")})
 
 
-def revenue_by(g: Given, *dims: str) -> DataFrame:
-    """Recognized revenue by customer and order dimensions."""
-    placed = retail.sales(g).join(
-        retail.dim_customer_of(g).select("customer_id", "Order_Bucket", "loyalty_tier"), "customer_id", "left"
-    )
-    return op.evaluate(placed, ["recognized_revenue"], dims)
-
-
 @query("M-09", "W-05", sql=f"""
     SELECT "Order_Bucket", channel, recognized_revenue,
       CAST(recognized_revenue AS DOUBLE) / CAST(sum(recognized_revenue) OVER (PARTITION BY channel) AS DOUBLE) AS revenue_pct_of_total
@@ -83,7 +75,7 @@ def revenue_by(g: Given, *dims: str) -> DataFrame:
           FROM r_fact f LEFT JOIN r_dim_customer c ON f.customer_id = c.customer_id GROUP BY ALL)""",
        real=["recognized_revenue"], ratios=["revenue_pct_of_total"])
 def revenue_pct_of_total(g: Given) -> DataFrame:
-    totals = revenue_by(g, "Order_Bucket", "channel")
+    totals = op.bucket_revenue(retail.sales(g), retail.customers(g), ["channel"])
     return grains.pct_of_total(totals, "recognized_revenue", "Order_Bucket", ["channel"], "revenue_pct_of_total")
 
 
@@ -105,12 +97,6 @@ def workforce_metrics(g: Given) -> DataFrame:
     return op.workforce_by(workforce.employees(g), workforce.departments(g), "division")
 
 
-PERFORMANCE = [
-    "review_count", "reviewed_employees", "average_goals_met_pct", "average_rating", "high_performers",
-    "low_performers", "high_performer_pct", "low_performer_pct", "performance_band_label", "average_rating_active",
-]
-
-
 @query("M-17", "M-18", "M-19", "M-20", "M-21", "M-32", "F-15", sql="""
     SELECT d.department_name, count(*) AS review_count, count(DISTINCT r.employee_id) AS reviewed_employees,
       avg(goals_met_pct) AS average_goals_met_pct, avg(overall_rating) AS average_rating,
@@ -125,7 +111,7 @@ PERFORMANCE = [
     JOIN h_departments d ON e.department_id = d.department_id GROUP BY d.department_name""",
        ratios=["average_goals_met_pct", "average_rating", "high_performer_pct", "low_performer_pct", "average_rating_active"])
 def performance_metrics(g: Given) -> DataFrame:
-    return op.evaluate(review_facts(g), PERFORMANCE, ["department_name"])
+    return op.review_scores(review_facts(g), ["department_name"])
 
 
 @query("M-22", "W-04", sql="""

@@ -24,7 +24,7 @@ from orewright.sources.adapters import Given, calendar_bounds
           FROM r_fact f LEFT JOIN r_dim_customer c ON f.customer_id = c.customer_id GROUP BY ALL)
     WHERE "Order_Bucket" IS NOT NULL""", real=["recognized_revenue"], ratios=["revenue_pct_of_total"])
 def report_revenue_by_bucket(g: Given) -> DataFrame:
-    totals = slice_rows(metrics.revenue_by(g, "Order_Bucket"), not_null=["Order_Bucket"])
+    totals = slice_rows(op.bucket_revenue(retail.sales(g), retail.customers(g)), not_null=["Order_Bucket"])
     shared = grains.pct_of_total(totals, "recognized_revenue", "Order_Bucket", name="revenue_pct_of_total")
     return shared.orderBy("Order_Bucket")
 

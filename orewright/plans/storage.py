@@ -24,6 +24,13 @@ def _csv(g: Given, df: DataFrame, name: str, **options) -> str:
     return base
 
 
+def _table_name(g: Given, purpose: str) -> str:
+    """A new table name in a database kept under the shared folder, where every executor can read it."""
+    database = f"orewright_{uuid.uuid4().hex}"
+    g.spark.sql(f"CREATE DATABASE {database} LOCATION '{work_folder(g.spark, 'database')}'")
+    return f"{database}.{purpose}"
+
+
 @query("S-01", sql="SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def read_csv(g: Given) -> DataFrame:
     source = g.table("customer")
@@ -78,7 +85,7 @@ def load_seed(g: Given) -> DataFrame:
 
 @query("S-05", "S-07", sql="SELECT n_nationkey, n_name FROM nation")
 def table(g: Given) -> DataFrame:
-    name = f"scan_{uuid.uuid4().hex}"
+    name = _table_name(g, "scanned")
     tables.write_table(g.table("nation").select("n_nationkey", "n_name"), name)
     return tables.table(g.spark, name)
 
@@ -95,7 +102,7 @@ def add_meta(g: Given) -> DataFrame:
     UNION ALL SELECT s_suppkey, s_name, s_nationkey FROM supplier""")
 def write_table(g: Given) -> DataFrame:
     """An overwrite, then an append that brings a new column."""
-    name = f"grown_{uuid.uuid4().hex}"
+    name = _table_name(g, "grown")
     source = g.table("supplier")
     tables.write_table(source.select("s_suppkey", "s_name"), name)
     return tables.write_table(
@@ -106,7 +113,7 @@ def write_table(g: Given) -> DataFrame:
 @query("S-08", sql="SELECT s_nationkey, count(*) AS suppliers FROM supplier GROUP BY 1")
 def replace_table(g: Given) -> DataFrame:
     """A derived table rebuilt twice, the second time from itself; the result stays the same."""
-    name = f"derived_{uuid.uuid4().hex}"
+    name = _table_name(g, "derived")
     counts = g.table("supplier").groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("suppliers"))
     first = tables.replace_table(g.spark, name, counts)
     return tables.replace_table(g.spark, name, first.select("s_nationkey", "suppliers"))

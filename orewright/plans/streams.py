@@ -82,16 +82,11 @@ def stream_route(g: Given) -> DataFrame:
 
 @query("T-05", "S-11", sql=integrate.MIRROR_SQL)
 def stream_upsert(g: Given) -> DataFrame:
-    root = work_folder(g.spark, "mirror")
-    target = integrate.mirror_target(g)
-    sinks.start_snapshot(target, f"{root}/table")
-    last = sinks.finish(
-        sinks.follow_changes(
-            integrate.mirror_feed(stream(g, "orders")), f"{root}/table", f"{root}/checkpoint",
-            target.schema, ["customer_id"], ["_at", "_seq"], once=True,
-        )
-    )
-    return sinks.read_snapshot(g.spark, f"{root}/table", target.schema, last)
+    root, keys, order = work_folder(g.spark, "mirror"), ["customer_id"], ["_at", "_seq"]
+    target, feed = integrate.mirror_target(g), integrate.mirror_feed(stream(g, "orders"))
+    sinks.start_mirror(target, f"{root}/table")
+    sinks.finish(sinks.follow_changes(feed, f"{root}/table", f"{root}/checkpoint", keys, order, once=True))
+    return sinks.read_mirror(g.spark, f"{root}/table", target.schema, feed.schema, keys, order)
 
 
 @query("T-06", sql="""

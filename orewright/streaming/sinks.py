@@ -71,35 +71,41 @@ def route(
     return raw, agg
 
 
-def start_snapshot(target: DataFrame, path: str) -> None:
-    """Store the table a change stream will be applied to, as the version before batch 0."""
-    target.write.mode("overwrite").parquet(f"{path}/v=-1")
+def start_mirror(target: DataFrame, path: str) -> None:
+    """Store the table a change stream will be applied to."""
+    target.write.mode("overwrite").parquet(f"{path}/base")
 
 
 def follow_changes(
-    stream: DataFrame, path: str, checkpoint: str, schema: T.StructType,
-    keys: Sequence[str], order_by: Sequence[str], once: bool = False,
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order_by: Sequence[str],
+    once: bool = False,
 ) -> StreamingQuery:
-    """Keep a stored table in step with a change stream.
+    """Log a change stream beside the table it belongs to.
 
-    Batch ``n`` reads version ``n - 1`` and writes version ``n``: the version being read is
-    never the one being written, and a repeated batch starts from the same input.
+    A batch writes the last change of each key it saw, in its own folder, and never touches
+    the table: its cost follows the changes, not the table. A repeated batch overwrites itself.
     """
 
-    def apply(rows: DataFrame, batch: int) -> None:
-        held = rows.sparkSession.read.schema(schema).parquet(f"{path}/v={batch - 1}")
-        apply_changes(held, rows, keys, order_by).write.mode("overwrite").parquet(f"{path}/v={batch}")
+    def write(rows: DataFrame, batch: int) -> None:
+        dedupe_latest(rows, keys, order_by).write.mode("overwrite").parquet(f"{path}/log/batch={batch}")
+
+    return _each_batch(stream, "append", checkpoint, write, once)
 
-    return _each_batch(stream, "append", checkpoint, apply, once)
 
+def read_mirror(
+    spark: SparkSession, path: str, table: T.StructType, feed: T.StructType,
+    keys: Sequence[str], order_by: Sequence[str],
+) -> DataFrame:
+    """The table with all logged changes applied, the last change of a key winning.
 
-def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, version: int) -> DataFrame:
-    return spark.read.schema(schema).parquet(f"{path}/v={version}")
+    Handing the result to ``start_mirror`` with a new path folds a long log into the table.
+    """
+    base = spark.read.schema(table).parquet(f"{path}/base")
+    log = spark.read.schema(feed).parquet(f"{path}/log")
+    return apply_changes(base, log, keys, order_by)
 
 
-def finish(*queries: StreamingQuery) -> int:
-    """Wait for bounded queries; the number of the last batch of the first one."""
+def finish(*queries: StreamingQuery) -> None:
+    """Wait for bounded queries to read all there is."""
     for q in queries:
         q.awaitTermination()
-    last = queries[0].lastProgress
-    return -1 if last is None else int(last["batchId"])

@@ -107,6 +107,24 @@ def test_low_performers_have_two_definitions(frame):
     assert tuple(row) == (2, 1, 2.75, "Needs Development")
 
 
+def test_review_scores_equal_the_named_metrics(frame):
+    reviews = frame([("x", "a", 2, 10, True), ("x", "a", 5, None, True), ("x", "b", 3, 20, False), ("x", "c", None, 30, None),
+                     ("y", "a", None, None, True), ("y", "d", 4, 99, False)],
+                    "d string, employee_id string, overall_rating long, goals_met_pct long, is_active boolean")
+    scores = metrics.review_scores(reviews, ["d"])
+    assert values(scores) == values(metrics.evaluate(reviews, scores.columns[1:], ["d"]))
+
+
+def test_buckets_count_the_orders_of_all_channels(frame):
+    sales = frame([(1, 1, "w", "placed", D("1.00")), (1, 2, "s", "cancelled", D("2.00")), (2, 3, "w", "placed", D("4.00")),
+                   (9, 4, "w", "placed", D("8.00"))],
+                  "customer_id long, order_id long, channel string, order_status string, net_sales decimal(12,2)")
+    known = frame([(1,), (2,), (3,)], "customer_id long")
+    assert values(metrics.bucket_revenue(sales, known)) == [("1", D("4.00")), ("2-3", D("1.00")), (None, D("8.00"))]
+    assert values(metrics.bucket_revenue(sales, known, ["channel"])) == [
+        ("1", "w", D("4.00")), ("2-3", "s", None), ("2-3", "w", D("1.00")), (None, "w", D("8.00"))]
+
+
 def test_budget_is_not_repeated_by_the_join(frame):
     staff = frame([("a", "d1", True, "F"), ("b", "d1", False, "M"), ("c", "d2", True, "F")],
                   "employee_id string, department_id string, is_active boolean, gender string")
