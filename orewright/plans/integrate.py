@@ -45,8 +45,8 @@ def kpis(g: Given) -> DataFrame:
 @query(
     "U-01",
     sql="""
-    SELECT 'RetailOps - Sales Facts' AS source, count(*) AS row_count FROM r_fact
-    UNION ALL SELECT 'RetailOps - Customers', count(*) FROM r_dim_customer
+    SELECT 'Retail - Sales Facts' AS source, count(*) AS row_count FROM r_fact
+    UNION ALL SELECT 'Retail - Customers', count(*) FROM r_dim_customer
     UNION ALL SELECT 'HR - Employees', count(*) FROM h_employees
     UNION ALL SELECT 'HR - Departments', count(*) FROM h_departments
     UNION ALL SELECT 'CRM - Customers (Mirrored)', count(*) FROM x_crm
@@ -56,8 +56,8 @@ def source_counts(g: Given) -> DataFrame:
     # Names of the sources in the connectivity check.
     return op.source_counts(
         {
-            "RetailOps - Sales Facts": retail.fact(g),
-            "RetailOps - Customers": retail.customers(g),
+            "Retail - Sales Facts": retail.fact(g),
+            "Retail - Customers": retail.customers(g),
             "HR - Employees": workforce.employees(g),
             "HR - Departments": workforce.departments(g),
             "CRM - Customers (Mirrored)": given.crm_customers(g),
