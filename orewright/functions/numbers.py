@@ -28,8 +28,11 @@ def safe_divide(top: Column, bottom: Column, otherwise: float | None = None) ->
 
 
 def exact_ratio(top: Column, bottom: Column, otherwise: int | None = None) -> Column:
-    """Quotient of two ledger amounts in decimal(18,4) arithmetic, for positive or any divisor."""
-    ratio = F.try_divide(top.cast("decimal(18,4)"), bottom.cast("decimal(18,4)"))
+    """Decimal quotient of two ledger sums; NULL (or ``otherwise``) where the divisor is zero.
+
+    Wide enough for sums over any number of postings, which decimal(18,4) is not.
+    """
+    ratio = F.try_divide(top.cast("decimal(28,4)"), bottom.cast("decimal(28,4)"))
     return ratio if otherwise is None else F.coalesce(ratio, F.lit(otherwise))
 
 

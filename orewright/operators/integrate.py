@@ -74,7 +74,8 @@ def efficiency_metrics(departments: DataFrame, summary: DataFrame, orders: DataF
     )
     return divisions.filter(F.col("_t.rows") > 0).select(
         "division",
-        (F.col("_heads") * F.col("_t.rows")).alias("total_headcount"),
+        # Heads times orders outgrows 64 bits long before either does.
+        (F.col("_heads").cast("decimal(19,0)") * F.col("_t.rows")).alias("total_headcount"),
         (F.col("_pay") * F.col("_t.rows")).alias("total_compensation"),
         F.col("_t.orders").alias("mirrored_order_count"),
         F.round(F.col("_t.total") * F.col("_departments"), 2).alias("mirrored_revenue"),

@@ -83,12 +83,12 @@ def conform_items(raw: DataFrame) -> DataFrame:
 
 
 def enrich_items(items: DataFrame) -> DataFrame:
-    """Add gross and net sales; a NULL discount leaves net sales NULL."""
+    """Add gross and net sales; a NULL discount or an amount out of range leaves NULL."""
     gross = F.col("quantity") * F.col("unit_price")
     return items.withColumns(
         {
-            "gross_sales": gross.cast(RETAIL_MONEY),
-            "net_sales": (gross - F.col("discount_amount")).cast(RETAIL_MONEY),
+            "gross_sales": gross.try_cast(RETAIL_MONEY),
+            "net_sales": (gross - F.col("discount_amount")).try_cast(RETAIL_MONEY),
         }
     )
 

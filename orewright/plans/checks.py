@@ -294,7 +294,7 @@ CTES: dict[str, str] = {
         FROM r_fact f CROSS JOIN h_summary s JOIN h_departments d ON s.department_id = d.department_id
         WHERE d.division = 'ASIA' GROUP BY d.department_name, d.division, s.active_headcount""",
     "x_efficiency": """
-        SELECT d.division, CAST(sum(s.active_headcount) AS BIGINT) AS total_headcount,
+        SELECT d.division, CAST(sum(s.active_headcount) AS HUGEINT) AS total_headcount,
           sum(s.avg_salary * s.active_headcount) AS total_compensation,
           count(DISTINCT o.order_id) AS mirrored_order_count, sum(o.order_total) AS mirrored_revenue
         FROM h_departments d JOIN h_summary s ON d.department_id = s.department_id CROSS JOIN x_orders o

@@ -82,7 +82,8 @@ def revenue_by_dept(g: Given) -> DataFrame:
     return revenue(g)
 
 
-@query("J-13", sql="SELECT * FROM x_efficiency", real=["total_compensation", "mirrored_revenue"])
+@query("J-13", sql="SELECT * FROM x_efficiency",
+       real=["total_headcount", "total_compensation", "mirrored_revenue"])
 def efficiency_metrics(g: Given) -> DataFrame:
     return efficiency(g)
 
@@ -93,7 +94,7 @@ def customer_360(g: Given) -> DataFrame:
     return c360(g)
 
 
-@query("M-36", "V-11", sql=KPI_SQL, real=["retail_revenue"])
+@query("M-36", "V-11", sql=KPI_SQL, real=["retail_revenue", "total_headcount"])
 def report_cross_source_kpis(g: Given) -> DataFrame:
     return kpis(g)
 

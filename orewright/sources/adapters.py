@@ -274,31 +274,34 @@ def ledger_lines(g: Given, as_text: bool = False) -> DataFrame:
     line number in cents, so some entries do not balance.
     """
     shape = (lambda c: c.cast("string")) if as_text else (lambda c: c)
-    part, supp, nr = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    returned = F.col("l_returnflag") == "R"
+    cents = F.when(returned, F.col("l_linenumber")).otherwise(0).cast("decimal(10,0)")
     amount = _money("l_extendedprice", "decimal(18,2)")
-    short = F.when(F.col("l_returnflag") == "R", nr).otherwise(0).cast("decimal(18,2)") * F.lit("0.01").cast("decimal(3,2)")
-    debit_to = F.when(part % 2 == 0, 0).otherwise(4) + F.floor(part / 2) % 5 * 5
-    credit_to = 1 + supp % 3 + F.floor(supp / 3) % 5 * 5
-
-    def side(number: Column, account: Column, debit: Column, credit: Column) -> Column:
-        return F.struct(
-            shape(number).alias("line_number"),
-            F.concat(F.lit("A"), F.lpad(account.cast("string"), 2, "0")).alias("account_id"),
-            shape(debit.cast("decimal(18,2)")).alias("debit_amount"),
-            shape(credit.cast("decimal(18,2)")).alias("credit_amount"),
-        )
-
-    sides = F.array(
-        side(nr * 2 - 1, debit_to, amount, F.lit(0)), side(nr * 2, credit_to, F.lit(0), amount - short)
-    )
-    return g.table("lineitem").select(
+    # The side is all that is exploded; what depends on it is picked afterwards.
+    sides = g.table("lineitem").select(
         F.col("l_orderkey").cast("string").alias("journal_entry_id"),
-        F.concat(F.lit("CC"), F.lpad((supp % 25).cast("string"), 2, "0")).alias("cost_center_id"),
+        F.expr("CASE WHEN l_partkey % 2 = 0 THEN 0 ELSE 4 END + l_partkey div 2 % 5 * 5").alias("debit_to"),
+        F.expr("1 + l_suppkey % 3 + l_suppkey div 3 % 5 * 5").alias("credit_to"),
+        (F.col("l_suppkey") % 25).alias("center"),
+        F.col("l_linenumber").alias("nr"),
+        amount.alias("debit"),
+        (amount - cents * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)").alias("credit"),
         F.col("l_returnflag").alias("line_description"),
-        F.explode(sides).alias("s"),
-    ).select(
-        "journal_entry_id", "s.line_number", "s.account_id", "cost_center_id", "s.debit_amount",
-        "s.credit_amount", "line_description",
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("side"),
+    )
+    is_debit, nothing = F.col("side") == 1, F.lit(0).cast("decimal(18,2)")
+
+    def numbered(prefix: str, number: Column) -> Column:
+        return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 2, "0"))
+
+    return sides.select(
+        "journal_entry_id",
+        shape(F.col("nr") * 2 - 2 + F.col("side")).alias("line_number"),
+        numbered("A", F.when(is_debit, F.col("debit_to")).otherwise(F.col("credit_to"))).alias("account_id"),
+        numbered("CC", F.col("center")).alias("cost_center_id"),
+        shape(F.when(is_debit, F.col("debit")).otherwise(nothing)).alias("debit_amount"),
+        shape(F.when(is_debit, nothing).otherwise(F.col("credit"))).alias("credit_amount"),
+        "line_description",
     )
 
 

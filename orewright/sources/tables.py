@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orewright.functions.dates import batch_id, instant
+from orewright.operators.integrate import DATA_SOURCES, source_counts
+
 
 def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
@@ -69,23 +72,17 @@ def register_refs(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, Da
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    from orewright.operators.integrate import source_counts
-
     return source_counts(tables).withColumnRenamed("source", "table_name")
 
 
 def source_map(spark: SparkSession) -> DataFrame:
     """The inline table of data sources."""
-    from orewright.operators.integrate import DATA_SOURCES
-
     rows = [r[:3] for r in DATA_SOURCES]
     return spark.createDataFrame(rows, "data_source string, integration_type string, unified_table string")
 
 
 def add_meta(df: DataFrame, source: str, run_date: str, now) -> DataFrame:
     """Stamp rows with when, from where and in which batch they came; ``now`` is handed in."""
-    from orewright.functions.dates import batch_id, instant
-
     clock = instant(now)
     return df.withColumns(
         {
