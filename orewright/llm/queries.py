@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from orewright.llm.base import table
+from orewright.llm.mixing import mixed_sources
 from orewright.llm.ngram_join import ngram_jaccard_join
-from orewright.session import tune
+from orewright.llm.token_files import read_token_files, write_token_files
+from orewright.session import tune, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,3 +25,16 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 @query
 def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, folder, "documents"))
+
+
+@query
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = work_folder(spark, "tokens")
+    write_token_files(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_token_files(spark, path)
+
+
+@query
+def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixed_sources(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
