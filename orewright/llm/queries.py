@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from orewright.llm.base import table
+from orewright.llm.decontamination import contaminated
 from orewright.llm.mixing import mixed_sources
 from orewright.llm.ngram_join import ngram_jaccard_join
 from orewright.llm.token_files import read_token_files, write_token_files
@@ -38,3 +39,9 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixed_sources(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "matched", "n_words")
