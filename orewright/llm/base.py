@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -11,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orewright.session import work_folder
+from orewright.session import tune, work_folder
 
 # Words are runs of anything but blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,6 +31,19 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """A session with the runtime settings whose executors can import this package: Spark sends it to them once."""
+    context = tune(spark).sparkContext
+    if not any(f.endswith("/orewright.zip") for f in context.listFiles):
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp()) / "orewright.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for source in sorted(package.rglob("*.py")):
+                z.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+    return spark
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

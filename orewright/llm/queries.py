@@ -6,20 +6,22 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orewright.llm.base import table
+from orewright.llm.base import prepared, table
 from orewright.llm.decontamination import contaminated
 from orewright.llm.mixing import mixed_sources
 from orewright.llm.ngram_join import ngram_jaccard_join
+from orewright.llm.personal_data import KINDS, personal_data, span_text
 from orewright.llm.token_files import read_token_files, write_token_files
-from orewright.session import tune, work_folder
+from orewright.session import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[build.__name__] = lambda spark, folder: build(tune(spark), folder)
+    QUERIES[build.__name__] = lambda spark, folder: build(prepared(spark), folder)
     return build
 
 
@@ -45,3 +47,16 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "matched", "n_words")
+
+
+@query
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["strict"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans")
+    )
