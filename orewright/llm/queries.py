@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from orewright.llm.base import prepared, table
 from orewright.llm.decontamination import contaminated
+from orewright.llm.embedding_pairs import embedding_links
 from orewright.llm.mixing import mixed_sources
 from orewright.llm.ngram_join import ngram_jaccard_join
 from orewright.llm.personal_data import KINDS, personal_data, span_text
@@ -60,3 +61,8 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans")
     )
+
+
+@query
+def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_links(table(spark, folder, "embeddings"))
