@@ -14,7 +14,9 @@ from orewright.llm.embedding_pairs import embedding_links
 from orewright.llm.mixing import mixed_sources
 from orewright.llm.ngram_join import ngram_jaccard_join
 from orewright.llm.personal_data import KINDS, personal_data, span_text
+from orewright.llm.quality import quality
 from orewright.llm.token_files import read_token_files, write_token_files
+from orewright.llm.toxicity import toxicity
 from orewright.session import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +68,13 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_links(table(spark, folder, "embeddings"))
+
+
+@query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
