@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from orewright.llm.base import prepared, table
 from orewright.llm.decontamination import contaminated
 from orewright.llm.embedding_pairs import embedding_links
+from orewright.llm.language_model import language_scores
 from orewright.llm.mixing import mixed_sources
 from orewright.llm.ngram_join import ngram_jaccard_join
 from orewright.llm.personal_data import KINDS, personal_data, span_text
@@ -78,3 +79,8 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_language_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return language_scores(table(spark, folder, "documents"))
