@@ -15,6 +15,7 @@ from orewright.llm.language_model import language_scores
 from orewright.llm.mixing import mixed_sources
 from orewright.llm.ngram_join import ngram_jaccard_join
 from orewright.llm.personal_data import KINDS, personal_data, span_text
+from orewright.llm.preferences import clean_turns, pairs_by_first_turn, preference_examples
 from orewright.llm.quality import quality
 from orewright.llm.token_files import read_token_files, write_token_files
 from orewright.llm.toxicity import toxicity
@@ -84,3 +85,59 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_language_scores(spark: SparkSession, folder: str) -> DataFrame:
     return language_scores(table(spark, folder, "documents"))
+
+
+@query
+def op2_preference_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = clean_turns(table(spark, folder, "conversations"))
+    ids = turns.select("conv_id").distinct()
+    even = ids.filter("conv_id % 2 = 0").select(F.col("conv_id").alias("chosen_id"), (F.col("conv_id") + 1).alias("rejected_id"))
+    neighbours = even.join(ids.withColumnRenamed("conv_id", "rejected_id"), "rejected_id", "left_semi")
+    return preference_examples(turns, pairs_by_first_turn(turns).unionByName(neighbours))
+
+
+SQL["op2_preference_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, max(ROW(coalesce(role, 'user'), coalesce(text, ''))) AS said
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn
+), first AS (
+  SELECT conv_id, arg_min(said, turn) AS said FROM t GROUP BY conv_id
+), pairs AS (
+  SELECT * FROM (SELECT min(conv_id) OVER (PARTITION BY said) AS chosen_id, conv_id AS rejected_id FROM first)
+  WHERE chosen_id <> rejected_id
+  UNION SELECT a.conv_id, b.conv_id FROM first a JOIN first b ON b.conv_id = a.conv_id + 1 WHERE a.conv_id % 2 = 0
+), numbered AS (
+  SELECT p.chosen_id, p.rejected_id, coalesce(c.turn, r.turn) AS turn, c.said AS c, r.said AS r
+  FROM pairs p
+  JOIN (
+    SELECT p2.chosen_id, p2.rejected_id, t2.turn FROM pairs p2 JOIN t t2 ON t2.conv_id = p2.chosen_id
+    UNION SELECT p3.chosen_id, p3.rejected_id, t3.turn FROM pairs p3 JOIN t t3 ON t3.conv_id = p3.rejected_id
+  ) u ON u.chosen_id = p.chosen_id AND u.rejected_id = p.rejected_id
+  LEFT JOIN t c ON c.conv_id = p.chosen_id AND c.turn = u.turn
+  LEFT JOIN t r ON r.conv_id = p.rejected_id AND r.turn = u.turn
+), cut AS (
+  SELECT chosen_id, rejected_id, min(CASE WHEN c IS DISTINCT FROM r THEN turn END) AS cut FROM numbered GROUP BY ALL
+), shown AS (
+  SELECT n.*, k.cut, k.cut IS NULL OR n.turn < k.cut AS shared FROM numbered n JOIN cut k USING (chosen_id, rejected_id)
+), pieces AS (
+  SELECT chosen_id, rejected_id, turn, cut, 'p' AS part, c AS said FROM shown WHERE shared
+  UNION ALL SELECT chosen_id, rejected_id, turn, cut, 'c', c FROM shown WHERE NOT shared AND c IS NOT NULL
+  UNION ALL SELECT chosen_id, rejected_id, turn, cut, 'r', r FROM shown WHERE NOT shared AND r IS NOT NULL
+), text AS (
+  SELECT *, '<|im_start|>' || struct_extract_at(said, 1) || chr(10) || struct_extract_at(said, 2) || '<|im_end|>' || chr(10) AS piece FROM pieces
+), placed AS (
+  SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY chosen_id, rejected_id, part ORDER BY turn
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 13 + length(struct_extract_at(said, 1)) AS begin FROM text
+), masked AS (
+  SELECT *, CASE WHEN struct_extract_at(said, 1) = 'assistant'
+    THEN CAST(begin AS BIGINT) || ':' || CAST(begin + length(struct_extract_at(said, 2)) + 10 AS BIGINT) END AS span FROM placed
+)
+SELECT chosen_id, rejected_id,
+  count(*) FILTER (part = 'p') AS n_prompt_turns, max(cut) IS NULL AS tied,
+  coalesce(string_agg(piece, '' ORDER BY turn) FILTER (part = 'p'), '') AS prompt,
+  coalesce(string_agg(piece, '' ORDER BY turn) FILTER (part = 'c'), '') AS chosen,
+  coalesce(string_agg(span, ',' ORDER BY turn) FILTER (part = 'c'), '') AS chosen_mask,
+  coalesce(string_agg(piece, '' ORDER BY turn) FILTER (part = 'r'), '') AS rejected,
+  coalesce(string_agg(span, ',' ORDER BY turn) FILTER (part = 'r'), '') AS rejected_mask
+FROM masked GROUP BY chosen_id, rejected_id
+"""
