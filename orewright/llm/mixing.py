@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orewright.llm.base import GAP, stored
+from orewright.llm.base import GAP, WORD, stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -70,21 +70,19 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST) ->
     return rows.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def mixed_sources(
-    docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 17
-) -> DataFrame:
-    """doc_id, size, source_size, target, taken (words taken, repeats counted), epochs (whole copies), more
-    (words of the last copy), source and mark (hash of the text), a row for each row of the documents."""
-    text, doc_id = F.col("text").cast("string"), F.col("doc_id")
-    rows = docs.select(
-        "doc_id", F.col("source").cast("string").alias("source"), word_count(text).alias("size"),
-        text_quality(text).alias("quality"), F.xxhash64("text").alias("mark"),
+def mixed_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 17) -> DataFrame:
+    """A row for each document: ``doc`` with all its columns, and size, source_size, target, epochs (whole
+    copies), more (words of the last copy) and taken (words taken, repeats counted)."""
+    text = F.col("doc.text").cast("string")
+    drawn = docs.select(F.struct("*").alias("doc")).select(
+        "doc", F.col("doc.source").cast("string").alias("source"), word_count(text).alias("size"),
+        F.xxhash64(F.lit(seed), "doc.doc_id", text).alias("draw"), text_quality(text).alias("quality"),
     )
-    draws = F.xxhash64(F.lit(seed), doc_id, F.col("mark"))
-    u = (F.shiftrightunsigned(draws, 11).cast("double") + 0.5) / float(1 << 53)
-    key = -F.log(u) / F.col("quality")
-    # The key's place in (0, 1) is 1 - exp(-key): keys in order, evenly spread where quality is 1.
-    rows = stored(rows.withColumn("place", 1 - F.exp(-key)), "sizes")
+    u = (F.shiftrightunsigned("draw", 11).cast("double") + 0.5) / float(1 << 53)
+    # An exponential key -ln(u) / quality has its place in (0, 1) at 1 - exp(-key): in order, and evenly spread
+    # where quality is 1.
+    drawn = drawn.withColumn("place", 1 - F.exp(F.log(u) / F.col("quality"))).drop("quality")
+    rows = stored(drawn.select("source", "size", "place"), "sizes")
 
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sources, weights, share, most).withColumn(
@@ -95,13 +93,13 @@ def mixed_sources(
     )
 
     # Level by level: the slice of each source in which the rest of the target ends, and the words before it.
+    def slice_at(level: int) -> Column:
+        return F.floor(F.col("place") * float(SLICES**level)).cast("long")
+
     ends = targets.select(F.col("source").alias("of"), F.lit(0).cast("long").alias("prefix"), "rest")
-    part = lambda level: F.floor(F.col("place") * float(SLICES**level)).cast("long")
     for level in range(1, LEVELS + 1):
-        inside = rows.select("source", "size", "place").join(
-            ends, F.col("source").eqNullSafe(F.col("of")) & (part(level - 1) == F.col("prefix"))
-        )
-        sums = inside.groupBy("of", part(level).alias("slice")).agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
+        inside = rows.join(ends, F.col("source").eqNullSafe(F.col("of")) & (slice_at(level - 1) == F.col("prefix")))
+        sums = inside.groupBy("of", slice_at(level).alias("slice")).agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
         running = F.sum("words").over(Window.partitionBy("of").orderBy("slice"))
         sums = sums.withColumn("upto", running).filter("upto >= rest")
         ends = sums.groupBy("of").agg(F.min(F.struct("slice", "upto", "words", "rest")).alias("e")).select(
@@ -109,17 +107,29 @@ def mixed_sources(
         )
         ends = stored(ends, "ends")
 
-    found = targets.select(F.col("source").alias("of"), "source_size", "target", "epochs").join(
-        ends.withColumnRenamed("of", "at"), F.col("of").eqNullSafe(F.col("at")), "left"
-    )
-    rows = rows.join(found, F.col("source").eqNullSafe(F.col("of")))
-    here = part(LEVELS)
-    last = rows.filter(here == F.col("prefix"))
-    order = Window.partitionBy("of").orderBy("place", "doc_id", "mark").rowsBetween(Window.unboundedPreceding, -1)
-    cut = last.withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0)))
-    rest = F.least("size", F.greatest(F.lit(0), F.col("rest") - F.col("before")))
-    others = rows.filter(here.isNotNull() & F.coalesce(here != F.col("prefix"), F.lit(True)))
-    whole = F.when(here < F.col("prefix"), F.col("size")).otherwise(0)
-    out = cut.withColumn("more", rest).drop("before").unionByName(others.withColumn("more", whole))
+    found = targets.drop("rest").join(ends, F.col("source").eqNullSafe(F.col("of"))).drop("source")
+    drawn = drawn.join(found, F.col("source").eqNullSafe(F.col("of"))).withColumn("here", slice_at(LEVELS))
+    last = drawn.filter("here = prefix")
+    order = Window.partitionBy("of").orderBy("place", "draw").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("size").over(order), F.lit(0))
+    last = last.withColumn("more", F.least("size", F.greatest(F.lit(0), F.col("rest") - before)))
+    others = drawn.filter("here <> prefix").withColumn("more", F.when(F.col("here") < F.col("prefix"), F.col("size")).otherwise(0))
     taken = (F.col("epochs") * F.col("size") + F.col("more")).cast("long")
-    return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "epochs", "more", "source", "mark")
+    return last.unionByName(others).select("doc", "size", "source_size", "target", "epochs", "more", taken.alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
+    """The documents as the mix takes them: a row for each copy, the last one cut behind the last word it gives.
+
+    Columns are those of the documents; ``n_chars``, where there is one, follows a cut text.
+    """
+    mixed = mixed_sources(docs, **settings).filter("taken > 0")
+    copies = F.sequence(F.lit(1).cast("long"), F.col("epochs") + F.when(F.col("more") > 0, 1).otherwise(0))
+    copied = mixed.select("doc", "size", "epochs", "more", F.explode(copies).alias("copy"))
+    cut = (F.col("copy") > F.col("epochs")) & (F.col("more") < F.col("size"))
+    # Possessive, so that a long text needs no stack.
+    pattern = F.concat(F.lit(rf"\A(?:(?:{GAP}+)?+{WORD}+){{"), F.col("more").cast("string"), F.lit("}+"))
+    text = F.when(cut, F.call_function("regexp_extract", F.col("doc.text"), pattern, F.lit(0))).otherwise(F.col("doc.text"))
+    changed = {"text": text, "n_chars": F.when(cut, F.length(text)).otherwise(F.col("doc.n_chars")) if "n_chars" in docs.columns else None}
+    out = [(changed.get(c) if changed.get(c) is not None else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns]
+    return copied.select(*out)

@@ -45,7 +45,7 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixed_sources(table(spark, folder, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc.doc_id", "size", "source_size", "target", "taken")
 
 
 @query
