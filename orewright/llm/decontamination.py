@@ -81,7 +81,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, seeds=SEEDS, overlap: fl
     bits = _bit_set(item_hits)
     short = sorted({r[0] for r in item_hits.filter(F.col("n") < len(seeds[0])).select("n").distinct().collect()})
 
-    words = docs.filter("doc_id is not null").select("doc_id", bare_words(F.col("text")).alias("words"))
+    docs = docs.filter("doc_id is not null").select("doc_id", "text")
+    words = docs.select("doc_id", bare_words(F.col("text")).alias("words"))
     hashes = [F.transform(_window_hashes(F.col("words"), s, c), lambda h, i: F.struct(i.alias("pos"), h.alias("hash"))) for c, s in enumerate(seeds)]
     for n in short:  # items of so few words (at most a window's) are looked for as whole runs
         runs = F.transform(
@@ -95,7 +96,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, seeds=SEEDS, overlap: fl
     near = stored(near, "hits")
 
     # Lay the item over the document's words at every shift and count what agrees.
-    laid = near.join(items, "item_id").join(words.join(near.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id")
+    hit = docs.join(near.select("doc_id").distinct(), "doc_id", "left_semi")
+    laid = near.join(items, "item_id").join(hit.select("doc_id", bare_words(F.col("text")).alias("words")), "doc_id")
     first = F.greatest(F.lit(0), F.col("shift"))
     window = F.slice("words", first + 1, F.size("item") + F.least(F.lit(0), F.col("shift")))
     other = F.slice("item", F.greatest(F.lit(0), -F.col("shift")) + 1, F.size("item"))
