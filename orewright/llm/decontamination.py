@@ -12,7 +12,8 @@ lets more hashes pass to the join. The join, and the verification's joins, are l
 by size; a hash in a third of all documents is one row on the benchmark's side.
 
 Words are runs without white space, A-Z in lower case, bare of ASCII punctuation at both ends, so that an item within a sentence is
-found; words of punctuation only are dropped. Items shorter than a window are matched whole, as one run of words.
+found; words of punctuation only are dropped. Items shorter than a window
+(a handful of lengths at most) are matched whole, as one run of words.
 
 Defined cases: missing and empty texts and texts without words match nothing, and neither do such items. Rows
 that share an id are one document: their matches are joined. A missing doc_id or item_id drops the
@@ -50,6 +51,13 @@ def _window_hashes(words: Column, seed: str, code: int) -> Column:
     return F.when(F.size(words) >= span, each).when(F.size(words) > 0, F.array(whole)).otherwise(F.array().cast("array<bigint>"))
 
 
+def _whole_runs(words: Column, n: int) -> Column:
+    """Place and hash of every run of so many words, as items shorter than a window are hashed."""
+    places = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
+    run = lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(-1), F.array_join(F.slice(words, i + 1, n), " ")).alias("hash"))
+    return F.transform(places, run)
+
+
 def _bit_set(hashes: DataFrame) -> Column:
     """A literal array of 64-bit words with the bits of all hashes set."""
     slot = F.shiftrightunsigned("hash", 64 - BITS)
@@ -84,12 +92,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, seeds=SEEDS, overlap: fl
     docs = docs.filter("doc_id is not null").select("doc_id", "text")
     words = docs.select("doc_id", bare_words(F.col("text")).alias("words"))
     hashes = [F.transform(_window_hashes(F.col("words"), s, c), lambda h, i: F.struct(i.alias("pos"), h.alias("hash"))) for c, s in enumerate(seeds)]
-    for n in short:  # items of so few words (at most a window's) are looked for as whole runs
-        runs = F.transform(
-            F.when(F.size("words") >= n, F.sequence(F.lit(0), F.size("words") - n)).otherwise(F.array().cast("array<int>")),
-            lambda i, n=n: F.struct(i.alias("pos"), F.xxhash64(F.lit(-1), F.array_join(F.slice("words", i + 1, n), " ")).alias("hash")),
-        )
-        hashes.append(runs)
+    hashes += [_whole_runs(F.col("words"), n) for n in short]
     passed = [F.filter(h, lambda x: _may_hold(bits, x["hash"])) for h in hashes]
     hits = words.select("doc_id", F.explode(F.concat(*passed)).alias("h")).select("doc_id", "h.pos", "h.hash")
     near = hits.join(item_hits, "hash").select("doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct()
