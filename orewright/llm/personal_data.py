@@ -1,7 +1,7 @@
 """Personal data by weak supervision, in native column expressions only.
 
 Candidates are matches of a strict and of a loose pattern for each kind. Four labelers vote on each
-candidate (1 yes, 0 no, or no vote): the strict rule, a gazetteer (top-level domains, reserved address
+candidate (1 yes, 0 no, or no vote): the strict rule (no vote on loose matches), a gazetteer (top-level domains, reserved address
 blocks, issuer and country prefixes), cue words before the span, and the span's shape. Votes are counted by
 kind and pattern, at most ``4 * 3 ** 4`` rows, on which expectation-maximisation estimates how reliable each
 labeler is and how likely each candidate is real, without labels. A logistic classifier of the votes,
@@ -39,7 +39,7 @@ STRICT = {
 HINT = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?+[0-9]){15}", "phone": r"\+[0-9]"}
 LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{1,63}+(?: ?(?:\.|[\[(](?:dot|DOT)[\])]) ?[A-Za-z0-9-]{1,63}+){1,8}+",
-    "phone": r"(?<![0-9+().\x20-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![\x20.-]?[0-9])",
+    "phone": r"(?<![0-9(])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![\x20.-]?[0-9])",
 }
 LOOSE_HINT = {"email": r"[\[(](?:at|AT)[\])]", "phone": r"[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}"}
 
@@ -134,7 +134,7 @@ def _labelled(kind: str, loose: bool):
     def label(s: Column) -> Column:
         strict = F.lit(False) if loose else _strict(kind, s["found"])
         cue = F.when(s["before"].rlike(CUES[kind]), True).when(s["before"].rlike(NOT_CUES), False)
-        ballot = (strict, _gazetteer(kind, s["found"]), cue, _shape(kind, s["found"]))
+        ballot = (F.lit(None).cast("boolean") if loose else strict, _gazetteer(kind, s["found"]), cue, _shape(kind, s["found"]))
         votes = sum((3**k * _vote(v) for k, v in enumerate(ballot)), F.lit(0))
         return F.struct(
             F.lit(KINDS.index(kind)).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"),
