@@ -25,8 +25,8 @@ def titled(col: Column) -> Column:
 
 
 def without_controls(col: Column) -> Column:
-    """Trim, then strip control characters (in that order, so inner ones leave no gap)."""
-    return F.regexp_replace(F.trim(col), r"\p{Cntrl}", "")
+    """Trim white space of any kind, then strip control characters (in that order, so inner ones leave no gap)."""
+    return F.regexp_replace(F.regexp_replace(col, r"(?U)\A\s+|\s+\z", ""), r"\p{Cntrl}", "")
 
 
 def joined(*cols: Column, sep: str = " ") -> Column:

@@ -18,10 +18,10 @@ def assign_period(
     """Inner join of dates to the periods holding them, both ends included.
 
     Each period becomes its days, so the range test is an equality and runs as a hash
-    join. The day table is as long as the calendar; Spark broadcasts it while it is below
+    join. A period that ends before it starts holds no day. The day table is as long as the calendar; Spark broadcasts it while it is below
     the broadcast threshold and sorts-merges it above.
     """
-    days = periods.withColumn("_day", F.explode(F.sequence(F.col(start), F.col(end)))).drop(start, end)
+    days = periods.filter(F.col(start) <= F.col(end)).withColumn("_day", F.explode(F.sequence(F.col(start), F.col(end)))).drop(start, end)
     return df.join(days, df[date_col] == days["_day"]).drop("_day")
 
 
@@ -77,12 +77,15 @@ def distributed_rank(
 ) -> DataFrame:
     """``rank()`` over all rows, highest first, ties sharing and skipping ranks.
 
-    Values lie in [low, high]. They are cut into ``steps`` bands; a row's rank is the
-    number of rows in higher bands plus its rank inside its own band. The only
-    unpartitioned step runs over at most ``steps + 1`` band totals. NULLs come last.
+    Values are expected in [low, high], which is cut into ``steps`` bands; those beyond
+    belong to the outer bands. A row's rank is the number of rows in higher bands plus its
+    rank inside its own band. The only unpartitioned step runs over at most ``steps + 2``
+    band totals. NULLs have a band of their own and come last.
     """
     width = (high - low) / steps
-    band = F.coalesce(F.floor((F.col(value) - low) / width).cast("int"), F.lit(-1))
+    clamped = F.least(F.greatest(F.col(value), F.lit(low)), F.lit(high))
+    place = F.floor((clamped - low) / width).cast("int")
+    band = F.when(F.col(value).isNull(), -1).otherwise(place)
     banded = df.withColumn("_band", band)
     totals = banded.groupBy("_band").agg(F.count(F.lit(1)).alias("_n"))
     ahead = totals.select(

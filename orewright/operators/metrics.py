@@ -51,7 +51,8 @@ def _minus(name: str, left: str, right: str) -> None:
 
 # --- retail: over the item-level fact with ``est_profit``, or its order-level sums -------
 def _recognized(col: str) -> Column:
-    return F.when(recognized(F.col("order_status")), F.col(col))
+    # A metric is not SQL: a blank status is none of the excluded ones, so it counts.
+    return F.when(F.coalesce(recognized(F.col("order_status")), F.lit(True)), F.col(col))
 
 
 _simple("recognized_revenue", lambda: F.sum(_recognized("net_sales")))
@@ -93,6 +94,11 @@ _simple("average_tenure", lambda: F.avg("tenure_years"))
 _ratio("salary_per_tenure_year", "average_salary", "average_tenure")
 
 # --- performance: over reviews ----------------------------------------------------------
+def _low(rating: Column) -> Column:
+    """Below three; a blank rating compares as zero."""
+    return F.coalesce(rating, F.lit(0)) < 3
+
+
 _simple("review_count", lambda: F.count(F.lit(1)))
 _simple("reviewed_employees", lambda: F.countDistinct("employee_id"))
 _simple("average_goals_met_pct", lambda: F.avg("goals_met_pct"))
@@ -103,7 +109,7 @@ _simple(
 )
 _simple(
     "low_performers",
-    lambda: F.countDistinct(F.when(F.col("overall_rating") < 3, F.col("employee_id"))),
+    lambda: F.countDistinct(F.when(_low(F.col("overall_rating")), F.col("employee_id"))),
 )
 _ratio("high_performer_pct", "high_performers", "reviewed_employees")
 _ratio("low_performer_pct", "low_performers", "reviewed_employees")
@@ -137,10 +143,10 @@ def _gross_margin() -> Column:
 
 
 def profit_lines(fact: DataFrame, products: DataFrame) -> DataFrame:
-    """Fact rows with category, and sales less estimated cost; NULL for an unknown product."""
+    """Fact rows with category, and sales less estimated cost; a blank on either side counts as zero."""
     looked = related(fact, products, "product_id", ["category", "unit_cost"])
-    profit = F.col("net_sales") - F.col("unit_cost") * F.col("quantity")
-    return looked.withColumn("est_profit", profit)
+    cost = F.coalesce(F.col("unit_cost") * F.col("quantity"), F.lit(0))
+    return looked.withColumn("est_profit", F.coalesce("net_sales", F.lit(0)) - cost)
 
 
 def order_grain(lines: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -184,7 +190,7 @@ def review_scores(reviews: DataFrame, by: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("_n"),
         F.sum("goals_met_pct").alias("_goals"), F.count("goals_met_pct").alias("_goals_n"),
         F.sum(rating).alias("_rating"), F.count(rating).alias("_rating_n"),
-        F.max(rating).alias("_best"), F.min(rating).alias("_worst"),
+        F.max(rating).alias("_best"), F.bool_or(_low(rating)).alias("_low"),
         F.sum(F.when(active, rating)).alias("_active"), F.count(F.when(active, rating)).alias("_active_n"),
     )
     totals = per.groupBy(*by).agg(
@@ -193,7 +199,7 @@ def review_scores(reviews: DataFrame, by: Sequence[str]) -> DataFrame:
         safe_divide(F.sum("_goals"), F.sum("_goals_n")).alias("average_goals_met_pct"),
         safe_divide(F.sum("_rating"), F.sum("_rating_n")).alias("average_rating"),
         F.count(F.when(F.col("_best") >= 4, F.col("employee_id"))).alias("high_performers"),
-        F.count(F.when(F.col("_worst") < 3, F.col("employee_id"))).alias("low_performers"),
+        F.count(F.when(F.col("_low"), F.col("employee_id"))).alias("low_performers"),
         safe_divide(F.sum("_active"), F.sum("_active_n")).alias("average_rating_active"),
     )
     reviewed = F.col("reviewed_employees")
@@ -215,17 +221,24 @@ def workforce_by(employees: DataFrame, departments: DataFrame, by: str) -> DataF
     """Headcounts against budget per value of a department column.
 
     The budget is summed on the departments, never on the joined rows, which would repeat it.
+    Employees of an unknown department are a blank member's, a department without staff has
+    counts of zero, and a blank budget counts as zero in the variance.
     """
-    names = departments.select("department_id", by) if by != "department_id" else None
-    placed = employees.join(names, "department_id") if names is not None else employees
+    names = departments.select("department_id", F.col(by).alias("_by"))
+    placed = employees.join(names, "department_id", "left").drop(by).withColumnRenamed("_by", by)
     heads = evaluate(
         placed,
         ["total_headcount", "active_employees", "active_employees_2", "inactive_employees", "turnover_rate"],
         [by],
     )
     budget = evaluate(departments, ["budgeted_headcount"], [by])
-    gap = F.col("total_headcount") - F.col("budgeted_headcount")
-    return budget.join(heads, by, "left").withColumns(
+    counts = ["total_headcount", "active_employees", "active_employees_2", "inactive_employees"]
+    held = heads.withColumnRenamed(by, "_by")
+    both = budget.join(held, F.col(by).eqNullSafe(F.col("_by")), "full").withColumns(
+        {by: F.coalesce(by, "_by"), **{c: F.coalesce(c, F.lit(0)) for c in counts}}
+    )
+    gap = F.col("total_headcount") - F.coalesce("budgeted_headcount", F.lit(0))
+    return both.drop("_by").withColumns(
         {
             "headcount_variance": gap,
             "headcount_variance_pct": safe_divide(gap, F.col("budgeted_headcount")),

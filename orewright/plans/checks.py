@@ -20,6 +20,8 @@ def key2(text: str, x: str) -> str:
 
 
 RECOGNIZED = "order_status NOT IN ('cancelled', 'refunded')"
+# The metric layer's rule: a blank status is none of the excluded ones.
+COUNTED = "(order_status IS NULL OR order_status NOT IN ('cancelled', 'refunded'))"
 BREACH3 = "(temperature_celsius > 100 OR pressure_psi > 42 OR vibration_mms > 5.5)"
 BREACH4 = "(temperature_celsius > 100 OR pressure_psi > 42 OR vibration_mms > 5.5 OR humidity_percent > 75)"
 
@@ -61,7 +63,8 @@ CTES: dict[str, str] = {
         FROM part""",
     "r_orders": """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_datetime,
-          CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'placed' ELSE 'cancelled' END AS order_status,
+          CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'delivered'
+               WHEN o_orderstatus = 'O' THEN 'placed' ELSE 'cancelled' END AS order_status,
           lower(o_orderpriority) AS channel, 'card ' || substr(o_orderpriority, 1, 1) AS payment_method,
           'Town' || substr(o_orderpriority, 1, 1) AS ship_city, upper(o_orderstatus) AS ship_state,
           substr(o_orderpriority, 1, 1) AS ship_postal_code, 'US' AS ship_country, o_orderdate AS updated_at
@@ -124,7 +127,7 @@ CTES: dict[str, str] = {
     "h_reviews": """
         SELECT 'R' || o_orderkey AS review_id, 'E' || o_custkey AS employee_id,
           year(o_orderdate) || CASE WHEN month(o_orderdate) <= 6 THEN '-H1' ELSE '-H2' END AS review_cycle,
-          CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS overall_rating,
+          CASE WHEN o_orderkey % 37 <> 0 THEN CAST(substr(o_orderpriority, 1, 1) AS BIGINT) END AS overall_rating,
           CAST(floor(o_totalprice) AS BIGINT) % 101 AS goals_met_pct, 'E' || (o_custkey % 50) AS reviewer_id,
           CAST(o_orderdate AS DATE) AS review_date, 'Exceptional' AS performance_band
         FROM orders""",

@@ -9,7 +9,7 @@ from orewright.functions.numbers import safe_divide
 from orewright.operators import grains
 from orewright.operators import metrics as op
 from orewright.plans import ledger, retail, workforce
-from orewright.plans.checks import RECOGNIZED
+from orewright.plans.checks import COUNTED
 from orewright.plans.registry import query
 from orewright.sources.adapters import Given, shared
 
@@ -17,11 +17,11 @@ RETAIL = [
     "recognized_revenue", "gross_revenue", "orders", "recognized_orders", "units", "aov", "estimated_gross_profit",
 ]
 RETAIL_SQL = f"""
-    sum(CASE WHEN {RECOGNIZED} THEN net_sales END) AS recognized_revenue, sum(gross_sales) AS gross_revenue,
-    count(DISTINCT order_id) AS orders, count(DISTINCT CASE WHEN {RECOGNIZED} THEN order_id END) AS recognized_orders,
+    sum(CASE WHEN {COUNTED} THEN net_sales END) AS recognized_revenue, sum(gross_sales) AS gross_revenue,
+    count(DISTINCT order_id) AS orders, count(DISTINCT CASE WHEN {COUNTED} THEN order_id END) AS recognized_orders,
     CAST(sum(quantity) AS BIGINT) AS units,
-    CAST(sum(CASE WHEN {RECOGNIZED} THEN net_sales END) AS DOUBLE) / nullif(count(DISTINCT CASE WHEN {RECOGNIZED} THEN order_id END), 0) AS aov,
-    sum(net_sales - unit_cost * quantity) AS estimated_gross_profit
+    CAST(sum(CASE WHEN {COUNTED} THEN net_sales END) AS DOUBLE) / nullif(count(DISTINCT CASE WHEN {COUNTED} THEN order_id END), 0) AS aov,
+    sum(coalesce(net_sales, 0) - coalesce(unit_cost * quantity, 0)) AS estimated_gross_profit
     FROM r_fact f LEFT JOIN r_products p ON f.product_id = p.product_id"""
 RETAIL_REAL = ["recognized_revenue", "gross_revenue", "estimated_gross_profit"]
 
@@ -33,10 +33,10 @@ def lines(g: Given) -> DataFrame:
 
 @shared
 def review_facts(g: Given) -> DataFrame:
-    """Reviews with their employee's status and department name."""
+    """Reviews with their employee's status and department name, blank for an unknown department."""
     staff = workforce.employees(g).select("employee_id", "is_active")
     placed = workforce.op.fact_performance(workforce.reviews(g), workforce.employees(g)).join(staff, "employee_id")
-    return placed.join(workforce.departments(g).select("department_id", "department_name"), "department_id")
+    return placed.join(workforce.departments(g).select("department_id", "department_name"), "department_id", "left")
 
 
 @query("M-01", "M-02", "M-03", "M-04", "M-05", "M-06", "M-07", "J-16", "F-18",
@@ -71,7 +71,7 @@ def lifetime_orders(g: Given) -> DataFrame:
 @query("M-09", "W-05", sql=f"""
     SELECT "Order_Bucket", channel, recognized_revenue,
       CAST(recognized_revenue AS DOUBLE) / CAST(sum(recognized_revenue) OVER (PARTITION BY channel) AS DOUBLE) AS revenue_pct_of_total
-    FROM (SELECT "Order_Bucket", channel, sum(CASE WHEN {RECOGNIZED} THEN net_sales END) AS recognized_revenue
+    FROM (SELECT "Order_Bucket", channel, sum(CASE WHEN {COUNTED} THEN net_sales END) AS recognized_revenue
           FROM r_fact f LEFT JOIN r_dim_customer c ON f.customer_id = c.customer_id GROUP BY ALL)""",
        real=["recognized_revenue"], ratios=["revenue_pct_of_total"])
 def revenue_pct_of_total(g: Given) -> DataFrame:
@@ -83,15 +83,17 @@ def revenue_pct_of_total(g: Given) -> DataFrame:
     WITH heads AS (
       SELECT d.division, count(DISTINCT employee_id) AS total_headcount,
         count(DISTINCT CASE WHEN is_active THEN employee_id END) AS active_employees
-      FROM h_employees e JOIN h_departments d ON e.department_id = d.department_id GROUP BY 1),
+      FROM h_employees e LEFT JOIN h_departments d ON e.department_id = d.department_id GROUP BY 1),
     budget AS (SELECT division, CAST(sum(head_count_budget) AS BIGINT) AS budgeted_headcount FROM h_departments GROUP BY 1)
-    SELECT b.division, budgeted_headcount, total_headcount, active_employees, active_employees AS active_employees_2,
-      total_headcount - active_employees AS inactive_employees,
-      CAST(total_headcount - active_employees AS DOUBLE) / total_headcount AS turnover_rate,
-      total_headcount - budgeted_headcount AS headcount_variance,
-      CAST(total_headcount - budgeted_headcount AS DOUBLE) / budgeted_headcount AS headcount_variance_pct,
-      CAST(total_headcount AS DOUBLE) / budgeted_headcount AS headcount_to_budget_ratio
-    FROM budget b LEFT JOIN heads h ON b.division = h.division""",
+    SELECT division, budgeted_headcount, n AS total_headcount, active AS active_employees, active AS active_employees_2,
+      n - active AS inactive_employees,
+      CASE WHEN n > 0 THEN CAST(n - active AS DOUBLE) / n END AS turnover_rate,
+      n - coalesce(budgeted_headcount, 0) AS headcount_variance,
+      CAST(n - budgeted_headcount AS DOUBLE) / budgeted_headcount AS headcount_variance_pct,
+      CAST(n AS DOUBLE) / budgeted_headcount AS headcount_to_budget_ratio
+    FROM (SELECT division, max(budgeted_headcount) AS budgeted_headcount, max(n) AS n, max(active) AS active
+      FROM (SELECT division, budgeted_headcount, 0 AS n, 0 AS active FROM budget
+        UNION ALL SELECT division, NULL, total_headcount, active_employees FROM heads) GROUP BY division)""",
        ratios=["turnover_rate", "headcount_variance_pct", "headcount_to_budget_ratio"])
 def workforce_metrics(g: Given) -> DataFrame:
     return op.workforce_by(workforce.employees(g), workforce.departments(g), "division")
@@ -101,26 +103,28 @@ def workforce_metrics(g: Given) -> DataFrame:
     SELECT d.department_name, count(*) AS review_count, count(DISTINCT r.employee_id) AS reviewed_employees,
       avg(goals_met_pct) AS average_goals_met_pct, avg(overall_rating) AS average_rating,
       count(DISTINCT CASE WHEN overall_rating >= 4 THEN r.employee_id END) AS high_performers,
-      count(DISTINCT CASE WHEN overall_rating < 3 THEN r.employee_id END) AS low_performers,
+      count(DISTINCT CASE WHEN coalesce(overall_rating, 0) < 3 THEN r.employee_id END) AS low_performers,
       CAST(count(DISTINCT CASE WHEN overall_rating >= 4 THEN r.employee_id END) AS DOUBLE) / count(DISTINCT r.employee_id) AS high_performer_pct,
-      CAST(count(DISTINCT CASE WHEN overall_rating < 3 THEN r.employee_id END) AS DOUBLE) / count(DISTINCT r.employee_id) AS low_performer_pct,
+      CAST(count(DISTINCT CASE WHEN coalesce(overall_rating, 0) < 3 THEN r.employee_id END) AS DOUBLE) / count(DISTINCT r.employee_id) AS low_performer_pct,
       CASE WHEN avg(overall_rating) >= 4.5 THEN 'Top Tier' WHEN avg(overall_rating) >= 3.5 THEN 'Strong'
            WHEN avg(overall_rating) >= 2.5 THEN 'Needs Development' ELSE 'Low' END AS performance_band_label,
       avg(CASE WHEN is_active THEN overall_rating END) AS average_rating_active
     FROM h_reviews r JOIN h_employees e ON r.employee_id = e.employee_id
-    JOIN h_departments d ON e.department_id = d.department_id GROUP BY d.department_name""",
+    LEFT JOIN h_departments d ON e.department_id = d.department_id GROUP BY d.department_name""",
        ratios=["average_goals_met_pct", "average_rating", "high_performer_pct", "low_performer_pct", "average_rating_active"])
 def performance_metrics(g: Given) -> DataFrame:
     return op.review_scores(review_facts(g), ["department_name"])
 
 
 @query("M-22", "W-04", sql="""
-    SELECT department_name, average_rating, CAST(rank() OVER (ORDER BY average_rating DESC) AS INTEGER) AS department_rank
+    SELECT department_name, average_rating, CAST(rank() OVER (ORDER BY average_rating DESC NULLS LAST) AS INTEGER) AS department_rank
     FROM (SELECT d.department_name, avg(overall_rating) AS average_rating
-      FROM h_reviews r JOIN h_employees e ON r.employee_id = e.employee_id
-      JOIN h_departments d ON e.department_id = d.department_id GROUP BY 1)""", ratios=["average_rating"])
+      FROM h_departments d LEFT JOIN h_employees e ON e.department_id = d.department_id
+      LEFT JOIN h_reviews r ON r.employee_id = e.employee_id GROUP BY 1)""", ratios=["average_rating"])
 def department_rank(g: Given) -> DataFrame:
+    """All departments; those without a rating share the last rank."""
     rated = op.evaluate(review_facts(g), ["average_rating"], ["department_name"])
+    rated = workforce.departments(g).select("department_name").distinct().join(rated, "department_name", "left")
     return grains.distributed_rank(rated, "average_rating", 0.0, 5.0, 100, "department_rank")
 
 

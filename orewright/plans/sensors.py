@@ -106,7 +106,7 @@ def project_as(g: Given) -> DataFrame:
     FROM s_day GROUP BY device_id""",
 )
 def sensor_averages(g: Given) -> DataFrame:
-    return op.sensor_averages(readings(g), now(g))
+    return op.sensor_averages(readings(g), now(g)).orderBy("device_id")
 
 
 @query(
@@ -118,7 +118,7 @@ def sensor_averages(g: Given) -> DataFrame:
     text=["bin"],
 )
 def zone_bins(g: Given) -> DataFrame:
-    return op.zone_bins(readings(g), now(g))
+    return op.zone_bins(readings(g), now(g)).orderBy(F.col("bin").desc(), "zone")
 
 
 @query(
@@ -129,7 +129,7 @@ def zone_bins(g: Given) -> DataFrame:
     text=["event_time"],
 )
 def temp_trend(g: Given) -> DataFrame:
-    return op.temp_trend(readings(g))
+    return op.temp_trend(readings(g)).orderBy("event_time")
 
 
 @query(
@@ -145,7 +145,7 @@ def vibration_card(g: Given) -> DataFrame:
 @query("A-22", "V-08",
        sql="SELECT zone, count(*) FILTER (is_anomaly) AS anomalies FROM s_day GROUP BY zone")
 def anomalies_by_zone(g: Given) -> DataFrame:
-    return op.anomalies_by_zone(readings(g), now(g))
+    return op.anomalies_by_zone(readings(g), now(g)).orderBy(F.col("anomalies").desc(), "zone")
 
 
 @query(
@@ -158,7 +158,7 @@ def anomalies_by_zone(g: Given) -> DataFrame:
     text=["Last Reading"],
 )
 def latest_per_device(g: Given) -> DataFrame:
-    return op.latest_per_device(readings(g))
+    return op.latest_per_device(readings(g)).orderBy("Device")
 
 
 @query(

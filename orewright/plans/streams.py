@@ -86,7 +86,8 @@ def stream_upsert(g: Given) -> DataFrame:
     target, feed = integrate.mirror_target(g), integrate.mirror_feed(stream(g, "orders"))
     sinks.start_mirror(target, f"{root}/table")
     sinks.finish(sinks.follow_changes(feed, f"{root}/table", f"{root}/checkpoint", keys, order, once=True))
-    return sinks.read_mirror(g.spark, f"{root}/table", target.schema, feed.schema, keys, order)
+    sinks.fold_mirror(g.spark, f"{root}/table", f"{root}/folded", feed.schema, keys, order)
+    return sinks.read_mirror(g.spark, f"{root}/folded", target.schema, feed.schema, keys, order)
 
 
 @query("T-06", sql="""

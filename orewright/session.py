@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Runtime settings the operators count on. Nothing here depends on the size of the
@@ -28,12 +29,14 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = 8, name: str = "orewright") -> SparkSession:
-    """A local session for tests and the bench."""
+    """A local session for tests and the bench, with a working folder of its own unless one is configured."""
+    shared = SparkConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="orewright-")
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", shared)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -45,13 +48,9 @@ def local_session(cores: int | str = 8, name: str = "orewright") -> SparkSession
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared one that ``spark.checkpoint.dir`` names.
 
-    Only a local session without that setting falls back to a temporary folder; on a
-    cluster a missing setting is an error, as other machines could not read the files.
+    A missing setting is an error on any master: no folder of one machine stands in for it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="orewright-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/orewright/{purpose}-{uuid.uuid4().hex}"

@@ -110,7 +110,8 @@ def retail_orders(g: Given) -> DataFrame:
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_datetime"),
-        F.when(state == "F", " Delivered").when(state == "O", "placed ").otherwise("CANCELLED").alias("order_status"),
+        F.when(F.col("o_orderkey") % 41 == 0, None).when(state == "F", " Delivered").when(state == "O", "placed ")
+        .otherwise("CANCELLED").alias("order_status"),
         F.col("o_orderpriority").alias("channel"),
         F.concat(F.lit("Card "), F.substring("o_orderpriority", 1, 1)).alias("payment_method"),
         F.concat(F.lit(" town"), F.substring("o_orderpriority", 1, 1)).alias("ship_city"),
@@ -190,7 +191,7 @@ def hr_reviews(g: Given) -> DataFrame:
         _number("R", "o_orderkey").alias("review_id"),
         _number("E", "o_custkey").alias("employee_id"),
         F.concat(F.year(when).cast("string"), half).alias("review_cycle"),
-        F.substring("o_orderpriority", 1, 1).cast("long").alias("overall_rating"),
+        F.when(F.col("o_orderkey") % 37 != 0, F.substring("o_orderpriority", 1, 1).cast("long")).alias("overall_rating"),
         (F.floor("o_totalprice").cast("long") % 101).alias("goals_met_pct"),
         F.concat(F.lit("E"), (F.col("o_custkey") % 50).cast("string")).alias("reviewer_id"),
         when.alias("review_date"),

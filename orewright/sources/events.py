@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from orewright.functions.payload import CORRUPT, decoded
 
-# Fields of one sensor event; the event time arrives as text.
+# Fields of one sensor event; the event time arrives as text, the flag as text or a truth value.
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event_time", T.StringType()),
@@ -19,7 +19,7 @@ EVENT_SCHEMA = T.StructType(
         T.StructField("pressure_psi", T.DoubleType()),
         T.StructField("vibration_mms", T.DoubleType()),
         T.StructField("humidity_percent", T.DoubleType()),
-        T.StructField("is_anomaly", T.BooleanType()),
+        T.StructField("is_anomaly", T.StringType()),
     ]
 )
 
@@ -28,10 +28,8 @@ def parse_events(df: DataFrame, body: str = "body", schema: T.StructType = EVENT
     """Typed readings beside the other columns; text that does not parse keeps its row."""
     rest = [c for c in df.columns if c != body]
     event = df.select(*rest, decoded(F.col(body), schema).alias("_e"))
+    typed = {"event_time": "timestamp", "is_anomaly": "boolean"}
     fields = [
-        F.col(f"_e.{f.name}").try_cast("timestamp").alias(f.name)
-        if f.name == "event_time"
-        else F.col(f"_e.{f.name}").alias(f.name)
-        for f in schema.fields
+        F.col(f"_e.{f.name}").try_cast(typed.get(f.name, f.dataType)).alias(f.name) for f in schema.fields
     ]
     return event.select(*rest, *fields, F.col(f"_e.{CORRUPT}").alias(CORRUPT))

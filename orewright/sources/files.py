@@ -1,4 +1,4 @@
-"""Delimited files: every reader takes an explicit schema, so no scan is spent on inference."""
+"""Delimited files: columns are found by the header's names; with a schema no scan is spent on inference."""
 
 from __future__ import annotations
 
@@ -9,15 +9,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def all_text(columns: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+def by_header(spark: SparkSession, path: str, columns: Sequence[str], **options) -> DataFrame:
+    """The named columns as text, found by the header's names in whatever order the file has them.
+
+    A column that is missing or not expected is an error, before any row is read.
+    """
+    rows = spark.read.options(header=True, inferSchema=False, **options).csv(path)
+    if sorted(rows.columns) != sorted(columns):
+        raise ValueError(f"{path} has columns {rows.columns}, not {list(columns)}")
+    return rows.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def read_csv(spark: SparkSession, base: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, base: str, name: str, schema: T.StructType | str | None = None) -> DataFrame:
     """``base/name.csv`` with a header. Types are inferred only when no schema is given."""
-    reader = spark.read.option("header", True)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(f"{base}/{name}.csv")
+    path = f"{base}/{name}.csv"
+    if schema is None:
+        return spark.read.options(header=True, inferSchema=True).csv(path)
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    rows = by_header(spark, path, schema.names)
+    return rows.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_typed_csv(
@@ -27,20 +37,15 @@ def read_typed_csv(
 
     Without quoting, a quote character is ordinary text.
     """
-    reader = spark.read.option("header", True).schema(all_text(schema.names))
-    if not quoting:
-        reader = reader.option("quote", "")
-    return reader.csv(path).select(
+    rows = by_header(spark, path, schema.names, **({} if quoting else {"quote": ""}))
+    return rows.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
     )
 
 
 def land_raw(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """All columns as text, quoted with ``"`` and escaped with a backslash."""
-    return (
-        spark.read.option("header", True).option("quote", '"').option("escape", "\\")
-        .schema(all_text(columns)).csv(path)
-    )
+    return by_header(spark, path, columns, quote='"', escape="\\")
 
 
 def load_seed(
@@ -50,5 +55,5 @@ def load_seed(
 
     No broadcast hint is given: Spark measures the file and broadcasts it while it is small.
     """
-    raw = spark.read.option("header", True).schema(all_text(columns)).csv(path)
+    raw = by_header(spark, path, columns)
     return raw.withColumns({c: F.col(c).try_cast(t) for c, t in (types or {}).items()})

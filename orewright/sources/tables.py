@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +34,8 @@ def write_table(
 ) -> DataFrame:
     """Overwrite or append a managed table.
 
-    An append with new columns writes them as a second generation: the old rows are read
-    with NULLs in their place and the table is rebuilt aside, then put in its stead.
+    An append with new columns adds them to the table, whose old files stay as they are and
+    read as NULL there; columns that the rows lack are NULL in the new files.
     """
     spark = df.sparkSession
     if mode == "append" and spark.catalog.tableExists(name):
@@ -42,7 +43,12 @@ def write_table(
         if set(df.columns) != set(held.columns):
             if not merge_schema:
                 raise ValueError(f"columns of {name} differ; pass merge_schema=True")
-            return replace_table(spark, name, held.unionByName(df, allowMissingColumns=True))
+            new = [f for f in df.schema.fields if f.name not in held.columns]
+            if new:
+                added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+            held = spark.table(name)
+            df = held.limit(0).unionByName(df, allowMissingColumns=True)
         df.select(*held.columns).write.mode("append").saveAsTable(name)
         return spark.table(name)
     df.write.mode(mode).saveAsTable(name)
@@ -52,13 +58,17 @@ def write_table(
 def replace_table(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     """Rebuild a derived table; running it again gives the same table.
 
-    The rows are written aside first, as the old table may be among their sources.
+    The rows are written aside first, under a name of this run's own, as the old table may
+    be among their sources; then two renames switch, and the old table goes last. A run that
+    broke off between the renames left the old table under its ``__old`` name.
     """
-    aside = f"{name}__next"
-    spark.sql(f"DROP TABLE IF EXISTS {aside}")
-    df.write.mode("overwrite").saveAsTable(aside)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    run = uuid.uuid4().hex
+    aside, old = f"{name}__next_{run}", f"{name}__old_{run}"
+    df.write.saveAsTable(aside)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
     return spark.table(name)
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from orewright.operators.dedupe import dedupe_latest
-from orewright.operators.integrate import apply_changes
 
 
 def read_files(spark: SparkSession, path: str, schema: T.StructType, per_batch: int | None = None) -> DataFrame:
@@ -94,15 +95,42 @@ def follow_changes(
 
 def read_mirror(
     spark: SparkSession, path: str, table: T.StructType, feed: T.StructType,
-    keys: Sequence[str], order_by: Sequence[str],
+    keys: Sequence[str], order_by: Sequence[str], op: str = "_op",
 ) -> DataFrame:
-    """The table with all logged changes applied, the last change of a key winning.
+    """The table with all logged changes applied, the last change of a key winning."""
+    last = _last_changes(spark, path, feed, keys, order_by)
+    return last.filter(F.coalesce(F.col(op), F.lit("")) != "delete").select(*table.names)
 
-    Handing the result to ``start_mirror`` with a new path folds a long log into the table.
+
+def fold_mirror(
+    spark: SparkSession, path: str, to: str, feed: T.StructType, keys: Sequence[str], order_by: Sequence[str]
+) -> None:
+    """Fold a long log into a new base at ``to``, where the log begins anew.
+
+    The base keeps each row's order columns and the deletes, so that a change that comes late is
+    still told from a newer one.
     """
-    base = spark.read.schema(table).parquet(f"{path}/base")
-    log = spark.read.schema(feed).parquet(f"{path}/log")
-    return apply_changes(base, log, keys, order_by)
+    _last_changes(spark, path, feed, keys, order_by).write.mode("overwrite").parquet(f"{to}/base")
+
+
+def _last_changes(
+    spark: SparkSession, path: str, feed: T.StructType, keys: Sequence[str], order_by: Sequence[str]
+) -> DataFrame:
+    """Per key the last of its row in the base and its logged changes; a base never folded is older than any change."""
+    # Read with the feed's columns: those that a first base lacks are NULL there, and sort last.
+    rows = spark.read.schema(feed).parquet(f"{path}/base")
+    log = _folder_or_none(spark, f"{path}/log", feed)
+    return dedupe_latest(rows if log is None else rows.unionByName(log), keys, order_by)
+
+
+def _folder_or_none(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The rows of a folder that the first batch makes; None before that."""
+    try:
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def finish(*queries: StreamingQuery) -> None:

@@ -11,11 +11,8 @@ SAMPLE = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = local_session(4, "tests")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    return session
+def spark():
+    return local_session(4, "tests")
 
 
 @pytest.fixture(scope="session")

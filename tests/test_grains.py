@@ -52,3 +52,35 @@ def test_shaping(frame):
     assert values(shaping.top(df, 1, F.desc_nulls_last("n"))) == [(2, None)]
     assert shaping.head(df, 2).count() == 2
     assert shaping.project_as(df, {"n": "N (x)"}).columns == ["N (x)"]
+
+
+def test_ranks_hold_beyond_the_expected_range(frame):
+    df = frame([(1, 2.0), (2, 1.0), (3, None), (4, -0.2), (5, -7.0), (6, 9.0), (7, 8.0), (8, None)], "i int, s double")
+    got = {r.i: r.rk for r in grains.distributed_rank(df, "s", 0.0, 5.0, 100, "rk").collect()}
+    assert got == {6: 1, 7: 2, 1: 3, 2: 4, 4: 5, 5: 6, 3: 7, 8: 7}
+
+
+def test_a_period_that_ends_before_it_starts_holds_no_day(frame):
+    from datetime import date
+
+    dates = frame([(date(2024, 1, d),) for d in (1, 2, 3)], "d date")
+    spans = frame([("back", date(2024, 1, 3), date(2024, 1, 1)), ("day", date(2024, 1, 2), date(2024, 1, 2))],
+                  "p string, period_start_date date, period_end_date date")
+    assert [r.p for r in grains.assign_period(dates, spans, "d").collect()] == ["day"]
+
+
+def test_white_space_of_any_kind_is_trimmed_before_controls_go(frame):
+    from pyspark.sql import functions as F
+
+    from orewright.functions.text import without_controls
+
+    df = frame([("abc \t",), ("\t abc",), ("\u00a0abc\u2003\n",), ("a\tb c",), (None,), ("",)], "t string")
+    assert [r[0] for r in df.select(without_controls(F.col("t"))).collect()] == ["abc", "abc", "abc", "ab c", None, ""]
+
+
+def test_a_flag_may_be_sent_as_text(frame):
+    from orewright.sources.events import parse_events
+
+    df = frame([('{"device_id": "d", "is_anomaly": "true"}',), ('{"device_id": "d", "is_anomaly": false}',),
+                ('{"device_id": "d", "is_anomaly": "maybe"}',)], "body string")
+    assert [r.is_anomaly for r in parse_events(df).collect()] == [True, False, None]

@@ -97,12 +97,15 @@ def test_retail_metrics_agree_on_lines_and_on_orders(frame):
     assert values(direct) == values(metrics.evaluate(metrics.order_grain(lines, ["channel"]), names, ["channel"]))
     got = {r.channel: r for r in direct.collect()}
     assert (got["w"].orders, got["w"].recognized_orders, got["w"].aov, got["w"].estimated_gross_profit) == (
-        2, 1, 19.0, D("14.00"))
-    assert (got["s"].recognized_orders, got["s"].aov, got["s"].estimated_gross_profit) == (0, None, None)
+        2, 1, 19.0, D("13.00"))
+    # A blank status is not an excluded one, and an unknown product costs nothing.
+    assert (got["s"].recognized_orders, got["s"].aov, got["s"].estimated_gross_profit) == (1, 1.0, D("1.00"))
 
 
 def test_low_performers_have_two_definitions(frame):
     reviews = frame([("a", 2), ("b", 3), ("c", 1), ("c", 5)], "employee_id string, overall_rating long")
+    blank = frame([("a", None), ("b", 3)], "employee_id string, overall_rating long")
+    assert metrics.evaluate(blank, ["low_performers", "high_performers"]).first() == (1, 0)
     row = metrics.evaluate(reviews, ["low_performers", "high_performers", "average_rating", "performance_band_label"]).first()
     assert tuple(row) == (2, 1, 2.75, "Needs Development")
 
@@ -133,6 +136,18 @@ def test_budget_is_not_repeated_by_the_join(frame):
     got = {r.division: r for r in metrics.workforce_by(staff, depts, "division").collect()}
     assert (got["X"].budgeted_headcount, got["X"].total_headcount, got["X"].headcount_variance) == (15, 3, -12)
     assert got["X"].active_employees == got["X"].active_employees_2 == 2
+    assert (got["Y"].total_headcount, got["Y"].headcount_variance, got["Y"].turnover_rate) == (0, 0, None)
+
+
+def test_staff_of_unknown_departments_have_a_blank_member(frame):
+    staff = frame([("a", "d1", True, "F"), ("b", "d9", False, "M"), ("c", None, True, "F")],
+                  "employee_id string, department_id string, is_active boolean, gender string")
+    depts = frame([("d1", "X", 10), ("d2", "Y", 5)], "department_id string, division string, head_count_budget long")
+    for by in ("division", "department_id"):
+        rows = {r[by]: r for r in metrics.workforce_by(staff, depts, by).collect()}
+        assert len(rows) == 3 and sum(r.total_headcount for r in rows.values()) == 3
+        assert (rows[None].total_headcount, rows[None].budgeted_headcount, rows[None].headcount_variance) == (2, None, 2)
+    assert rows["d2"].headcount_variance == -5
     assert got["Y"].headcount_variance_pct is None
 
 

@@ -133,9 +133,16 @@ def test_a_followed_table_takes_upserts_and_deletes_across_batches(spark, feed,
     sinks.finish(sinks.follow_changes(stream, path, str(tmp_path / "cp"), ["k"], ["seq"], once=True))
     held = sinks.read_mirror(spark, path, target.schema, stream.schema, ["k"], ["seq"])
     assert values(held) == [(2, "b2"), (3, "c"), (5, "e2")]
-    # A folded table starts over with an empty log.
-    sinks.start_mirror(held, str(tmp_path / "folded"))
-    assert values(spark.read.parquet(str(tmp_path / "folded/base"))) == values(held)
+    # A folded table starts over without a log, and still knows what came before a late change.
+    folded = str(tmp_path / "folded")
+    sinks.fold_mirror(spark, path, folded, stream.schema, ["k"], ["seq"])
+    assert values(sinks.read_mirror(spark, folded, target.schema, stream.schema, ["k"], ["seq"])) == values(held)
+    rows = [(5, "stale", 5, "upsert"), (1, "undead", 2, "upsert"), (2, "b3", 7, "upsert")]
+    spark.createDataFrame(rows, feed_schema).write.parquet(str(tmp_path / "late"))
+    late = sinks.read_files(spark, str(tmp_path / "late"), stream.schema)
+    sinks.finish(sinks.follow_changes(late, folded, str(tmp_path / "cp2"), ["k"], ["seq"], once=True))
+    held = sinks.read_mirror(spark, folded, target.schema, stream.schema, ["k"], ["seq"])
+    assert values(held) == [(2, "b3"), (3, "c"), (5, "e2")]
 
 
 def test_missing_event_clock_falls_back_to_ingestion(frame):

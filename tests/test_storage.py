@@ -98,3 +98,25 @@ def test_keys_and_numbers(spark):
                     stable_round(F.col("x"), 2)).first()
     assert row[0] == "0cc175b9c0f1b6a831c399e269772661" and row[1] != row[0]
     assert tuple(row)[2:] == (None, 0.0, 1.01)
+
+
+def test_columns_are_found_by_the_header(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    spark.createDataFrame([("1", "x")], "b string, a string").write.csv(path, header=True)
+    schema = T.StructType.fromDDL("a string, b int")
+    assert files.read_typed_csv(spark, path, schema).collect() == [("x", 1)]
+    assert files.read_csv(spark, str(tmp_path), "t", schema).collect() == [("x", 1)]
+    assert files.land_raw(spark, path, ["a", "b"]).collect() == [("x", "1")]
+    for columns in (["a"], ["a", "b", "c"], ["a", "c"]):
+        with pytest.raises(ValueError, match="has columns"):
+            files.load_seed(spark, path, columns)
+
+
+def test_an_append_with_new_columns_leaves_old_files(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE grown LOCATION '{tmp_path}/grown'")
+    tables.write_table(spark.createDataFrame([(1, "x")], "a int, b string"), "grown.t")
+    before = set((tmp_path / "grown/t").glob("*.parquet"))
+    got = tables.write_table(spark.createDataFrame([(2, 2.5)], "a int, c double"), "grown.t", mode="append", merge_schema=True)
+    assert values(got) == [(1, "x", None), (2, None, 2.5)]
+    assert before < set((tmp_path / "grown/t").glob("*.parquet"))
+    spark.sql("DROP DATABASE grown CASCADE")
