@@ -2,8 +2,8 @@
 
 A token is the 64-bit hash of a shingle of five words. Two sets whose Jaccard index reaches the
 threshold share a token within the first ``prefix_length`` tokens of either set, under *any* order of
-all tokens. Each order here sorts first by how common a token is in the corpus (in powers of two,
-from a counting sketch of fixed size over all documents), then by a hash of its own. A candidate
+all tokens. Each order here sorts first by how common a token is in the corpus (in half powers of
+two, from a counting sketch of fixed size over all documents), then by a hash of its own. A candidate
 pair must meet in the prefixes of the first order, found by a join on tokens, and then in those of
 every other order, before its sets are compared.
 
@@ -16,7 +16,8 @@ Groups of copies are never expanded into pairs:
 * the exact join looks only at tokens that occur in more than one component. In the token's list the
   largest component is not compared with itself; every other row is compared with all rows of other
   components. So each pair of sets in different components that could be linked is verified, and
-  the result is complete. Those that the join links are merged.
+  the result is complete. Those that the join links are merged. Pairs that meet in too few tokens
+  of the first prefixes to reach the threshold with all that lies behind them are not compared.
 
 Defined cases: a missing or empty text, or one of separators only, has an empty set, is linked with
 nothing and is its own component. Fewer than five words make one shingle. Repeated rows of an id
@@ -38,54 +39,53 @@ from orewright.llm.words import mixed, shingle_sets, slices
 
 ORDERS = 3
 HEADS = 6
-SKETCH_BITS = 18  # counters of a sketch row, as a power of two; two rows
-SKETCH_CHUNK = 4096
+SKETCH_BITS = 23  # counters of the sketch, as a power of two; a sixteenth of the tokens tells passages from chance
+SKETCH_CHUNK = 1 << 16
 
 
 def _seeds(n: int) -> np.ndarray:
     return np.random.default_rng(5).integers(1, 1 << 63, n, np.uint64)
 
 
-def _slots(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << SKETCH_BITS) - 1)
-    return (tokens & mask).astype(np.int64), ((tokens >> np.uint64(32)) & mask).astype(np.int64)
+def _slots(tokens: np.ndarray) -> np.ndarray:
+    return (tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
 
 
 def token_sketch(docs: DataFrame) -> np.ndarray:
-    """Upper estimates of every token's document count: two rows of counters, the same size for any corpus.
+    """Upper estimates of every token's document count: counters that tokens share, as many for any corpus.
 
-    Counters are added up by Spark per chunk of a row; the driver receives two megabytes.
+    They only shape the orders; any order gives the same result. Counters are added up by Spark per
+    chunk of the sketch; the driver receives 16 megabytes, as counters stop at 65,535.
     """
 
     def count(batches):
-        rows = np.zeros((2, 1 << SKETCH_BITS), np.int64)
+        row = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = list(shingle_sets(part.column(0)))
-                tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                for row, at in zip(rows, _slots(tokens), strict=True):
-                    row += np.bincount(at, minlength=len(row))
-        if rows.any():
-            chunks = rows.reshape(-1, SKETCH_CHUNK).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(chunks), dtype=np.int32)), pa.array([c.tobytes() for c in chunks], pa.binary())],
-                ["chunk", "counts"],
-            )
+                if sets:
+                    np.add.at(row, _slots(np.concatenate(sets)), 1)
+        for number, chunk in enumerate(row.reshape(-1, SKETCH_CHUNK)):
+            if top := int(chunk.max()):
+                kind = np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int32()), pa.array([chunk.astype(kind).tobytes()], pa.binary())], ["chunk", "counts"]
+                )
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(SKETCH_CHUNK, np.int64)
+        total = np.zeros(SKETCH_CHUNK, np.uint64)
         for c in part["counts"]:
-            total += np.frombuffer(c, np.int32)
-        return pd.DataFrame({"chunk": part["chunk"].iloc[:1], "counts": [total.tobytes()]})
+            total += np.frombuffer(c, f"<u{len(c) // SKETCH_CHUNK}")
+        return pd.DataFrame({"chunk": part["chunk"].iloc[:1], "counts": [np.minimum(total, 65535).astype(np.uint16).tobytes()]})
 
     made = (
         docs.select("text").mapInArrow(count, "chunk int, counts binary")
         .groupBy("chunk").applyInPandas(add, "chunk int, counts binary").toPandas()
     )
-    sketch = np.zeros((2 << SKETCH_BITS) // SKETCH_CHUNK * SKETCH_CHUNK, np.int64).reshape(-1, SKETCH_CHUNK)
+    sketch = np.zeros((1 << SKETCH_BITS) // SKETCH_CHUNK * SKETCH_CHUNK, np.uint16).reshape(-1, SKETCH_CHUNK)
     for chunk, counts in zip(made["chunk"], made["counts"], strict=True):
-        sketch[chunk] = np.frombuffer(counts, np.int64)
-    return sketch.reshape(2, -1)
+        sketch[chunk] = np.frombuffer(counts, np.uint16)
+    return sketch.ravel()
 
 
 def prefix_length(n: int) -> int:
@@ -94,9 +94,8 @@ def prefix_length(n: int) -> int:
 
 
 def ordered_prefix(tokens: np.ndarray, sketch: np.ndarray, seed: np.uint64) -> np.ndarray:
-    """The first tokens of a set under the order (power of two of the count, hash under the seed)."""
-    a, b = _slots(tokens)
-    common = np.frexp(np.minimum(sketch[0][a], sketch[1][b]))[1].astype(np.uint64)
+    """The first tokens of a set under the order (half powers of two of the count, hash under the seed)."""
+    common = (2 * np.log2(np.maximum(sketch[_slots(tokens)], 1))).astype(np.uint64)
     rank = (common << np.uint64(58)) | (mixed(tokens ^ seed) >> np.uint64(6))
     need = prefix_length(len(tokens))
     chosen = np.argpartition(rank, need - 1)[:need] if need < len(tokens) else np.arange(len(tokens))
@@ -184,17 +183,22 @@ def _star_pairs(reps: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """Candidate pairs of different components from rows (token, doc_id, comp, n, pos) of the first order."""
+    """Candidate pairs of different components from rows (token, doc_id, comp, n) of the first order.
+
+    All tokens that two prefixes share are counted. Behind the prefix that ends first in the order, a pair
+    shares at most the rest of that set, so the count and the longer rest bound the overlap.
+    """
     lists = rows.groupBy("token", "comp").agg(F.count("*").alias("c"))
     largest = lists.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("largest"))
-    minor = rows.join(largest, "token").filter("comp <> largest").drop("largest").toDF(
-        "token", "doc_x", "comp_x", "n_x", "pos_x"
+    rows = rows.join(largest, "token").withColumn("minor", F.col("comp") != F.col("largest")).drop("largest")
+    minor = rows.filter("minor").select("token", *(F.col(c).alias(f"{c}_x") for c in ("doc_id", "comp", "n")))
+    once = "comp <> comp_x and (not minor or doc_id_x < doc_id) and 4 * n >= 3 * n_x and 4 * n_x >= 3 * n"
+    met = minor.join(rows, "token").filter(once).select(
+        F.least("doc_id", "doc_id_x").alias("a"), F.greatest("doc_id", "doc_id_x").alias("b"),
+        (F.col("n") + F.col("n_x")).alias("both"), F.greatest("n", "n_x").alias("most"),
     )
-    # A pair that is linked passes at its first common token: what remains behind it is shared at most.
-    reach = "7 * least(n - pos, n_x - pos_x) >= 3 * (n + n_x) and 4 * n >= 3 * n_x and 4 * n_x >= 3 * n"
-    return minor.join(rows, "token").filter(f"comp <> comp_x and {reach}").select(
-        F.least("doc_id", "doc_x").alias("a"), F.greatest("doc_id", "doc_x").alias("b")
-    ).distinct()
+    counted = met.groupBy("a", "b", "both", "most").agg(F.count("*").alias("shared"))
+    return counted.filter("7 * (shared + ceil(3 * most / 4) - 1) >= 3 * both").select("a", "b")
 
 
 def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
@@ -226,8 +230,8 @@ def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
     ).filter("low <> high").select("token")
     spread = stored(spread, "tokens")
     _, wanted = id_filter(spread, "token")
-    rows = digests.select(*keys, F.posexplode("prefix").alias("pos", "token")).filter(wanted("token"))
-    rows = rows.join(spread, "token").join(grouped, keys).select("token", "doc_id", "comp", "n", "pos").distinct()
+    rows = digests.select(*keys, F.explode("prefix").alias("token")).filter(wanted("token"))
+    rows = rows.join(spread, "token").join(grouped, keys).select("token", "doc_id", "comp", "n").distinct()
     rows = stored(rows, "rows")
     across = stored(_verified(docs, stored(_cross_pairs(rows), "pairs"), reps, sketch), "across")
 
