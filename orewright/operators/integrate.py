@@ -116,7 +116,7 @@ def apply_changes(
     return untouched.unionByName(kept)
 
 
-# Data sources, how each is attached, its unified table and its metric's label.
+# Data sources, how each is attached, its unified table and its metric's label.
 DATA_SOURCES = (
     ("CRM Customers", "Mirrored", "unified_customer_360", "Customer Records"),
     ("ERP Orders", "Mirrored", "unified_customer_360", "Total Orders"),

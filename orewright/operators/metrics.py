@@ -33,8 +33,16 @@ def metric(name: str) -> Column:
     return METRICS[name]().alias(name)
 
 
-def evaluate(df: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by).agg(*[metric(n) for n in names])
+def evaluate(
+    df: DataFrame, names: Sequence[str], by: Sequence[str] = (), one_row_per_key: bool = False
+) -> DataFrame:
+    """The named metrics under a grouping.
+
+    With ``one_row_per_key`` a group has at most one row for each order or employee, and distinct
+    counts are plain ones: several of them would otherwise repeat every row once for each.
+    """
+    made = {**METRICS, **ROW_COUNTS} if one_row_per_key else METRICS
+    return df.groupBy(*by).agg(*[made[n]().alias(n) for n in names])
 
 
 def _simple(name: str, make: Callable[[], Column]) -> None:
@@ -57,35 +65,42 @@ def _recognized(col: str) -> Column:
 
 _simple("recognized_revenue", lambda: F.sum(_recognized("net_sales")))
 _simple("gross_revenue", lambda: F.sum("gross_sales"))
-_simple("orders", lambda: F.countDistinct("order_id"))
-_simple("recognized_orders", lambda: F.countDistinct(_recognized("order_id")))
 _simple("units", lambda: F.sum("quantity"))
-_ratio("aov", "recognized_revenue", "recognized_orders")
 _simple("estimated_gross_profit", lambda: F.sum("est_profit"))
 
 # --- workforce: over employees ----------------------------------------------------------
-_simple("total_headcount", lambda: F.countDistinct("employee_id"))
-_simple("active_employees", lambda: F.countDistinct(F.when(F.col("is_active"), F.col("employee_id"))))
-_simple(
-    "active_employees_2",
-    lambda: F.countDistinct(
-        F.when(F.upper(F.col("is_active").cast("string")) == "TRUE", F.col("employee_id"))
-    ),
-)
-_minus("inactive_employees", "total_headcount", "active_employees")
-_ratio("turnover_rate", "inactive_employees", "total_headcount")
 _simple("budgeted_headcount", lambda: F.sum("head_count_budget"))
-_ratio("active_employee_pct", "active_employees", "total_headcount")
-_simple(
-    "female_employees",
-    lambda: F.countDistinct(F.when(F.col("gender") == "Female", F.col("employee_id"))),
-)
-_ratio("female_employee_pct", "female_employees", "total_headcount")
+
+
+# --- counts of orders and of employees --------------------------------------------------
+def _counting(distinct: Callable[[Column], Column]) -> dict[str, Callable[[], Column]]:
+    """Metrics that count keys, by a distinct count or, over one row for each key, a plain one."""
+    def staff(test: Callable[[], Column] | None = None) -> Column:
+        who = F.col("employee_id")
+        return distinct(who if test is None else F.when(test(), who))
+
+    m: dict[str, Callable[[], Column]] = {
+        "orders": lambda: distinct(F.col("order_id")),
+        "recognized_orders": lambda: distinct(_recognized("order_id")),
+        "aov": lambda: safe_divide(METRICS["recognized_revenue"](), m["recognized_orders"]()),
+        "total_headcount": staff,
+        "active_employees": lambda: staff(lambda: F.col("is_active")),
+        "active_employees_2": lambda: staff(lambda: F.upper(F.col("is_active").cast("string")) == "TRUE"),
+        "inactive_employees": lambda: m["total_headcount"]() - m["active_employees"](),
+        "turnover_rate": lambda: safe_divide(m["inactive_employees"](), m["total_headcount"]()),
+        "active_employee_pct": lambda: safe_divide(m["active_employees"](), m["total_headcount"]()),
+        "female_employees": lambda: staff(lambda: F.col("gender") == "Female"),
+        "female_employee_pct": lambda: safe_divide(m["female_employees"](), m["total_headcount"]()),
+    }
+    return m
+
+
+METRICS.update(_counting(F.countDistinct))
+ROW_COUNTS = _counting(F.count)
 
 # --- pay: over employees ----------------------------------------------------------------
 _simple("average_salary", lambda: F.avg("salary"))
-# Exact. Its buffer is one counter per distinct salary, and partial buffers merge, so it is
-# bounded by the pay scale (whole currency units) and not by the number of employees.
+# Exact, with a counter per distinct salary in the buffer; ``exact_median`` holds no buffer.
 _simple("median_salary", lambda: F.median("salary"))
 _simple("min_salary", lambda: F.min("salary"))
 _simple("max_salary", lambda: F.max("salary"))
@@ -212,6 +227,32 @@ def review_scores(reviews: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def exact_median(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:
+    """Median of a column per group, from running counts of its distinct values, which spill.
+
+    Rows of equal value are counted before they are put in order; NULLs count for nothing.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(*by)
+    placed = counts.withColumns(
+        {"_upto": F.sum("_n").over(group.orderBy(value)), "_all": F.sum("_n").over(group)}
+    )
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((F.col("_upto") >= place) & (F.col("_upto") - F.col("_n") < place), F.col(value)))
+
+    low, high = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
+    return placed.groupBy(*by).agg(((at(low) + at(high)).cast("double") / 2).alias(name))
+
+
+def staff_grain(employees: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row for each employee of a group: whether any of their rows is active, and is female."""
+    return employees.groupBy(*by, "employee_id").agg(
+        F.bool_or("is_active").alias("is_active"),
+        F.max(F.when(F.col("gender") == "Female", "Female")).alias("gender"),
+    )
+
+
 def default_sum(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """What a numeric column shows when no metric is named: its sum."""
     return df.groupBy(*by).agg(*[F.sum(c).alias(f"sum_{c}") for c in columns])
@@ -227,9 +268,9 @@ def workforce_by(employees: DataFrame, departments: DataFrame, by: str) -> DataF
     names = departments.select("department_id", F.col(by).alias("_by"))
     placed = employees.join(names, "department_id", "left").drop(by).withColumnRenamed("_by", by)
     heads = evaluate(
-        placed,
+        staff_grain(placed, [by]),
         ["total_headcount", "active_employees", "active_employees_2", "inactive_employees", "turnover_rate"],
-        [by],
+        [by], one_row_per_key=True,
     )
     budget = evaluate(departments, ["budgeted_headcount"], [by])
     counts = ["total_headcount", "active_employees", "active_employees_2", "inactive_employees"]

@@ -42,13 +42,13 @@ def review_facts(g: Given) -> DataFrame:
 @query("M-01", "M-02", "M-03", "M-04", "M-05", "M-06", "M-07", "J-16", "F-18",
        sql=f"SELECT channel, {RETAIL_SQL} GROUP BY channel", real=RETAIL_REAL, ratios=["aov"])
 def retail_metrics(g: Given) -> DataFrame:
-    return op.evaluate(op.order_grain(lines(g), ["channel"]), RETAIL, ["channel"])
+    return op.evaluate(op.order_grain(lines(g), ["channel"]), RETAIL, ["channel"], one_row_per_key=True)
 
 
 @query("M-01", "M-03", "M-06", "M-07", "V-03",
        sql=f"SELECT category, {RETAIL_SQL} GROUP BY category", real=RETAIL_REAL, ratios=["aov"])
 def retail_metrics_by_category(g: Given) -> DataFrame:
-    return op.evaluate(op.order_grain(lines(g), ["category"]), RETAIL, ["category"])
+    return op.evaluate(op.order_grain(lines(g), ["category"]), RETAIL, ["category"], one_row_per_key=True)
 
 
 @query("J-16", sql="""
@@ -141,7 +141,10 @@ PAY = [
     FROM h_employees GROUP BY department_id""",
        ratios=["average_salary", "average_tenure", "salary_per_tenure_year"])
 def compensation_metrics(g: Given) -> DataFrame:
-    return op.evaluate(workforce.employees(g), PAY, ["department_id"])
+    rest = op.evaluate(workforce.employees(g), [n for n in PAY if n != "median_salary"], ["department_id"])
+    middle = op.exact_median(workforce.employees(g), "salary", ["department_id"], "median_salary")
+    middle = middle.withColumnRenamed("department_id", "_department")
+    return rest.join(middle, F.col("department_id").eqNullSafe(F.col("_department")), "left").drop("_department")
 
 
 @query("M-27", "M-28", "W-06", sql="""
@@ -172,7 +175,8 @@ def salary_variance(g: Given) -> DataFrame:
     FROM h_employees GROUP BY department_id""", ratios=["active_employee_pct", "female_employee_pct"])
 def diversity_metrics(g: Given) -> DataFrame:
     names = ["active_employee_pct", "female_employees", "female_employee_pct"]
-    return op.evaluate(workforce.employees(g), names, ["department_id"])
+    staff = op.staff_grain(workforce.employees(g), ["department_id"])
+    return op.evaluate(staff, names, ["department_id"], one_row_per_key=True)
 
 
 @query("M-31", sql="""

@@ -61,7 +61,7 @@ def report_revenue_by_category(g: Given) -> DataFrame:
 @query("V-04", "M-01", "M-04", "M-06", "M-07", sql=f"SELECT {metrics.RETAIL_SQL}",
        real=metrics.RETAIL_REAL, ratios=["aov"])
 def report_kpi_cards(g: Given) -> DataFrame:
-    return op.evaluate(op.order_grain(metrics.lines(g), []), metrics.RETAIL)
+    return op.evaluate(op.order_grain(metrics.lines(g), []), metrics.RETAIL, one_row_per_key=True)
 
 
 @query("V-05", "A-24", sql="""SELECT "Order_Bucket", count(customer_id) AS customers FROM r_dim_customer GROUP BY 1""")

@@ -13,8 +13,6 @@ from orewright.sources import adapters as given
 from orewright.sources.adapters import Given
 from orewright.streaming import sinks, windows
 
-WATERMARK = "10 minutes"
-STATS_KEYS = ["device_id", "zone", "Window_End_Time"]
 STATS_SQL = """
     SELECT device_id, zone, avg(temperature_celsius) AS "AVG_temperature_celsius", max(vibration_mms) AS "MAX_vibration_mms",
       time_bucket(INTERVAL 30 SECOND, event_time) + INTERVAL 30 SECOND AS "Window_End_Time"
@@ -29,8 +27,12 @@ def readings(g: Given) -> DataFrame:
     return given.sensor_readings(stream(g, "events"))
 
 
-def hot_stats(stream_or_table: DataFrame) -> DataFrame:
-    return windows.tumbling_stats(op.filter_temp(stream_or_table), watermark=WATERMARK)
+def hot_partials(rows: DataFrame) -> DataFrame:
+    return windows.tumbling_partials(op.filter_temp(rows))
+
+
+def read_stats(g: Given, path: str, rows: DataFrame) -> DataFrame:
+    return windows.merged_stats(sinks.read_partials(g.spark, path, hot_partials(rows).schema))
 
 
 @query("T-01", "P-18", sql="SELECT reading_id, device_id, temperature_celsius FROM s_readings WHERE temperature_celsius > 50")
@@ -44,9 +46,9 @@ def stream_filter_temp(g: Given) -> DataFrame:
 @query("T-02", sql=STATS_SQL, text=["Window_End_Time"], ratios=["AVG_temperature_celsius"])
 def stream_tumbling_stats(g: Given) -> DataFrame:
     root = work_folder(g.spark, "stats")
-    stats = hot_stats(readings(g))
-    sinks.finish(sinks.update_sink(stats, f"{root}/out", f"{root}/checkpoint", once=True))
-    return sinks.read_updates(g.spark, f"{root}/out", stats.schema, STATS_KEYS)
+    rows = readings(g)
+    sinks.finish(sinks.partial_sink(rows, hot_partials, f"{root}/out", f"{root}/checkpoint", once=True))
+    return read_stats(g, f"{root}/out", rows)
 
 
 @query("T-03", sql="SELECT * FROM s_readings", text=["event_time", "_ingested_at"])
@@ -65,10 +67,9 @@ def stream_route(g: Given) -> DataFrame:
     """Both branches of the fan-out, summed up by zone."""
     root = work_folder(g.spark, "route")
     rows = readings(g)
-    stats = hot_stats(rows)
-    sinks.finish(*sinks.route(rows, hot_stats, f"{root}/raw", f"{root}/agg", f"{root}/checkpoint", once=True))
+    sinks.finish(*sinks.route(rows, hot_partials, f"{root}/raw", f"{root}/agg", f"{root}/checkpoint", once=True))
     raw = g.spark.read.schema(rows.schema).parquet(f"{root}/raw")
-    agg = sinks.read_updates(g.spark, f"{root}/agg", stats.schema, STATS_KEYS)
+    agg = read_stats(g, f"{root}/agg", rows)
 
     def by_zone(df: DataFrame, branch: str, value: str) -> DataFrame:
         return df.groupBy(F.lit(branch).alias("branch"), "zone").agg(

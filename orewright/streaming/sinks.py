@@ -55,20 +55,41 @@ def read_updates(spark: SparkSession, path: str, schema: T.StructType, keys: Seq
     return dedupe_latest(rows, keys, "batch").drop("batch")
 
 
+def partial_sink(
+    stream: DataFrame, partial: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, once: bool = False
+) -> StreamingQuery:
+    """Partial aggregates of each batch, one folder per batch.
+
+    No state is held and no watermark closes a window, so a row that is late by any time
+    still reaches its window: readers merge the partial rows. A repeated batch overwrites itself.
+    """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        partial(rows).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    return _each_batch(stream, "append", checkpoint, write, once)
+
+
+def read_partials(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All partial rows of ``partial_sink``; none before the first batch."""
+    rows = _folder_or_none(spark, path, schema)
+    return spark.createDataFrame([], schema) if rows is None else rows
+
+
 def route(
     stream: DataFrame,
-    aggregate: Callable[[DataFrame], DataFrame],
+    partial: Callable[[DataFrame], DataFrame],
     raw_path: str,
     agg_path: str,
     checkpoint: str,
     once: bool = False,
 ) -> tuple[StreamingQuery, StreamingQuery]:
-    """One stream to two sinks: everything to the raw folder, the aggregate to its own.
+    """One stream to two sinks: everything to the raw folder, partial aggregates to their own.
 
     Two queries with separate checkpoints, so either can lag, fail or restart alone.
     """
     raw = raw_sink(stream, raw_path, f"{checkpoint}/raw", once)
-    agg = update_sink(aggregate(stream), agg_path, f"{checkpoint}/agg", once)
+    agg = partial_sink(stream, partial, agg_path, f"{checkpoint}/agg", once)
     return raw, agg
 
 

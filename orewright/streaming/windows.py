@@ -6,22 +6,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def tumbling_stats(
-    df: DataFrame, width: str = "30 seconds", watermark: str | None = None, clock: str = "event_time"
-) -> DataFrame:
-    """Average temperature and highest vibration per device, zone and window.
+WINDOW_KEYS = ["device_id", "zone", "Window_End_Time"]
 
-    Windows are [start, end) from the epoch. On a stream the watermark bounds the state:
-    windows older than it are closed and dropped.
+
+def tumbling_partials(df: DataFrame, width: str = "30 seconds", clock: str = "event_time") -> DataFrame:
+    """Sum, count and highest values per device, zone and window, which add up further.
+
+    Windows are [start, end) from the epoch. A row without a clock has no window.
     """
-    timed = df.withWatermark(clock, watermark) if watermark else df
-    return timed.groupBy(F.window(clock, width), "device_id", "zone").agg(
-        F.avg("temperature_celsius").alias("AVG_temperature_celsius"),
-        F.max("vibration_mms").alias("MAX_vibration_mms"),
-    ).select(
-        "device_id", "zone", "AVG_temperature_celsius", "MAX_vibration_mms",
-        F.col("window.end").alias("Window_End_Time"),
-    )
+    return df.groupBy(F.window(clock, width), "device_id", "zone").agg(
+        F.sum("temperature_celsius").alias("_sum"), F.count("temperature_celsius").alias("_n"),
+        F.max("vibration_mms").alias("_vibration"),
+    ).select("device_id", "zone", F.col("window.end").alias("Window_End_Time"), "_sum", "_n", "_vibration")
+
+
+def merged_stats(partials: DataFrame) -> DataFrame:
+    """Average temperature and highest vibration per window from any number of partial rows of it."""
+    return partials.groupBy(*WINDOW_KEYS).agg(
+        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("AVG_temperature_celsius"),
+        F.max("_vibration").alias("MAX_vibration_mms"),
+    ).select("device_id", "zone", "AVG_temperature_celsius", "MAX_vibration_mms", "Window_End_Time")
+
+
+def tumbling_stats(df: DataFrame, width: str = "30 seconds", clock: str = "event_time") -> DataFrame:
+    """The windows of a stored table."""
+    return merged_stats(tumbling_partials(df, width, clock))
 
 
 def latest_state(df: DataFrame, key: str = "device_id", clock: str = "event_time",

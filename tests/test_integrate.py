@@ -94,7 +94,11 @@ def test_retail_metrics_agree_on_lines_and_on_orders(frame):
     lines = metrics.profit_lines(fact, products)
     names = ["recognized_revenue", "gross_revenue", "orders", "recognized_orders", "units", "aov", "estimated_gross_profit"]
     direct = metrics.evaluate(lines, names, ["channel"])
-    assert values(direct) == values(metrics.evaluate(metrics.order_grain(lines, ["channel"]), names, ["channel"]))
+    per_order = metrics.order_grain(lines, ["channel"])
+    assert values(direct) == values(metrics.evaluate(per_order, names, ["channel"]))
+    plain = metrics.evaluate(per_order, names, ["channel"], one_row_per_key=True)
+    assert values(direct) == values(plain)
+    assert "Expand" not in plain._jdf.queryExecution().executedPlan().toString()
     got = {r.channel: r for r in direct.collect()}
     assert (got["w"].orders, got["w"].recognized_orders, got["w"].aov, got["w"].estimated_gross_profit) == (
         2, 1, 19.0, D("13.00"))
@@ -157,3 +161,20 @@ def test_margin_is_zero_without_revenue(frame):
                "p string, account_type string, account_subgroup string, debit_amount decimal(18,2), credit_amount decimal(18,2)")
     got = values(metrics.evaluate(gl, ["total_revenue", "total_expenses", "gross_margin_pct"], ["p"]))
     assert got == [("p", None, D("5.00"), 0.0), ("q", D("10.00"), D("4.00"), 0.6)]
+
+
+def test_exact_median_equals_the_middle(frame):
+    rows = [("a", 5), ("a", 1), ("a", 1), ("a", None), ("b", 2), ("b", 9), ("b", 4), ("b", 4), (None, 7), ("c", None)]
+    df = frame(rows, "d string, v long")
+    got = {r.d: r.m for r in metrics.exact_median(df, "v", ["d"], "m").collect()}
+    assert got == {"a": 1.0, "b": 4.0, None: 7.0}
+    assert got == {r.d: r.m for r in df.groupBy("d").agg(F.median("v").alias("m")).filter("m is not null").collect()}
+
+
+def test_headcounts_count_people_not_rows(frame):
+    staff = frame([("a", "d", True, "Female"), ("a", "d", False, "Female"), ("b", "d", None, None), ("c", "e", False, "Male")],
+                  "employee_id string, department_id string, is_active boolean, gender string")
+    names = ["total_headcount", "active_employees", "active_employees_2", "turnover_rate", "female_employee_pct"]
+    grain = metrics.staff_grain(staff, ["department_id"])
+    assert values(metrics.evaluate(grain, names, ["department_id"], one_row_per_key=True)) == values(
+        metrics.evaluate(staff, names, ["department_id"]))

@@ -91,13 +91,12 @@ BATCHES = [
 def test_stream_windows_equal_the_batch_aggregate(spark, feed, tmp_path):
     stream, table = feed(BATCHES)
 
-    def stats(df):
-        return windows.tumbling_stats(sensors.filter_temp(df), watermark="10 minutes")
+    def partials(df):
+        return windows.tumbling_partials(sensors.filter_temp(df))
 
-    queries = sinks.route(stream, stats, str(tmp_path / "raw"), str(tmp_path / "agg"), str(tmp_path / "cp"), once=True)
+    queries = sinks.route(stream, partials, str(tmp_path / "raw"), str(tmp_path / "agg"), str(tmp_path / "cp"), once=True)
     sinks.finish(*queries)
-    keys = ["device_id", "zone", "Window_End_Time"]
-    got = sinks.read_updates(spark, str(tmp_path / "agg"), stats(stream).schema, keys)
+    got = windows.merged_stats(sinks.read_partials(spark, str(tmp_path / "agg"), partials(stream).schema))
     want = windows.tumbling_stats(sensors.filter_temp(table))
     assert values(got, *want.columns) == values(want)
     # The raw branch is not filtered.
@@ -106,12 +105,16 @@ def test_stream_windows_equal_the_batch_aggregate(spark, feed, tmp_path):
     assert ("d1", "z1", 70.0, 3.0, T0 + timedelta(seconds=30)) in values(want)
 
 
-def test_readings_behind_the_watermark_are_dropped(spark, feed, tmp_path):
-    stream, _ = feed([[reading(1, 0)], [reading(2, 7200)], [reading(3, 1)], [reading(4, 7201)]])
-    stats = windows.tumbling_stats(stream, watermark="10 minutes")
-    sinks.finish(sinks.update_sink(stats, str(tmp_path / "agg"), str(tmp_path / "cp"), once=True))
-    got = sinks.read_updates(spark, str(tmp_path / "agg"), stats.schema, ["device_id", "zone", "Window_End_Time"])
-    assert got.count() == 2
+def test_late_readings_reach_their_window(spark, feed, tmp_path):
+    """Batches out of order by hours give the windows of all rows at once, none lost."""
+    stream, table = feed([[reading(1, 0)], [reading(2, 7200)], [reading(3, 1, temp=99.0, vib=8.0)], [reading(4, 7201)]])
+    out = str(tmp_path / "agg")
+    sinks.finish(sinks.partial_sink(stream, windows.tumbling_partials, out, str(tmp_path / "cp"), once=True))
+    got = windows.merged_stats(sinks.read_partials(spark, out, windows.tumbling_partials(stream).schema))
+    assert values(got) == values(windows.tumbling_stats(table))
+    counted = sinks.read_partials(spark, out, windows.tumbling_partials(stream).schema).groupBy().sum("_n").first()[0]
+    assert counted == 4
+    assert sinks.read_partials(spark, str(tmp_path / "none"), got.schema).count() == 0
 
 
 def test_latest_state_follows_the_stream(spark, feed, tmp_path):
