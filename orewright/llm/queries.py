@@ -141,3 +141,71 @@ SELECT chosen_id, rejected_id,
   coalesce(string_agg(span, ',' ORDER BY turn) FILTER (part = 'r'), '') AS rejected_mask
 FROM masked GROUP BY chosen_id, rejected_id
 """
+
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op1_ngram_jaccard_join"] = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w
+), n AS (
+  SELECT w.doc_id, count(s.s) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id
+), met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS m FROM n UNION SELECT e.b, r.m FROM reach r JOIN edges e ON e.a = r.doc_id
+)
+SELECT n.doc_id, any_value(n.n) AS n_shingles, min(m) AS component_id FROM n JOIN reach r ON r.doc_id = n.doc_id GROUP BY n.doc_id
+"""
+
+SQL["op5_embedding_near_dedup"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), usable AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), edges AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT vec_id, vec_id AS m FROM v UNION SELECT e.b, r.m FROM reach r JOIN edges e ON e.a = r.vec_id
+), comp AS (
+  SELECT vec_id, min(m) AS component_id FROM reach GROUP BY vec_id
+)
+SELECT c.vec_id, (SELECT count(*) FROM edges e WHERE e.a = c.vec_id) AS n_links, component_id, c.vec_id = component_id AS kept FROM comp c
+"""
+
+# Over items of at least a window's words, as all given ones are.
+SQL["op6_decontamination"] = rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(list_transform(regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+'),
+    lambda x: regexp_replace(x, '^[!-/:-@\[-`{{-~]+|[!-/:-@\[-`{{-~]+$', '', 'g')), lambda x: x <> '') AS w FROM documents
+), i AS (
+  SELECT item_id, list_filter(list_transform(regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+'),
+    lambda x: regexp_replace(x, '^[!-/:-@\[-`{{-~]+|[!-/:-@\[-`{{-~]+$', '', 'g')), lambda x: x <> '') AS w FROM benchmark
+), seeds AS (
+  SELECT unnest([[0, 1, 3, 4, 6, 7], [0, 1, 2, 5, 6, 7]]) AS seed
+), ds AS (
+  SELECT doc_id, seed, pos, array_to_string(list_transform(seed, lambda p: w[pos + p]), ' ') AS k
+  FROM (SELECT doc_id, w, seed, unnest(range(1, len(w) - 6)) AS pos FROM d, seeds)
+), hs AS (
+  SELECT item_id, seed, pos, array_to_string(list_transform(seed, lambda p: w[pos + p]), ' ') AS k
+  FROM (SELECT item_id, w, seed, unnest(range(1, len(w) - 6)) AS pos FROM i, seeds)
+), laid AS (
+  SELECT DISTINCT doc_id, item_id, ds.pos - hs.pos AS shift FROM ds JOIN hs ON ds.k = hs.k AND ds.seed = hs.seed
+), counted AS (
+  SELECT doc_id, item_id, len(i.w) AS n_words, len(list_filter(range(1, len(i.w) + 1),
+    lambda k: shift + k BETWEEN 1 AND len(d.w) AND d.w[shift + k] = i.w[k])) AS matched
+  FROM laid JOIN d USING (doc_id) JOIN i USING (item_id)
+)
+SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched, CAST(n_words AS INTEGER) AS n_words
+FROM counted GROUP BY doc_id, item_id, n_words HAVING max(matched) >= ceil(0.7 * n_words)
+"""
