@@ -73,7 +73,7 @@ def test_training_rows_leave_out_the_fold_and_keep_the_bound(ready):
 
 
 def test_grammar_reads_clauses():
-    g = Grammar({"twerp": 2.0, "nit*": 1.5, "kill": 1.0})
+    g = Grammar({"twerp": 2.0, "nitw*": 1.5, "kill": 1.0})
     paid = lambda text: {a: round(v, 6) for a, v in g.clause(text.split(), [g.amount(t) for t in text.split()]).items()}
     assert paid("a twerp came") == {"outright": 2.0}
     assert paid("you are a twerp") == paid("twerp that you are") == {"targeted": 2.0}
