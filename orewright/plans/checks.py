@@ -129,7 +129,7 @@ CTES: dict[str, str] = {
           year(o_orderdate) || CASE WHEN month(o_orderdate) <= 6 THEN '-H1' ELSE '-H2' END AS review_cycle,
           CASE WHEN o_orderkey % 37 <> 0 THEN CAST(substr(o_orderpriority, 1, 1) AS BIGINT) END AS overall_rating,
           CAST(floor(o_totalprice) AS BIGINT) % 101 AS goals_met_pct, 'E' || (o_custkey % 50) AS reviewer_id,
-          CAST(o_orderdate AS DATE) AS review_date, 'Exceptional' AS performance_band
+          CAST(o_orderdate AS DATE) AS review_date, CASE WHEN o_orderkey % 37 = 0 THEN 'Unsatisfactory' ELSE 'Exceptional' END AS performance_band
         FROM orders""",
     "h_history": """
         SELECT 'SH' || o_orderkey AS salary_history_id, 'E' || o_custkey AS employee_id,
