@@ -30,9 +30,12 @@ def write_path(
 
 
 def write_table(
-    df: DataFrame, name: str, mode: str = "overwrite", merge_schema: bool = False
+    df: DataFrame, name: str, mode: str = "overwrite", merge_schema: bool = False,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Overwrite or append a managed table.
+    """Overwrite or append a managed table, in folders by the partition columns if there are any.
+
+    An append keeps the table's own partition columns.
 
     An append with new columns adds them to the table, whose old files stay as they are and
     read as NULL there; columns that the rows lack are NULL in the new files.
@@ -49,12 +52,16 @@ def write_table(
                 spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
             held = spark.table(name)
             df = held.limit(0).unionByName(df, allowMissingColumns=True)
-        df.select(*held.columns).write.mode("append").saveAsTable(name)
-        return spark.table(name)
-    df.write.mode(mode).saveAsTable(name)
+        df, partition_by = df.select(*held.columns), _partition_columns(spark, name)
+    writer = df.write.mode(mode)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
     return spark.table(name)
 
 
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def replace_table(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     """Rebuild a derived table; running it again gives the same table.
 

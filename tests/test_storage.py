@@ -119,4 +119,9 @@ def test_an_append_with_new_columns_leaves_old_files(spark, tmp_path):
     got = tables.write_table(spark.createDataFrame([(2, 2.5)], "a int, c double"), "grown.t", mode="append", merge_schema=True)
     assert values(got) == [(1, "x", None), (2, None, 2.5)]
     assert before < set((tmp_path / "grown/t").glob("*.parquet"))
+    rows = spark.createDataFrame([(1, "x"), (2, "y")], "a int, day string")
+    tables.write_table(rows, "grown.p", partition_by=["day"])
+    more = tables.write_table(rows.selectExpr("a + 2 AS a", "day", "a * 1.5D AS c"), "grown.p", mode="append", merge_schema=True)
+    assert values(more, "a", "day", "c") == [(1, "x", None), (2, "y", None), (3, "x", 1.5), (4, "y", 3.0)]
+    assert sorted(p.name for p in (tmp_path / "grown/p").glob("day=*")) == ["day=x", "day=y"]
     spark.sql("DROP DATABASE grown CASCADE")
