@@ -16,8 +16,8 @@ Groups of copies are never expanded into pairs:
 * the exact join looks only at tokens that occur in more than one component. In the token's list the
   largest component is not compared with itself; every other row is compared with all rows of other
   components. So each pair of sets in different components that could be linked is verified, and
-  the result is complete. Those that the join links are merged. Pairs that meet in too few tokens
-  of the first prefixes to reach the threshold with all that lies behind them are not compared.
+  the result is complete. Those that the join links are merged. Pairs that meet too late in the
+  first order to reach the threshold with all that lies behind are not compared.
 
 Defined cases: a missing or empty text, or one of separators only, has an empty set, is linked with
 nothing and is its own component. Fewer than five words make one shingle. Repeated rows of an id
@@ -183,22 +183,20 @@ def _star_pairs(reps: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """Candidate pairs of different components from rows (token, doc_id, comp, n) of the first order.
+    """Candidate pairs of different components from rows (token, doc_id, comp, n, pos) of the first order.
 
-    All tokens that two prefixes share are counted. Behind the prefix that ends first in the order, a pair
-    shares at most the rest of that set, so the count and the longer rest bound the overlap.
+    Before the first token that two sets share, they share nothing, so what is left from there on in
+    either set bounds the overlap; rare tokens come first, so a text with many changes is passed by.
     """
     lists = rows.groupBy("token", "comp").agg(F.count("*").alias("c"))
     largest = lists.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("largest"))
     rows = rows.join(largest, "token").withColumn("minor", F.col("comp") != F.col("largest")).drop("largest")
-    minor = rows.filter("minor").select("token", *(F.col(c).alias(f"{c}_x") for c in ("doc_id", "comp", "n")))
+    minor = rows.filter("minor").select("token", *(F.col(c).alias(f"{c}_x") for c in ("doc_id", "comp", "n", "pos")))
     once = "comp <> comp_x and (not minor or doc_id_x < doc_id) and 4 * n >= 3 * n_x and 4 * n_x >= 3 * n"
-    met = minor.join(rows, "token").filter(once).select(
-        F.least("doc_id", "doc_id_x").alias("a"), F.greatest("doc_id", "doc_id_x").alias("b"),
-        (F.col("n") + F.col("n_x")).alias("both"), F.greatest("n", "n_x").alias("most"),
-    )
-    counted = met.groupBy("a", "b", "both", "most").agg(F.count("*").alias("shared"))
-    return counted.filter("7 * (shared + ceil(3 * most / 4) - 1) >= 3 * both").select("a", "b")
+    reach = "7 * least(n - pos, n_x - pos_x) >= 3 * (n + n_x)"
+    return minor.join(rows, "token").filter(f"{once} and {reach}").select(
+        F.least("doc_id", "doc_id_x").alias("a"), F.greatest("doc_id", "doc_id_x").alias("b")
+    ).distinct()
 
 
 def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
@@ -230,8 +228,8 @@ def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
     ).filter("low <> high").select("token")
     spread = stored(spread, "tokens")
     _, wanted = id_filter(spread, "token")
-    rows = digests.select(*keys, F.explode("prefix").alias("token")).filter(wanted("token"))
-    rows = rows.join(spread, "token").join(grouped, keys).select("token", "doc_id", "comp", "n").distinct()
+    rows = digests.select(*keys, F.posexplode("prefix").alias("pos", "token")).filter(wanted("token"))
+    rows = rows.join(spread, "token").join(grouped, keys).select("token", "doc_id", "comp", "n", "pos").distinct()
     rows = stored(rows, "rows")
     across = stored(_verified(docs, stored(_cross_pairs(rows), "pairs"), reps, sketch), "across")
 
