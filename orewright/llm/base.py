@@ -19,6 +19,7 @@ from orewright.session import tune, work_folder
 # Words are runs of anything but blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+BATCH_ROWS = 1000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -32,8 +33,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """A session with the runtime settings whose executors can import this package: Spark sends it to them once."""
+    """A session with the runtime settings whose executors can import this package: Spark sends it to them once.
+
+    Batches to Python hold fewer rows than by default, as rows here carry whole texts, on joins two of them.
+    """
     context = tune(spark).sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if not any(f.endswith("/orewright.zip") for f in context.listFiles):
         package = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp()) / "orewright.zip"
