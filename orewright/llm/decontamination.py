@@ -6,14 +6,18 @@ with several seeds at any place. Around every hit the item is laid over the docu
 words are counted place by place; a document is contaminated by an item when at least ``overlap`` of
 the item's words agree.
 
+The seeds lose nothing at an ``overlap`` of 0.7 or more: however the unequal words lie in an item, some seed hits. A
+set of seeds that does so for all lengths from ``a`` to ``2 a - 1`` does so for all from ``a``, as a longer item has a part of such a
+length that is equal to the same share; the tests go through those lengths. Shorter items need lighter seeds, which are used
+only if the benchmark has such items.
+
 Hashes of documents are first tested against a bit set of fixed size (64 kB) over all hashes of the
 benchmark, carried as a literal: a benchmark of any size gives the same literal, a larger one only
 lets more hashes pass to the join. The join, and the verification's joins, are left to Spark to plan
 by size; a hash in a third of all documents is one row on the benchmark's side.
 
 Words are runs without white space, A-Z in lower case, bare of ASCII punctuation at both ends, so that an item within a sentence is
-found; words of punctuation only are dropped. Items shorter than a window
-(a handful of lengths at most) are matched whole, as one run of words.
+found; words of punctuation only are dropped. Items of up to three words are matched whole, as one run of words.
 
 Defined cases: missing and empty texts and texts without words match nothing, and neither do such items. Rows
 that share an id are one document: their matches are joined. A missing doc_id or item_id drops the
@@ -27,7 +31,9 @@ from pyspark.sql import functions as F
 
 from orewright.llm.base import GAP, folded, stored
 
-SEEDS = ("11011011", "11100111")
+# From so many words of the item on; a seed begins and ends with a word that counts.
+SEEDS_FROM = {13: ("11101", "1101001", "111001"), 8: ("11101", "1010011", "1100101", "11000101"), 4: ("111", "1101", "1011")}
+SEEDS = tuple(dict.fromkeys(seed for seeds in SEEDS_FROM.values() for seed in seeds))
 OVERLAP = 0.7
 BITS = 19  # of the bit set's size
 
@@ -39,22 +45,25 @@ def bare_words(text: Column) -> Column:
     return F.filter(F.split(clean, GAP), lambda w: w != "")
 
 
-def _window_hashes(words: Column, seed: str, code: int) -> Column:
-    """An array of one hash for each window; a text shorter than the window has one hash of all its words."""
-    span = len(seed)
+def _window_hashes(words: Column, seed: str) -> Column:
+    """An array of one hash for each window of the hashed words."""
     places = [i for i, c in enumerate(seed) if c == "1"]
-    whole = F.xxhash64(F.lit(-1), F.array_join(words, " "))
     each = F.transform(
-        F.sequence(F.lit(0), F.size(words) - span),
-        lambda i: F.xxhash64(F.lit(code), *[F.get(words, i + p) for p in places]),
+        F.sequence(F.lit(0), F.size(words) - len(seed)),
+        lambda i: F.xxhash64(F.lit(SEEDS.index(seed)), *[F.get(words, i + p) for p in places]),
     )
-    return F.when(F.size(words) >= span, each).when(F.size(words) > 0, F.array(whole)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(words) >= len(seed), each).otherwise(F.array().cast("array<bigint>"))
+
+
+def _seeds_of(n: int) -> tuple[str, ...]:
+    """The seeds for an item of so many words; none for one that is matched whole."""
+    return next((seeds for least, seeds in SEEDS_FROM.items() if n >= least), ())
 
 
 def _whole_runs(words: Column, n: int) -> Column:
-    """Place and hash of every run of so many words, as items shorter than a window are hashed."""
+    """Place and hash of every run of so many words, as the shortest items are hashed."""
     places = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
-    run = lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(-1), F.array_join(F.slice(words, i + 1, n), " ")).alias("hash"))
+    run = lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(-1), *[F.get(words, i + k) for k in range(n)]).alias("hash"))
     return F.transform(places, run)
 
 
@@ -76,25 +85,31 @@ def _may_hold(bits: Column, h: Column) -> Column:
     return F.call_function("shiftright", word, F.pmod(slot, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, seeds=SEEDS, overlap: float = OVERLAP) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP) -> DataFrame:
     """doc_id, item_id, matched (equal words), n_words (of the item) of every contaminated document and its items."""
     items = benchmark.filter("item_id is not null").select("item_id", bare_words(F.col("text")).alias("item")).filter(F.size("item") > 0)
     items = stored(items.distinct(), "items")
-    item_hits = None
-    for code, seed in enumerate(seeds):
-        found = items.select("item_id", "item", F.posexplode(_window_hashes(F.col("item"), seed, code)).alias("at", "hash"))
-        found = found.select("item_id", "at", "hash", F.size("item").alias("n"))
-        item_hits = found if item_hits is None else item_hits.unionAll(found)
-    item_hits = stored(item_hits, "seeds")
+    lengths = sorted(r[0] for r in items.select(F.least(F.size("item"), F.lit(max(SEEDS_FROM)))).distinct().collect())
+    hashed = lambda words: F.transform(words, lambda w: F.xxhash64(w))
+    laid_out = items.select("item_id", F.size("item").alias("n"), hashed(F.col("item")).alias("w"))
+    numbered = lambda h: F.transform(h, lambda x, i: F.struct(i.alias("pos"), x.alias("hash")))
+    by_seed = {seed: [n for n in lengths if seed in _seeds_of(n)] for seed in SEEDS}
+    by_seed = {seed: ns for seed, ns in by_seed.items() if ns}
+    runs = [n for n in lengths if not _seeds_of(n)]
+    length = F.least("n", F.lit(max(SEEDS_FROM)))
+    of_items = [F.when(length.isin(ns), numbered(_window_hashes(F.col("w"), seed))) for seed, ns in by_seed.items()]
+    of_items += [F.when(F.col("n") == n, _whole_runs(F.col("w"), n)) for n in runs]
+    none = F.array().cast("array<struct<pos:int,hash:bigint>>")
+    item_hits = laid_out.select("item_id", F.explode(F.concat(*[F.coalesce(h, none) for h in of_items], none)).alias("h"))
+    item_hits = stored(item_hits.select("item_id", F.col("h.pos").alias("at"), "h.hash"), "seeds")
     bits = _bit_set(item_hits)
-    short = sorted({r[0] for r in item_hits.filter(F.col("n") < len(seeds[0])).select("n").distinct().collect()})
 
     docs = docs.filter("doc_id is not null").select("doc_id", "text")
-    words = docs.select("doc_id", bare_words(F.col("text")).alias("words"))
-    hashes = [F.transform(_window_hashes(F.col("words"), s, c), lambda h, i: F.struct(i.alias("pos"), h.alias("hash"))) for c, s in enumerate(seeds)]
-    hashes += [_whole_runs(F.col("words"), n) for n in short]
+    words = docs.select("doc_id", hashed(bare_words(F.col("text"))).alias("words"))
+    hashes = [numbered(_window_hashes(F.col("words"), seed)) for seed in by_seed]
+    hashes += [_whole_runs(F.col("words"), n) for n in runs]
     passed = [F.filter(h, lambda x: _may_hold(bits, x["hash"])) for h in hashes]
-    hits = words.select("doc_id", F.explode(F.concat(*passed)).alias("h")).select("doc_id", "h.pos", "h.hash")
+    hits = words.select("doc_id", F.explode(F.concat(*passed, none)).alias("h")).select("doc_id", "h.pos", "h.hash")
     near = hits.join(item_hits, "hash").select("doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct()
     near = stored(near, "hits")
 

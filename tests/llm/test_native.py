@@ -1,13 +1,14 @@
 """Operators in native columns against brute force: decontamination, mixing, personal data, preferences."""
 
 import hashlib
+import math
 import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from orewright.llm.decontamination import OVERLAP, SEEDS, contaminated
+from orewright.llm.decontamination import OVERLAP, SEEDS, _seeds_of, contaminated
 from orewright.llm.mixing import mixed_documents, mixed_sources, source_targets
 from orewright.llm.personal_data import KINDS, personal_data, reliabilities, span_classifier, span_text
 from orewright.llm.preferences import clean_turns, pairs_by_first_turn, preference_examples
@@ -62,6 +63,47 @@ def test_contaminated_equals_brute_force(ready):
     assert len(got) > 20 and any(m < len(bare(dict(items)[i])) for (_, i), m in got.items())
 
 
+def avoids(seeds, n, wrong):
+    """Whether some item of n words with so many unequal ones is hit by none of the seeds."""
+    span, masks = max(map(len, seeds)), [int(s, 2) for s in seeds]
+    least = {0: 0}  # of unequal words, by which of the last places are equal
+    for _ in range(n):
+        after = {}
+        for state, k in least.items():
+            for bit in (0, 1):
+                full = state << 1 | bit
+                if not any(full & m == m for m in masks):
+                    key = full & ((1 << span - 1) - 1)
+                    after[key] = min(after.get(key, n + 1), k + 1 - bit)
+        least = after
+    return min(least.values(), default=n + 1) <= wrong
+
+
+def test_some_seed_hits_every_alignment():
+    for n in range(4, 27):
+        assert not avoids(_seeds_of(n), n, n - math.ceil(OVERLAP * n)), n
+    assert not any(map(_seeds_of, (1, 2, 3))) and math.ceil(OVERLAP * 3) == 3
+    assert avoids(("11011011", "11100111"), 16, 4)
+
+
+def test_no_alignment_is_lost(ready):
+    """Against all shifts, whatever the seeds."""
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(5))
+    items = [(n, [word() for _ in range(n)]) for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 13, 14, 16, 17, 20, 24, 40)]
+    docs, expected = [], {}
+    for i, item in items:
+        wrong = len(item) - math.ceil(OVERLAP * len(item))
+        every = [set(range(s, len(item), 4)) for s in range(4)]
+        for swapped in [at for at in every if len(at) <= wrong] + [set(draw.sample(range(len(item)), wrong)) for _ in range(12)]:
+            laid = [word() if k in swapped else w for k, w in enumerate(item)]
+            expected[len(docs), i] = sum(a == b for a, b in zip(laid, item, strict=True))
+            docs.append((len(docs), " ".join([word(), *laid, word(), word()])))
+    bench = ready.createDataFrame([(i, " ".join(item)) for i, item in items], "item_id long, text string")
+    got = contaminated(ready.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id): r.matched for r in got} == expected
+
+
 def test_contamination_of_nothing(ready):
     docs = ready.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = ready.createDataFrame([], "item_id long, text string")
