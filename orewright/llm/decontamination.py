@@ -3,10 +3,12 @@
 A seed is a fixed mask over a window of words; the words under it are hashed, the others ignored. Items
 and documents are joined on these hashes, so a hit survives substituted words at ignored places, and
 with several seeds at any place. Around every hit the item is laid over the document and equal
-words are counted place by place; a document is contaminated by an item when at least ``overlap`` of
-the item's words agree.
+words are counted place by place. A document is contaminated by an item when at least ``overlap`` of
+the item's words agree; or of some ``WINDOW`` words in a row of the item, whatever share of a long item that is; or
+of the item's words at hits whose shifts are within half the item's length, taken together, so that inserted and
+left out words between equal parts do no harm. ``matched`` is the most words that agree at one shift, in all three cases.
 
-The seeds lose nothing at an ``overlap`` of 0.7 or more: however the unequal words lie in an item, some seed hits. A
+The seeds lose nothing at one shift and an ``overlap`` of 0.7 or more, in items or windows: however the unequal words lie in an item, some seed hits. A
 set of seeds that does so for all lengths from ``a`` to ``2 a - 1`` does so for all from ``a``, as a longer item has a part of such a
 length that is equal to the same share; the tests go through those lengths. Shorter items need lighter seeds, which are used
 only if the benchmark has such items.
@@ -26,6 +28,8 @@ row. Empty tables give an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +39,7 @@ from orewright.llm.base import GAP, folded, stored
 SEEDS_FROM = {13: ("11101", "1101001", "111001"), 8: ("11101", "1010011", "1100101", "11000101"), 4: ("111", "1101", "1011")}
 SEEDS = tuple(dict.fromkeys(seed for seeds in SEEDS_FROM.values() for seed in seeds))
 OVERLAP = 0.7
+WINDOW = 13  # at least the longest key of SEEDS_FROM, whose seeds then hit in every such window
 BITS = 19  # of the bit set's size
 
 
@@ -118,10 +123,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP
     laid = near.join(items, "item_id").join(hit.select("doc_id", bare_words(F.col("text")).alias("words")), "doc_id")
     first = F.greatest(F.lit(0), F.col("shift"))
     window = F.slice("words", first + 1, F.size("item") + F.least(F.lit(0), F.col("shift")))
-    other = F.slice("item", F.greatest(F.lit(0), -F.col("shift")) + 1, F.size("item"))
-    equal = F.size(F.filter(F.zip_with(window, other, lambda a, b: a == b), lambda x: x))
+    skipped = F.greatest(F.lit(0), -F.col("shift"))
+    other = F.slice("item", skipped + 1, F.size("item"))
+    agree = F.zip_with(window, other, lambda a, b: F.coalesce(a == b, F.lit(False)))
     counted = laid.filter(F.col("shift") < F.size("words")).filter(F.size("item") + F.col("shift") > 0).select(
-        "doc_id", "item_id", equal.alias("matched"), F.size("item").alias("n_words")
+        "doc_id", "item_id", "shift", F.size("item").alias("n_words"), skipped.alias("skipped"), agree.alias("agree")
     )
-    best = counted.groupBy("doc_id", "item_id", "n_words").agg(F.max("matched").alias("matched"))
-    return best.filter(F.col("matched") >= F.ceil(overlap * F.col("n_words"))).select("doc_id", "item_id", "matched", "n_words")
+    equal = lambda places: F.size(F.filter(places, lambda x: x))
+    counted = stored(counted.withColumn("matched", equal(F.col("agree"))), "laid")
+    least = math.ceil(overlap * WINDOW)
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("agree") - WINDOW + 1))
+    dense = (F.col("n_words") >= WINDOW) & (F.col("matched") >= least)
+    dense = F.when(dense, F.exists(starts, lambda i: equal(F.slice("agree", i, WINDOW)) >= least)).otherwise(F.lit(False))
+    best = counted.groupBy("doc_id", "item_id", "n_words").agg(F.max("matched").alias("matched"), F.max(dense).alias("dense"), F.count("*").alias("shifts"))
+    best = stored(best.withColumn("enough", (F.col("matched") >= F.ceil(overlap * F.col("n_words"))) | F.col("dense")), "best")
+
+    # Of the others, what shifts near each other cover together; any two within half an item share a neighbourhood.
+    open_ = best.filter("not enough and shifts > 1").select("doc_id", "item_id")
+    near_by = F.explode(F.array(F.floor(F.col("shift") / F.col("n_words")) * 2, F.floor(F.col("shift") / F.col("n_words") + 0.5) * 2 + 1)).alias("around")
+    parts = counted.join(open_, ["doc_id", "item_id"], "left_semi").select("doc_id", "item_id", "n_words", "skipped", "agree", near_by)
+    places = F.explode(F.filter(F.transform("agree", lambda x, i: F.when(x, i + F.col("skipped"))), lambda x: x.isNotNull())).alias("place")
+    covered = parts.select("doc_id", "item_id", "n_words", "around", places).distinct().groupBy("doc_id", "item_id", "n_words", "around").count()
+    joined = covered.filter(F.col("count") >= F.ceil(overlap * F.col("n_words"))).select("doc_id", "item_id").distinct()
+    found = best.filter("enough").select("doc_id", "item_id").unionAll(joined)
+    return best.join(found, ["doc_id", "item_id"], "left_semi").select("doc_id", "item_id", "matched", "n_words")

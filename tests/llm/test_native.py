@@ -104,6 +104,21 @@ def test_no_alignment_is_lost(ready):
     assert {(r.doc_id, r.item_id): r.matched for r in got} == expected
 
 
+def test_parts_of_long_items_and_insertions_count(ready):
+    draw = random.Random(12)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(5))
+    long, longer, plain = ([word() for _ in range(n)] for n in (59, 400, 16))
+    some = lambda n: [word() for _ in range(n)]
+    docs = [
+        some(30) + long[5:45] + some(9), longer[100:370], long[:30] + some(1) + long[30:], plain[:8] + some(2) + plain[8:], plain[:8] + plain[9:],
+        long[20:33] + some(5), some(40) + [*long[20:25], *some(3), *long[28:33]], long[20:29] + some(9), plain[:8] + some(60) + plain[8:], longer[399:] + some(20),
+    ]
+    rows = [(k, " ".join(d)) for k, d in enumerate(docs)]
+    bench = ready.createDataFrame([(i, " ".join(w)) for i, w in enumerate([long, longer, plain])], "item_id long, text string")
+    got = contaminated(ready.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id): r.matched for r in got} == {(0, 0): 40, (1, 1): 270, (2, 0): 30, (3, 2): 8, (4, 2): 8, (5, 0): 13, (6, 0): 10}
+
+
 def test_contamination_of_nothing(ready):
     docs = ready.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = ready.createDataFrame([], "item_id long, text string")
