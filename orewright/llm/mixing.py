@@ -79,9 +79,10 @@ def mixed_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most:
         F.xxhash64(F.lit(seed), "doc.doc_id", text).alias("draw"), text_quality(text).alias("quality"),
     )
     u = (F.shiftrightunsigned("draw", 11).cast("double") + 0.5) / float(1 << 53)
-    # An exponential key -ln(u) / quality has its place in (0, 1) at 1 - exp(-key): in order, and evenly spread
-    # where quality is 1.
-    drawn = drawn.withColumn("place", 1 - F.exp(F.log(u) / F.col("quality"))).drop("quality")
+    # An exponential key -ln(u) / quality has its place in (0, 1) at key / (1 + key): in order, below 1 for the largest
+    # key (375, as u is at least 2**-54 and quality 0.1), and nowhere more than some seven times as dense as evenly spread.
+    key = -F.log(u) / F.col("quality")
+    drawn = drawn.withColumn("place", key / (1 + key)).drop("quality")
     rows = stored(drawn.select("source", "size", "place"), "sizes")
 
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -107,7 +108,9 @@ def mixed_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most:
         )
         ends = stored(ends, "ends")
 
-    found = targets.drop("rest").join(ends, F.col("source").eqNullSafe(F.col("of"))).drop("source")
+    # A source whose words end before the rest of its target does gives them all.
+    found = targets.drop("rest").join(ends, F.col("source").eqNullSafe(F.col("of")), "left").withColumn("of", F.col("source")).drop("source")
+    found = found.withColumn("prefix", F.coalesce("prefix", F.lit(SLICES**LEVELS)))
     drawn = drawn.join(found, F.col("source").eqNullSafe(F.col("of"))).withColumn("here", slice_at(LEVELS))
     last = drawn.filter("here = prefix")
     order = Window.partitionBy("of").orderBy("place", "draw").rowsBetween(Window.unboundedPreceding, -1)

@@ -184,6 +184,18 @@ def test_heavier_documents_come_first(ready):
     assert sum(chosen) > 0.7 * len(chosen)
 
 
+def test_sources_of_noise_are_not_lost(ready):
+    """Sources of symbols only, many of one row: every document has its row, every source the words of its target."""
+    rows = [(i, "| *** ### $$$ |", f"one{i}") for i in range(200)] + [(i, "| ## " * (i % 5 + 1), "noise") for i in range(200, 500)]
+    mixed = mixed_sources(ready.createDataFrame(rows, "doc_id long, text string, source string"))
+    found = mixed.select("doc.doc_id", "doc.source", "target", "taken").collect()
+    assert sorted(r.doc_id for r in found) == list(range(500))
+    taken, targets = {}, {r.source: r.target for r in found}
+    for r in found:
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    assert all(abs(taken[s] - math.floor(t)) <= 1e-9 for s, t in targets.items())
+
+
 def test_mix_of_nothing(ready):
     assert mixed_sources(ready.createDataFrame([], "doc_id long, text string, source string")).count() == 0
 
