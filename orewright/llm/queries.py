@@ -16,11 +16,17 @@ from orewright.llm.mixing import mixed_sources
 from orewright.llm.ngram_join import ngram_jaccard_join
 from orewright.llm.personal_data import KINDS, personal_data, span_text
 from orewright.llm.preferences import clean_turns, pairs_by_first_turn, preference_examples
+from orewright.llm.prefix_trie import conversation_paths, prefix_trie, regrown_paths
 from orewright.llm.quality import quality
+from orewright.llm.spelling import spelling_groups, with_slips, word_counts
 from orewright.llm.token_files import read_token_files, write_token_files
 from orewright.llm.toxicity import toxicity
+from orewright.llm.url_verdicts import url_verdicts
 from orewright.session import work_folder
 
+# Host, path and verdict of the url rules.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -96,6 +102,22 @@ def op2_preference_format(spark: SparkSession, folder: str) -> DataFrame:
     return preference_examples(turns, pairs_by_first_turn(turns).unionByName(neighbours))
 
 
+@query
+def op11_url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    return url_verdicts(table(spark, folder, "pages"), URL_RULES)
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(regrown_paths(conversation_paths(table(spark, folder, "conversations"))))
+
+
+@query
+def op13_spelling_groups(spark: SparkSession, folder: str) -> DataFrame:
+    words = word_counts(table(spark, folder, "documents"), with_slips(F.col("doc_id"), F.col("run")))
+    return spelling_groups(words)
+
+
 SQL["op2_preference_format"] = r"""
 WITH t AS (
   SELECT conv_id, turn, max(ROW(coalesce(role, 'user'), coalesce(text, ''))) AS said
@@ -209,3 +231,135 @@ WITH d AS (
 SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched, CAST(n_words AS INTEGER) AS n_words
 FROM counted GROUP BY doc_id, item_id, n_words HAVING max(matched) >= ceil(0.7 * n_words)
 """
+
+# CRC-32 of a list of bytes by its table of 256 remainders.
+_CRC_TABLE = """crcs AS (
+  SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1))) ORDER BY b) AS t
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS b)
+)"""
+_CRC = "xor(list_reduce(list_prepend(4294967295, {}), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+
+_PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
+_HOST = f"translate(coalesce(regexp_extract({{0}}, '{_PARTS}', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = f"coalesce(regexp_extract({{0}}, '{_PARTS}', 2), '')"
+
+
+def _attribute(name: str) -> str:
+    at = rf"""(?is)[\s"'']{name}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))"""
+    return "replace(" + " || ".join(f"regexp_extract(tag, '{at}', {k})" for k in (1, 2, 3)) + ", '&amp;', '&')"
+
+
+def _url_rule(value: str) -> str:
+    rules = sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
+    shown = {"rule": lambda r: r[0] + r[1], "verdict": lambda r: r[2]}[value]
+    return "CASE " + " ".join(
+        f"WHEN (host = '{r[0]}' OR host LIKE '%.{r[0]}') AND starts_with(path, '{r[1]}') THEN '{shown(r)}'" for r in rules
+    ) + " END"
+
+
+SQL["op11_url_verdicts"] = rf"""
+WITH RECURSIVE tags AS (
+  SELECT DISTINCT url, unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>', '', 'g'), '(?is)<(?:link|meta)\b[^>]*>')) AS tag
+  FROM pages WHERE regexp_matches(html, '(?i)canonical|refresh|og:url')
+), aimed AS (
+  SELECT url, trim(CASE
+    WHEN tag ILIKE '<link%' AND list_contains(regexp_split_to_array(lower({_attribute("rel")}), '\s+'), 'canonical') THEN {_attribute("href")}
+    WHEN tag ILIKE '<meta%' AND lower({_attribute("http-equiv")}) = 'refresh'
+      THEN regexp_extract({_attribute("content")}, '(?is)^\s*[0-9.]*\s*[;,]\s*(?:url\s*=\s*)?["'']?([^"'']*)', 1)
+    WHEN tag ILIKE '<meta%' AND lower({_attribute("property")}) = 'og:url' THEN {_attribute("content")} ELSE '' END) AS aim,
+    regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme, regexp_extract(url, '{_PARTS}', 1) AS site, {_PATH.format("url")} AS path
+  FROM tags WHERE url IS NOT NULL
+), edges AS (
+  SELECT url, CASE WHEN regexp_matches(aim, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN aim
+    WHEN aim LIKE '//%' THEN scheme || ':' || aim WHEN aim LIKE '/%' THEN scheme || '://' || site || aim
+    WHEN aim LIKE '?%' THEN scheme || '://' || site || path || aim
+    ELSE scheme || '://' || site || coalesce(nullif(regexp_extract(path, '(?s)^(.*/)', 1), ''), '/') || aim END AS target
+  FROM aimed WHERE aim <> '' AND aim NOT LIKE '#%' AND site <> ''
+    AND (regexp_matches(aim, '^[A-Za-z][A-Za-z0-9+.-]*://') OR NOT regexp_matches(aim, '^[A-Za-z][A-Za-z0-9+.-]*:'))
+), urls AS (
+  SELECT url, {_HOST.format("url")} AS host, {_PATH.format("url")} AS path, regexp_extract(url, '{_PARTS}', 3)[2:] AS asked
+  FROM (SELECT url FROM pages UNION SELECT target FROM edges) WHERE url IS NOT NULL
+), forms AS (
+  SELECT url, {_url_rule("verdict")} AS verdict, CASE WHEN bare <> '' THEN bare
+    || regexp_replace(regexp_replace(path, '/index\.html?$', '/'), '/+$', '') || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END END AS form
+  FROM (SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') AS bare,
+    array_to_string(list_filter(string_split(asked, '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|gclid|fbclid)(=|$)')), '&') AS kept FROM urls)
+), pairs AS (
+  SELECT a.form AS a, b.form AS b FROM edges JOIN forms a ON a.url = edges.url JOIN forms b ON b.url = edges.target
+), both_ways AS (
+  SELECT a, b FROM pairs UNION SELECT b, a FROM pairs
+), reach AS (
+  SELECT DISTINCT form, form AS m FROM forms WHERE form IS NOT NULL
+  UNION SELECT e.b, r.m FROM reach r JOIN both_ways e ON e.a = r.form
+), decided AS (
+  SELECT r.form, bool_or(f.verdict = 'allow') AS allowed, bool_or(f.verdict = 'block') AS blocked FROM reach r JOIN forms f ON f.form = r.m GROUP BY r.form
+), judged AS (
+  SELECT page_id, url, {_HOST.format("url")} AS host, {_PATH.format("url")} AS path FROM pages
+)
+SELECT page_id, host, path, {_url_rule("rule")} AS rule,
+  coalesce({_url_rule("verdict")}, CASE WHEN coalesce(d.blocked, false) AND NOT coalesce(d.allowed, false) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN forms USING (url) LEFT JOIN decided d ON d.form = forms.form
+""".replace("judged LEFT JOIN forms USING (url)", "judged LEFT JOIN (SELECT url, form FROM forms) forms USING (url)")
+
+SQL["op12_prefix_trie"] = rf"""
+WITH {_CRC_TABLE}, own AS (
+  SELECT conv_id, list(ROW(coalesce(role, ''), coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''),
+    md5(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), drawn AS (
+  SELECT own.*, {_CRC.format("list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))")} % 6 AS h FROM own, crcs
+), regrown AS (
+  SELECT d.conv_id, list_concat(coalesce(list_slice(b.turns, 1, h), []), list_slice(d.turns, h + 1, len(d.turns))) AS turns
+  FROM drawn d LEFT JOIN own b ON b.conv_id = d.conv_id - d.conv_id % 100
+), prefixes AS (
+  SELECT conv_id, d AS depth, list_slice(turns, 1, d) AS path, list_slice(turns, 1, d - 1) AS above, len(turns) = d AS ended
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM regrown)
+), nodes AS (
+  SELECT path, any_value(above) AS above, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    CASE WHEN depth > 0 THEN (count(*) - 1) * length(struct_extract_at(path[depth], 2)) ELSE 0 END AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+  FROM prefixes GROUP BY path, depth
+), kids AS (
+  SELECT above AS path, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), sums AS (
+  SELECT up AS depth, list_slice(n.path, 1, up) AS path, sum(saved) AS saved, count(*) FILTER (k.n IS NULL) AS leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM nodes) n LEFT JOIN kids k ON k.path = n.path AND k.depth = n.depth GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+  s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.path = n.path AND s.depth = n.depth LEFT JOIN kids k ON k.path = n.path AND k.depth = n.depth
+LEFT JOIN nodes p ON p.path = n.above AND p.depth = n.depth - 1
+"""
+
+_BYTES = """flatten(list_transform(string_split({}, ''), lambda x: CASE WHEN ord(x) < 128 THEN [CAST(ord(x) AS BIGINT)]
+  ELSE [192 | (CAST(ord(x) AS BIGINT) >> 6), 128 | (CAST(ord(x) AS BIGINT) & 63)] END))"""
+
+# Near words share what a lost letter leaves: at the same place if one was replaced, the shorter word itself if one was inserted.
+SQL["op13_spelling_groups"] = rf"""
+WITH RECURSIVE {_CRC_TABLE}, runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), hashed AS (
+  SELECT run, {_CRC.format(_BYTES.format("id || ':' || run"))} AS h FROM (SELECT * FROM runs WHERE length(run) >= 6), crcs
+), words AS (
+  SELECT word, count(*) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5
+), lost AS (
+  SELECT word, n, k, word[:k - 1] || word[k + 1:] AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS k FROM words)
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM lost a JOIN lost b ON a.k = b.k AND a.rest = b.rest AND length(a.word) = length(b.word) AND a.word <> b.word
+  UNION SELECT a.word, a.n, w.word, w.n FROM lost a JOIN words w ON w.word = a.rest
+  UNION SELECT w.word, w.n, a.word, a.n FROM lost a JOIN words w ON w.word = a.rest
+), best AS (
+  SELECT word, any_value(n) AS n, count(*) AS n_near, min(ROW(-other_n, other)) AS b FROM near GROUP BY word
+), forms AS (
+  SELECT word, n_near, CASE WHEN -struct_extract_at(b, 1) >= 5 * n THEN struct_extract_at(b, 2) END AS form,
+    CASE WHEN -struct_extract_at(b, 1) >= 5 * n THEN -struct_extract_at(b, 1) END AS form_n FROM best
+), chain AS (
+  SELECT word, word AS root, 0 AS step FROM words
+  UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+)
+SELECT w.word, f.form, r.root, w.n, coalesce(f.n_near, 0) AS n_near, f.form_n
+FROM words w LEFT JOIN forms f USING (word) JOIN (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word) r USING (word)
+"""

@@ -101,7 +101,7 @@ def test_pipeline_runs_on_the_sample(ready, sample):
 def test_queries_equal_their_check_sql(ready, sample, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "benchmark", "labels", "conversations"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sample}/{t}.parquet'")
     df = QUERIES[name](ready, sample)
     cur = con.execute(SQL[name])
@@ -110,4 +110,4 @@ def test_queries_equal_their_check_sql(ready, sample, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
