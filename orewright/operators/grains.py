@@ -25,6 +25,43 @@ def assign_period(
     return df.join(days, df[date_col] == days["_day"]).drop("_day")
 
 
+def within_spans(df: DataFrame, at: str, spans: DataFrame, start: str, end: str) -> DataFrame:
+    """Inner join of times to the spans that hold them, both ends included; spans of any length, with times of day, may overlap.
+
+    Time is cut into granules, as long as the shortest span but a second at least, and those into blocks of 1, 2, 4 …
+    granules. A span is the least set of blocks that covers it, at most two of each size, and a time lies in one
+    block of each size; so the join is one on equal blocks, and the ends are compared exactly after it. Only sizes that
+    occur among the spans are looked up. A span that lacks an end, or ends before it starts, holds nothing.
+    """
+    micros = {name: F.unix_micros(F.col(name).cast("timestamp")) for name in (start, end)}
+    held = spans.withColumns({"_from": micros[start], "_to": micros[end]}).filter("_from <= _to")
+    shortest = held.agg(F.min(F.col("_to") - F.col("_from"))).first()[0]
+    granule = max(1_000_000, shortest or 0)
+    cut = held.withColumns(
+        {"_a": F.floor(F.col("_from") / granule).cast("long"), "_b": F.floor(F.col("_to") / granule).cast("long") + 1}
+    )
+    # Of each size the first block that starts in [_a, _b) and the end of the last one, in blocks; odd ones are not part of a larger block.
+    edges = F.expr(
+        "transform(sequence(0, CAST(ceil(log2(_b - _a)) AS INT)), l -> named_struct("
+        "'_size', l, 'lo', shiftright(_a + shiftleft(1L, l) - 1, l), 'hi', shiftright(_b, l)))"
+    )
+    chosen = F.flatten(F.transform(F.filter(edges, lambda e: e["lo"] < e["hi"]), lambda e: F.filter(
+        F.array(
+            F.when(e["lo"] % 2 != 0, F.struct(e["_size"].alias("_size"), e["lo"].alias("_block"))),
+            F.when(e["hi"] % 2 != 0, F.struct(e["_size"].alias("_size"), (e["hi"] - 1).alias("_block"))),
+        ),
+        lambda b: b.isNotNull(),
+    )))
+    blocks = cut.withColumn("_in", F.explode(chosen)).select("*", "_in.*").drop("_in", "_a", "_b")
+    sizes = sorted(r[0] for r in blocks.select("_size").distinct().collect())  # at most one for each bit
+    time = F.unix_micros(F.col(at).cast("timestamp"))
+    placed = df.withColumn("_at", time).withColumn("_granule", F.floor(F.col("_at") / granule).cast("long"))
+    looked = F.array(*[F.struct(F.lit(s).alias("_size"), F.shiftright("_granule", s).alias("_block")) for s in sizes])
+    looked = placed.withColumn("_in", F.explode(looked.cast("array<struct<_size:int,_block:bigint>>"))).select("*", "_in.*").drop("_in", "_granule")
+    inside = looked.join(blocks, ["_size", "_block"]).filter("_at >= _from AND _at <= _to")
+    return inside.drop("_size", "_block", "_at", "_from", "_to")
+
+
 def related(fact: DataFrame, dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Look columns up through a many-to-one relationship; NULL where the key is unknown."""
     return fact.join(dim.select(key, *columns), key, "left")

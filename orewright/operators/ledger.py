@@ -138,18 +138,19 @@ def gl_transactions(
     join grow with the ledger, so it is asked to be a sort-merge join whatever its files
     look like to the planner.
     """
+    keys = [c for c in ("fiscal_period_key",) if c in periods.columns]
     spans = periods.select(
-        *PERIOD_COLUMNS, "period_start_date", "period_end_date",
+        *PERIOD_COLUMNS, *keys, "period_start_date", "period_end_date",
         F.col("is_closed").alias("period_is_closed"),
     )
     dated = assign_period(headers, spans, "posting_date").select(
         "journal_entry_id", "posting_date", F.col("description").alias("je_description"),
         "source_system", "created_by", F.col("status").alias("je_status"),
-        *PERIOD_COLUMNS, "period_is_closed",
+        *PERIOD_COLUMNS, *keys, "period_is_closed",
     )
     return (
         lines.join(dated.hint("merge"), "journal_entry_id")
-        .join(accounts.drop("is_active"), "account_id")
+        .join(accounts.drop("is_active", "normal_balance_type"), "account_id")
         .join(centers.drop("is_active", "manager_name"), "cost_center_id")
     )
 
@@ -186,16 +187,20 @@ def gl_totals(
 def fact_gl_activity(
     gl: DataFrame, accounts: DataFrame, centers: DataFrame, periods: DataFrame
 ) -> DataFrame:
-    """Row-level fact on surrogate keys, every status kept."""
-    return (
-        gl.join(accounts.select("account_id", "account_key"), "account_id")
-        .join(centers.select("cost_center_id", "cost_center_key"), "cost_center_id")
-        .join(periods.select("fiscal_period_id", "fiscal_period_key"), "fiscal_period_id")
-        .select(
-            "account_key", "cost_center_key", "fiscal_period_key", "journal_entry_id", "line_number",
-            "posting_date", "je_description", "source_system", "je_status", "debit_amount",
-            "credit_amount", "net_amount",
-        )
+    """Row-level fact on surrogate keys, every status kept.
+
+    Transactions that were built from the dimensions carry the keys already; others look them up.
+    """
+    for dim, name, key in (
+        (accounts, "account_id", "account_key"), (centers, "cost_center_id", "cost_center_key"),
+        (periods, "fiscal_period_id", "fiscal_period_key"),
+    ):
+        if key not in gl.columns:
+            gl = gl.join(dim.select(name, key), name)
+    return gl.select(
+        "account_key", "cost_center_key", "fiscal_period_key", "journal_entry_id", "line_number",
+        "posting_date", "je_description", "source_system", "je_status", "debit_amount",
+        "credit_amount", "net_amount",
     )
 
 

@@ -291,12 +291,10 @@ def workforce_by(employees: DataFrame, departments: DataFrame, by: str) -> DataF
 
 
 def review_coverage(employees: DataFrame, reviews: DataFrame, by: str) -> DataFrame:
-    """Employees with a review against headcount, from two facts brought to one grain."""
+    """Employees with a review against headcount, from two facts brought to one grain; a blank group is a group too."""
     heads = evaluate(employees, ["total_headcount"], [by])
-    seen = evaluate(reviews, ["reviewed_employees"], [by]).withColumnRenamed(
-        "reviewed_employees", "employees_with_reviews"
-    )
-    return heads.join(seen, by, "left").withColumn(
+    seen = evaluate(reviews, ["reviewed_employees"], [by]).toDF("_by", "employees_with_reviews")
+    return heads.join(seen, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by").withColumn(
         "review_coverage_pct",
         safe_divide(F.col("employees_with_reviews"), F.col("total_headcount")),
     )

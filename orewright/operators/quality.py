@@ -54,6 +54,12 @@ def no_postings_to_closed_periods(
     return found if enforce else found.filter(F.lit(False))
 
 
+def entry_amounts(entries: DataFrame, lines: DataFrame) -> DataFrame:
+    """Entries with what they debit in total; lines shrink to an entry's sum before they meet the headers."""
+    totals = lines.groupBy("journal_entry_id").agg(F.sum("debit_amount").alias("amount"))
+    return entries.join(totals, "journal_entry_id").select("journal_entry_id", "amount", "description", "created_at")
+
+
 def suspected_duplicates(
     entries: DataFrame, minutes: int = 10, amount: str = "amount", text: str = "description",
     clock: str = "created_at", entry: str = "journal_entry_id",

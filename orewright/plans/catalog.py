@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from orewright.plans import (  # noqa: F401  (importing registers)
-    integrate, ledger, metrics, quality, reports, retail, sensors, storage, streams, workforce,
+    integrate, ledger, metrics, quality, reports, retail, sensors, storage, stored, streams,
+    workforce,
 )
 from orewright.plans.registry import REGISTRY, Query
 

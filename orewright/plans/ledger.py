@@ -78,9 +78,9 @@ def variance(g: Given) -> DataFrame:
 
 @shared
 def fact(g: Given) -> DataFrame:
-    return op.fact_gl_activity(
-        rows(g), op.dim_accounts(accounts(g)), op.dim_cost_centers(centers(g)), op.dim_fiscal_periods(periods(g))
-    )
+    """The keys come along in the joins that build the transactions."""
+    dims = op.dim_accounts(accounts(g)), op.dim_cost_centers(centers(g)), op.dim_fiscal_periods(periods(g))
+    return op.fact_gl_activity(op.gl_transactions(lines(g), entries(g), *dims), *dims)
 
 
 @query("P-12", sql="SELECT * FROM g_entries", text=["posting_date", "created_at"])
@@ -174,6 +174,29 @@ def assign_period(g: Given) -> DataFrame:
     return grains.assign_period(dated, spans, "posting_date")
 
 
+@query(
+    "J-08",
+    sql="""
+    SELECT e.journal_entry_id, e.created_at, p.span FROM g_entries_raw e JOIN (
+      SELECT fiscal_period_id AS span, CAST(period_start_date AS TIMESTAMP) AS a, CAST(period_end_date AS TIMESTAMP) + INTERVAL '17 hours' AS b FROM g_periods
+      UNION ALL SELECT 'FY' || fiscal_year, CAST(min(period_start_date) AS TIMESTAMP), CAST(max(period_end_date) AS TIMESTAMP) + INTERVAL '17 hours' FROM g_periods GROUP BY fiscal_year
+      UNION ALL SELECT 'century', TIMESTAMP '1950-01-01 00:00:00', TIMESTAMP '2049-12-31 23:59:59'
+    ) p ON e.created_at BETWEEN p.a AND p.b""",
+    text=["created_at"],
+)
+def assign_spans(g: Given) -> DataFrame:
+    """Times of entry within months, years and a century at once: spans that overlap and end at times of day."""
+    entered = given.ledger_entries(g).select("journal_entry_id", F.col("created_at").cast("timestamp"))
+    first, last = F.col("period_start_date").cast("timestamp"), F.col("period_end_date").cast("timestamp") + F.expr("INTERVAL 17 HOURS")
+    months = periods(g).select("fiscal_period_id", "fiscal_year", first.alias("a"), last.alias("b"))
+    years = months.groupBy(F.concat(F.lit("FY"), F.col("fiscal_year").cast("string")).alias("span")).agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    century = g.spark.range(1).select(
+        F.lit("century").alias("span"), F.lit("1950-01-01 00:00:00").cast("timestamp").alias("a"), F.lit("2049-12-31 23:59:59").cast("timestamp").alias("b")
+    )
+    spans = months.select(F.col("fiscal_period_id").alias("span"), "a", "b").unionByName(years).unionByName(century)
+    return grains.within_spans(entered, "created_at", spans, "a", "b").select("journal_entry_id", "created_at", "span")
+
+
 @query("J-09", "F-06", sql="""
     SELECT md5(account_id) AS account_key, md5(cost_center_id) AS cost_center_key,
       md5(fiscal_period_id) AS fiscal_period_key, journal_entry_id, line_number, posting_date, je_description,

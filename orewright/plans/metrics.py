@@ -184,7 +184,7 @@ def diversity_metrics(g: Given) -> DataFrame:
       CAST(employees_with_reviews AS DOUBLE) / total_headcount AS review_coverage_pct
     FROM (SELECT department_id, count(DISTINCT employee_id) AS total_headcount FROM h_employees GROUP BY 1) h
     LEFT JOIN (SELECT e.department_id, count(DISTINCT r.employee_id) AS employees_with_reviews
-      FROM h_reviews r JOIN h_employees e ON r.employee_id = e.employee_id GROUP BY 1) s ON h.department_id = s.department_id""",
+      FROM h_reviews r JOIN h_employees e ON r.employee_id = e.employee_id GROUP BY 1) s ON h.department_id IS NOT DISTINCT FROM s.department_id""",
        ratios=["review_coverage_pct"])
 def review_coverage(g: Given) -> DataFrame:
     facts = workforce.op.fact_performance(workforce.reviews(g), workforce.employees(g))

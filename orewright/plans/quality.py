@@ -98,6 +98,21 @@ def suspected_duplicates(g: Given) -> DataFrame:
     return op.suspected_duplicates(entries, minutes=120)
 
 
+@query(
+    "D-08",
+    sql="""
+    SELECT journal_entry_id, amount, description, created_at
+    FROM (SELECT e.journal_entry_id, e.description, e.created_at, sum(l.debit_amount) AS amount
+      FROM g_entries e JOIN g_lines l ON l.journal_entry_id = e.journal_entry_id GROUP BY ALL)
+    WINDOW same AS (PARTITION BY amount, description ORDER BY created_at, journal_entry_id)
+    QUALIFY created_at - lag(created_at) OVER same <= INTERVAL 30 DAY OR lead(created_at) OVER same - created_at <= INTERVAL 30 DAY""",
+    text=["created_at"], real=["amount"],
+)
+def suspected_duplicate_entries(g: Given) -> DataFrame:
+    """Ledger entries that were entered with the same total and text as another one in the 30 days around."""
+    return op.suspected_duplicates(op.entry_amounts(ledger.entries(g), ledger.lines(g)), minutes=30 * 24 * 60)
+
+
 def _ledger_layers(g: Given):
     raw = {"entries": given.ledger_entries(g), "lines": given.ledger_lines(g)}
     stg = {

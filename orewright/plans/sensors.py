@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orewright.functions.dates import ago
 from orewright.functions.dates import effective_time as either_clock
 from orewright.operators import sensors as op
 from orewright.operators import shaping
 from orewright.plans.checks import BREACH3, BREACH4, rounded
 from orewright.plans.registry import query
+from orewright.session import work_folder
 from orewright.sources import adapters as given
 from orewright.sources import events as parsing
 from orewright.sources.adapters import Given, shared
@@ -21,8 +23,11 @@ def readings(g: Given) -> DataFrame:
     return given.sensor_readings(g.table("events"))
 
 
-def now(g: Given):
-    return given.last_ingest(g)
+def recent(g: Given, clock: str, interval: str):
+    """The stored readings that can lie within the interval up to the newest ingestion, and that time."""
+    events = given.events_by_day(g)
+    as_of = events.as_of("_ingested_at")
+    return given.sensor_readings(events.since("ts" if clock == "event_time" else clock, interval, as_of)), as_of
 
 
 @query(
@@ -76,7 +81,8 @@ def filter_temp(g: Given) -> DataFrame:
 
 @query("P-19", "F-22", sql="SELECT reading_id, _ingested_at FROM s_day", text=["_ingested_at"])
 def since(g: Given) -> DataFrame:
-    return shaping.since(readings(g), "_ingested_at", "24 hours", now(g)).select("reading_id", "_ingested_at")
+    rows, as_of = recent(g, "_ingested_at", "24 hours")
+    return shaping.since(rows, "_ingested_at", "24 hours", as_of).select("reading_id", "_ingested_at")
 
 
 @query(
@@ -88,7 +94,10 @@ def since(g: Given) -> DataFrame:
 )
 def between_range(g: Given) -> DataFrame:
     """No range given: the last hour."""
-    return shaping.last_hour(readings(g), "event_time", now(g)).select("reading_id", "event_time")
+    events = given.events_by_day(g)
+    as_of = events.as_of("_ingested_at")
+    rows = given.sensor_readings(events.after("ts", ago(as_of, "1 hour"), as_of))
+    return shaping.last_hour(rows, "event_time", as_of).select("reading_id", "event_time")
 
 
 @query("P-21", sql="""
@@ -106,7 +115,7 @@ def project_as(g: Given) -> DataFrame:
     FROM s_day GROUP BY device_id""",
 )
 def sensor_averages(g: Given) -> DataFrame:
-    return op.sensor_averages(readings(g), now(g)).orderBy("device_id")
+    return op.sensor_averages(*recent(g, "_ingested_at", "24 hours")).orderBy("device_id")
 
 
 @query(
@@ -118,7 +127,7 @@ def sensor_averages(g: Given) -> DataFrame:
     text=["bin"],
 )
 def zone_bins(g: Given) -> DataFrame:
-    return op.zone_bins(readings(g), now(g)).orderBy(F.col("bin").desc(), "zone")
+    return op.zone_bins(*recent(g, "_ingested_at", "1 hour")).orderBy(F.col("bin").desc(), "zone")
 
 
 @query(
@@ -139,13 +148,13 @@ def temp_trend(g: Given) -> DataFrame:
     FROM s_day""",
 )
 def vibration_card(g: Given) -> DataFrame:
-    return op.vibration_card(readings(g), now(g))
+    return op.vibration_card(*recent(g, "_ingested_at", "24 hours"))
 
 
 @query("A-22", "V-08",
        sql="SELECT zone, count(*) FILTER (is_anomaly) AS anomalies FROM s_day GROUP BY zone")
 def anomalies_by_zone(g: Given) -> DataFrame:
-    return op.anomalies_by_zone(readings(g), now(g)).orderBy(F.col("anomalies").desc(), "zone")
+    return op.anomalies_by_zone(*recent(g, "_ingested_at", "24 hours")).orderBy(F.col("anomalies").desc(), "zone")
 
 
 @query(
@@ -189,7 +198,14 @@ def effective_time(g: Given) -> DataFrame:
 
 @query("T-07", sql="SELECT reading_id, event_time FROM s_day", text=["event_time"])
 def retain(g: Given) -> DataFrame:
-    return op.retain(readings(g), "_ingested_at", now(g)).select("reading_id", "event_time")
+    """A store of its own whose days past the limit are removed; the rest of the first day is cut by the filter."""
+    path = work_folder(g.spark, "retained")
+    given.write_events(g, path)
+    events = given.events_by_day(g, path)
+    events.expire("_ingested_at", "1 day")
+    as_of = events.as_of("_ingested_at")
+    rows = given.sensor_readings(events.since("_ingested_at", "1 day"))
+    return op.retain(rows, "_ingested_at", as_of).select("reading_id", "event_time")
 
 
 @query(
@@ -213,4 +229,4 @@ def tumbling_stats(g: Given) -> DataFrame:
     text=["bin"],
 )
 def report_device_temperature(g: Given) -> DataFrame:
-    return op.device_temperature(readings(g), now(g))
+    return op.device_temperature(*recent(g, "event_time", "1 hour"))

@@ -71,6 +71,33 @@ def land_raw(g: Given) -> DataFrame:
     return files.land_raw(g.spark, f"{base}/journal_entries.csv", source.columns)
 
 
+@query("S-02", "S-03", sql="""
+    SELECT CAST(o_orderkey AS VARCHAR) AS journal_entry_id, NULL AS line, 'landed' AS outcome, CAST(o_totalprice AS DECIMAL(18,2)) AS amount
+    FROM orders WHERE o_orderkey % 20 NOT IN (1, 2, 3)
+    UNION ALL SELECT NULL, concat_ws(',', o_orderkey, CASE o_orderkey % 20 WHEN 1 THEN o_orderpriority || ',more' WHEN 3 THEN o_orderpriority END,
+      CASE WHEN o_orderkey % 20 = 2 THEN o_orderpriority || ',n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END),
+      CASE WHEN o_orderkey % 20 = 2 THEN 'value' ELSE 'width' END, NULL
+    FROM orders WHERE o_orderkey % 20 IN (1, 2)
+    UNION ALL SELECT NULL, CAST(o_orderkey AS VARCHAR) || ',' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), 'width', NULL
+    FROM orders WHERE o_orderkey % 20 = 3""", real=["amount"])
+def land_with_rejects(g: Given) -> DataFrame:
+    """Orders as lines, some with a field too many, one too few or no number: every line lands or is set aside."""
+    key, amount = F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    kind = F.col("o_orderkey") % 20
+    line = F.concat_ws(
+        ",", key, F.when(kind != 3, F.col("o_orderpriority")), F.when(kind == 1, "more"), F.when(kind == 2, "n/a").otherwise(amount)
+    )
+    columns = ["journal_entry_id", "description", "amount"]
+    base = work_folder(g.spark, "lines")
+    # One unquoted column whose name is the header.
+    g.table("orders").select(line.alias(",".join(columns))).write.options(header=True, quote="", sep="\u0001").csv(base)
+    landed = files.land(g.spark, base, columns, {"amount": "decimal(18,2)"})
+    nothing = F.lit(None).cast("string")
+    return landed.rows.select("journal_entry_id", nothing.alias("line"), F.lit("landed").alias("outcome"), "amount").unionByName(
+        landed.rejected.select(nothing.alias("journal_entry_id"), "line", F.col("reason").alias("outcome"), F.lit(None).cast("decimal(18,2)").alias("amount"))
+    )
+
+
 @query("S-04", sql="""
     SELECT fiscal_period_id, account_id, cost_center_id, budget_amount, 'Original' AS budget_type FROM g_budgets""",
        real=["budget_amount"])

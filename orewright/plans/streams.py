@@ -47,7 +47,7 @@ def stream_filter_temp(g: Given) -> DataFrame:
 def stream_tumbling_stats(g: Given) -> DataFrame:
     root = work_folder(g.spark, "stats")
     rows = readings(g)
-    sinks.finish(sinks.partial_sink(rows, hot_partials, f"{root}/out", f"{root}/checkpoint", once=True))
+    sinks.finish(sinks.partial_sink(rows, hot_partials, f"{root}/out", f"{root}/checkpoint", once=True, merge=windows.merged_partials))
     return read_stats(g, f"{root}/out", rows)
 
 
@@ -67,7 +67,7 @@ def stream_route(g: Given) -> DataFrame:
     """Both branches of the fan-out, summed up by zone."""
     root = work_folder(g.spark, "route")
     rows = readings(g)
-    sinks.finish(*sinks.route(rows, hot_partials, f"{root}/raw", f"{root}/agg", f"{root}/checkpoint", once=True))
+    sinks.finish(*sinks.route(rows, hot_partials, f"{root}/raw", f"{root}/agg", f"{root}/checkpoint", once=True, merge=windows.merged_partials))
     raw = g.spark.read.schema(rows.schema).parquet(f"{root}/raw")
     agg = read_stats(g, f"{root}/agg", rows)
 
@@ -85,10 +85,10 @@ def stream_route(g: Given) -> DataFrame:
 def stream_upsert(g: Given) -> DataFrame:
     root, keys, order = work_folder(g.spark, "mirror"), ["customer_id"], ["_at", "_seq"]
     target, feed = integrate.mirror_target(g), integrate.mirror_feed(stream(g, "orders"))
-    sinks.start_mirror(target, f"{root}/table")
+    sinks.start_mirror(target, f"{root}/table", keys)
     sinks.finish(sinks.follow_changes(feed, f"{root}/table", f"{root}/checkpoint", keys, order, once=True))
-    sinks.fold_mirror(g.spark, f"{root}/table", f"{root}/folded", feed.schema, keys, order)
-    return sinks.read_mirror(g.spark, f"{root}/folded", target.schema, feed.schema, keys, order)
+    sinks.fold_mirror(g.spark, f"{root}/table", feed.schema, keys, order)
+    return sinks.read_mirror(g.spark, f"{root}/table", target.schema, feed.schema, keys, order)
 
 
 @query("T-06", sql="""
@@ -99,5 +99,5 @@ def stream_latest_state(g: Given) -> DataFrame:
     root = work_folder(g.spark, "latest")
     rows = readings(g).select("device_id", "reading_id", "event_time", "zone", "temperature_celsius")
     state = windows.latest_state(rows)
-    sinks.finish(sinks.update_sink(state, f"{root}/out", f"{root}/checkpoint", once=True))
+    sinks.finish(sinks.update_sink(state, f"{root}/out", f"{root}/checkpoint", ["device_id"], once=True))
     return sinks.read_updates(g.spark, f"{root}/out", state.schema, ["device_id"])

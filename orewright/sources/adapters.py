@@ -7,12 +7,19 @@ customers without orders, orphan keys, listed amounts, unbalanced entries.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orewright.session import work_folder
+from orewright.sources import folders
+from orewright.sources.timed import Timed, open_timed, write_timed
+
+# Folders of derived tables that an application has written, by application, kind and state of the files they come from.
+_KEPT: dict[tuple, str] = {}
+
 
 class Given:
     """The given tables of one folder."""
@@ -30,6 +37,16 @@ class Given:
             self.frames[name] = self.spark.read.parquet(self.path(name))
         return self.frames[name]
 
+    def kept(self, kind: str, sources: Sequence[str], write: Callable[[str], None]) -> str:
+        """The folder of a table derived from given ones: written once for as long as the given files stay as they are."""
+        state = tuple((self.path(s), *folders.signature(self.spark, self.path(s))) for s in sources)
+        key = (self.spark.sparkContext.applicationId, kind, state)
+        if key not in _KEPT:
+            path = work_folder(self.spark, kind)
+            write(path)
+            _KEPT[key] = path
+        return _KEPT[key]
+
     def pattern(self, name: str) -> str:
         """A glob for the same table: a stream reads a single file or a folder through it."""
         return f"{self.folder}/{{{name}}}.parquet"
@@ -229,10 +246,15 @@ def sensor_readings(events: DataFrame) -> DataFrame:
         (value / 20).alias("vibration_mms"),
         F.from_json("props", "k double").getField("k").alias("humidity_percent"),
         ((F.col("event_type") == "error") & (value > 20)).alias("is_anomaly"),
-        (at + F.make_dt_interval(secs=(F.col("event_id") % 7).cast("decimal(18,6)"))).alias("_ingested_at"),
+        _ingested_at(at).alias("_ingested_at"),
     )
 
 
+def _ingested_at(event_time: Column) -> Column:
+    """Some seconds after the event."""
+    return event_time + F.make_dt_interval(secs=(F.col("event_id") % 7).cast("decimal(18,6)"))
+
+
 def sensor_bodies(g: Given) -> DataFrame:
     """Events as JSON text, as they come from the wire; one kind is cut short and does not parse."""
     r = sensor_readings(g.table("events"))
@@ -243,10 +265,17 @@ def sensor_bodies(g: Given) -> DataFrame:
     return r.select("reading_id", cut.alias("body"))
 
 
-def last_ingest(g: Given) -> Column:
-    """The clock of a query: the newest ingestion time, read as a scalar subquery."""
-    r = sensor_readings(g.table("events"))
-    return r.agg(F.max("_ingested_at").alias("as_of")).scalar()
+def write_events(g: Given, path: str) -> None:
+    """The events as an ingest job stores them: by day of their clock, with the ingestion clock's facts beside them."""
+    events = g.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    write_timed(events, path, "ts", {"_ingested_at": _ingested_at(F.col("ts"))})
+
+
+def events_by_day(g: Given, path: str | None = None) -> Timed:
+    """The stored events; by default those that this application keeps for all its reports."""
+    path = path or g.kept("events", ["events"], lambda to: write_events(g, to))
+    schema = g.table("events").withColumn("ts", F.col("ts").cast("timestamp")).schema
+    return open_timed(g.spark, path, schema, "ts")
 
 
 # --- ledger --------------------------------------------------------------------------

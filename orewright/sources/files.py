@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,3 +58,60 @@ def load_seed(
     """
     raw = by_header(spark, path, columns)
     return raw.withColumns({c: F.col(c).try_cast(t) for c, t in (types or {}).items()})
+
+
+# --- files whose lines may be broken ------------------------------------------------------------------------
+
+BROKEN = "_broken"
+
+
+@dataclass(frozen=True)
+class Landing:
+    """The lines of delimited files: ``rows`` as the columns asked for, and ``rejected`` lines as they stand there.
+
+    ``rejected`` has ``file``, ``line`` and ``reason``: ``width`` for too many or too few fields, ``value`` for a field that is
+    not of its type. Every line but the headers is in one of the two.
+    """
+
+    rows: DataFrame
+    rejected: DataFrame
+
+
+def land(
+    spark: SparkSession, path: str, columns: Sequence[str], types: Mapping[str, str] | None = None, delimiter: str = ",", **options
+) -> Landing:
+    """Read files by their header, with the lines that do not fit it set aside instead of cut, padded or blanked.
+
+    Columns come in the order asked for, those named in ``types`` typed, the others as text. Each of the two
+    frames is one pass over the files. A header other than the first file's is an error.
+    """
+    found = spark.read.options(header=True, inferSchema=False, delimiter=delimiter, **options).csv(path).columns
+    if sorted(found) != sorted(columns):
+        raise ValueError(f"{path} has columns {found}, not {list(columns)}")
+    wide = T.StructType([T.StructField(c, T.StringType()) for c in [*found, BROKEN]])
+    # Whole lines are parsed whatever columns a query needs: else a line's width would go unnoticed.
+    reader = spark.read.schema(wide).options(
+        header=True, enforceSchema=False, columnNameOfCorruptRecord=BROKEN, mode="PERMISSIVE", columnPruning=False,
+        delimiter=delimiter, **options,
+    )
+    lines = reader.csv(path)
+    types = dict(types or {})
+    odd = F.lit(False)
+    for c, t in types.items():
+        odd = odd | (F.col(c).isNotNull() & F.col(c).try_cast(t).isNull())
+    wrong_width = F.col(BROKEN).isNotNull()
+    rows = lines.filter(~wrong_width & ~odd).select(
+        *[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in columns]
+    )
+    written = F.array_join(F.array(*[F.coalesce(_as_written(F.col(c), delimiter), F.lit("")) for c in found]), delimiter)
+    rejected = lines.filter(wrong_width | odd).select(
+        F.col("_metadata.file_path").alias("file"), F.coalesce(BROKEN, written).alias("line"),
+        F.when(wrong_width, "width").otherwise("value").alias("reason"),
+    )
+    return Landing(rows, rejected)
+
+
+def _as_written(value: Column, delimiter: str) -> Column:
+    """A field as a file may hold it: in quotes where it needs them."""
+    needs = value.contains(delimiter) | value.contains('"') | value.contains("\n")
+    return F.when(needs, F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('\\"')), F.lit('"'))).otherwise(value)

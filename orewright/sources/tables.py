@@ -16,6 +16,16 @@ def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Overwrite a managed table in buckets of a key, sorted by it.
+
+    Tables in as many buckets of the same key join and aggregate on it without an exchange. Rows are dealt out
+    by the buckets' own hash first, so a bucket is one file. Meant for keys like an order's: a bucket
+    is read by one task, which adaptive execution cannot split.
+    """
+    placed = df.repartition(buckets, key)
+    placed.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def write_path(
@@ -41,6 +51,12 @@ def write_table(
     read as NULL there; columns that the rows lack are NULL in the new files.
     """
     spark = df.sparkSession
+    if version := _pointed_at(spark, name):  # a rebuilt table: its newest version takes the rows, or a new one does
+        if mode == "overwrite":
+            return replace_table(spark, name, df)
+        write_table(df, version, mode, merge_schema)
+        _point(spark, name, version)
+        return spark.table(name)
     if mode == "append" and spark.catalog.tableExists(name):
         held = spark.table(name)
         if set(df.columns) != set(held.columns):
@@ -62,23 +78,56 @@ def _partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+VERSION = "__version_"
+
+
 def replace_table(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     """Rebuild a derived table; running it again gives the same table.
 
-    The rows are written aside first, under a name of this run's own, as the old table may
-    be among their sources; then two renames switch, and the old table goes last. A run that
-    broke off between the renames left the old table under its ``__old`` name.
+    Each rebuild is written as a table of its own, a version, as the old one may be among its sources. The name
+    is a view of the newest version and is moved by one statement, so a reader finds the old rows or the new ones and never
+    nothing. The version before stays for readers that began with it. A run that broke off at any step
+    left the name as it was, or moved; the next run removes what it wrote in vain.
     """
-    run = uuid.uuid4().hex
-    aside, old = f"{name}__next_{run}", f"{name}__old_{run}"
-    df.write.saveAsTable(aside)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    version = f"{name}{VERSION}{uuid.uuid4().hex}"
+    before = _pointed_at(spark, name)
+    _write_version(df, version)
+    _point(spark, name, version)
+    _drop_versions(spark, name, keep={version, before})
     return spark.table(name)
 
 
+def _write_version(df: DataFrame, version: str) -> None:
+    df.write.saveAsTable(version)
+
+
+def _point(spark: SparkSession, name: str, version: str) -> None:
+    """One statement in the catalog. Only a name that is a plain table from elsewhere is renamed to a version first."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}{VERSION}{uuid.uuid4().hex}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+
+
+def _versions(spark: SparkSession, name: str) -> list[str]:
+    database, _, table_name = name.rpartition(".")
+    held = spark.catalog.listTables(database or None, f"{table_name}{VERSION}*")
+    return [f"{database}.{t.name}" if database else t.name for t in held if not t.isTemporary]
+
+
+def _pointed_at(spark: SparkSession, name: str) -> str | None:
+    """The version that the name shows now."""
+    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "VIEW":
+        return None
+    shown = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'View Text'").first()
+    return shown["data_type"].rpartition(" FROM ")[2].strip() if shown else None
+
+
+def _drop_versions(spark: SparkSession, name: str, keep: set) -> None:
+    for version in _versions(spark, name):
+        if version not in keep:
+            spark.sql(f"DROP TABLE IF EXISTS {version}")
+
+
 def register_refs(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """Name tables that live elsewhere; nothing is copied."""
     refs = {}

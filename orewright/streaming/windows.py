@@ -20,11 +20,17 @@ def tumbling_partials(df: DataFrame, width: str = "30 seconds", clock: str = "ev
     ).select("device_id", "zone", F.col("window.end").alias("Window_End_Time"), "_sum", "_n", "_vibration")
 
 
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """One partial row per window from any number of them."""
+    return partials.groupBy(*WINDOW_KEYS).agg(
+        F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"), F.max("_vibration").alias("_vibration")
+    )
+
+
 def merged_stats(partials: DataFrame) -> DataFrame:
     """Average temperature and highest vibration per window from any number of partial rows of it."""
-    return partials.groupBy(*WINDOW_KEYS).agg(
-        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("AVG_temperature_celsius"),
-        F.max("_vibration").alias("MAX_vibration_mms"),
+    return merged_partials(partials).select(
+        "*", F.try_divide("_sum", "_n").alias("AVG_temperature_celsius"), F.col("_vibration").alias("MAX_vibration_mms")
     ).select("device_id", "zone", "AVG_temperature_celsius", "MAX_vibration_mms", "Window_End_Time")
 
 

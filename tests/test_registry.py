@@ -23,7 +23,25 @@ def test_every_inventory_line_has_a_query():
 
 
 def test_every_query_has_its_check():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert [name for name, q in QUERIES.items() if q.sql is None] == []
+    assert set(QUERIES) <= set(entry_points.queries()) and set(QUERIES) <= set(entry_points.oracle_sql())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
+def test_other_queries_do_without_a_package_that_is_not_there(monkeypatch):
+    import builtins
+
+    real = builtins.__import__
+
+    def missing(name, *args, **named):
+        if name == "public_tokenizers":
+            raise ImportError(name)
+        return real(name, *args, **named)
+
+    for module in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("orewright.llm")]:
+        monkeypatch.delitem(sys.modules, module)
+    monkeypatch.setattr(builtins, "__import__", missing)
+    assert set(entry_points.queries()) == set(QUERIES) == set(entry_points.oracle_sql())
 
 
 def test_no_query_is_cut_to_make_its_check_cheap():
