@@ -13,9 +13,11 @@ set of seeds that does so for all lengths from ``a`` to ``2 a - 1`` does so for
 length that is equal to the same share; the tests go through those lengths. Shorter items need lighter seeds, which are used
 only if the benchmark has such items.
 
-Hashes of documents are first tested against a bit set of fixed size (64 kB) over all hashes of the
-benchmark, carried as a literal: a benchmark of any size gives the same literal, a larger one only
-lets more hashes pass to the join. The join, and the verification's joins, are left to Spark to plan
+Places of documents are tested twice before they are joined. The first two words under a seed, next to each other or
+with one between, must be such a pair of an item, by a bit set over all of the items' pairs; only there are seeds hashed, and
+those hashes are tested against a bit set over all of the items' seeds. Both are literals of the size that leaves
+at least fifteen sixteenths of the bits empty, from 8 kB to 512 kB: a benchmark beyond some 260,000 windows
+only lets more pass to the join. Neither test loses a hit. The join, and the verification's joins, are left to Spark to plan
 by size; a hash in a third of all documents is one row on the benchmark's side.
 
 Words are runs without white space, A-Z in lower case, bare of ASCII punctuation at both ends, so that an item within a sentence is
@@ -33,31 +35,53 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orewright.llm.base import GAP, folded, stored
+from orewright.llm.base import folded, stored
 
 # From so many words of the item on; a seed begins and ends with a word that counts.
 SEEDS_FROM = {13: ("11101", "1101001", "111001"), 8: ("11101", "1010011", "1100101", "11000101"), 4: ("111", "1101", "1011")}
 SEEDS = tuple(dict.fromkeys(seed for seeds in SEEDS_FROM.values() for seed in seeds))
 OVERLAP = 0.7
 WINDOW = 13  # at least the longest key of SEEDS_FROM, whose seeds then hit in every such window
-BITS = 19  # of the bit set's size
+LEAST_BITS, MOST_BITS = 16, 22  # of a bit set's size
+
+
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# White space with the punctuation around it; a run of punctuation is looked at from its first place only.
+_BETWEEN = r"(?<![!-/:-@\[-`{-~])[!-/:-@\[-`{-~]*+[\x20\x09-\x0D][\x20\x09-\x0D!-/:-@\[-`{-~]*+"
 
 
 def bare_words(text: Column) -> Column:
     """The words of a text, in lower case, bare of punctuation at both ends."""
-    marks = r"!-/:-@\[-`{-~"
-    clean = F.regexp_replace(folded(text), rf"(?<![^\x20\x09-\x0D{marks}])[{marks}]+|[{marks}]+(?![^\x20\x09-\x0D{marks}])", " ")
-    return F.filter(F.split(clean, GAP), lambda w: w != "")
+    whole = F.btrim(folded(text), F.lit(MARKS + " \t\n\x0b\x0c\r"))
+    return F.array_remove(F.split(whole, _BETWEEN), "")
 
 
-def _window_hashes(words: Column, seed: str) -> Column:
-    """An array of one hash for each window of the hashed words."""
-    places = [i for i, c in enumerate(seed) if c == "1"]
-    each = F.transform(
-        F.sequence(F.lit(0), F.size(words) - len(seed)),
-        lambda i: F.xxhash64(F.lit(SEEDS.index(seed)), *[F.get(words, i + p) for p in places]),
-    )
-    return F.when(F.size(words) >= len(seed), each).otherwise(F.array().cast("array<bigint>"))
+def _places(seed: str) -> list[int]:
+    return [i for i, c in enumerate(seed) if c == "1"]
+
+
+def _gap(seed: str) -> int:
+    """From the first word under a seed to the second."""
+    return _places(seed)[1]
+
+
+def _seed_hash(words: Column, seed: str):
+    """A function from a place to the hash of the words under the seed there."""
+    return lambda i: F.xxhash64(F.lit(SEEDS.index(seed)), *[F.get(words, i + p) for p in _places(seed)])
+
+
+def _pair_hash(words: Column, gap: int):
+    return lambda i: F.xxhash64(F.get(words, i), F.get(words, i + gap))
+
+
+def _starts(words: Column, length: int) -> Column:
+    """Where a run of so many words can begin."""
+    begins = F.sequence(F.lit(0), F.size(words) - length)
+    return F.when(F.size(words) >= length, begins).otherwise(F.array().cast("array<int>"))
+
+
+def _at_starts(starts: Column, hash_at) -> Column:
+    return F.transform(starts, lambda i: F.struct(i.alias("pos"), hash_at(i).alias("hash")))
 
 
 def _seeds_of(n: int) -> tuple[str, ...]:
@@ -67,27 +91,31 @@ def _seeds_of(n: int) -> tuple[str, ...]:
 
 def _whole_runs(words: Column, n: int) -> Column:
     """Place and hash of every run of so many words, as the shortest items are hashed."""
-    places = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
-    run = lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(-1), *[F.get(words, i + k) for k in range(n)]).alias("hash"))
-    return F.transform(places, run)
+    return _at_starts(_starts(words, n), lambda i: F.xxhash64(F.lit(-1), *[F.get(words, i + k) for k in range(n)]))
 
 
-def _bit_set(hashes: DataFrame) -> Column:
-    """A literal array of 64-bit words with the bits of all hashes set."""
-    slot = F.shiftrightunsigned("hash", 64 - BITS)
-    words = hashes.groupBy(F.shiftrightunsigned(slot, 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))).alias("bits")
-    )
-    bits = [0] * (1 << BITS - 6)
-    for row in words.collect():  # at most 8,192 rows, whatever the benchmark
-        bits[row["word"]] = row["bits"]
-    return F.split(F.lit(",".join(map(str, bits))), ",").cast("array<bigint>")
+class BitSet:
+    """A literal array of 64-bit words with the bits of all hashes set, sized by their number within bounds."""
+
+    def __init__(self, hashes: DataFrame):
+        n = hashes.count()
+        self.bits = min(MOST_BITS, max(LEAST_BITS, (16 * n).bit_length()))
+        rows = hashes.groupBy(self._word(F.col("hash")).alias("word")).agg(
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), self._bit(F.col("hash")))).alias("bits")
+        )
+        held = [0] * (1 << self.bits - 6)
+        for row in rows.collect():  # at most 65,536 rows, whatever the benchmark
+            held[row["word"]] = row["bits"]
+        self.words = F.split(F.lit(",".join(map(str, held))), ",").cast("array<bigint>")
 
+    def _word(self, h: Column) -> Column:
+        return F.shiftrightunsigned(h, 64 - self.bits + 6).cast("int")
 
-def _may_hold(bits: Column, h: Column) -> Column:
-    slot = F.shiftrightunsigned(h, 64 - BITS)
-    word = F.get(bits, F.shiftrightunsigned(slot, 6).cast("int"))
-    return F.call_function("shiftright", word, F.pmod(slot, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    def _bit(self, h: Column) -> Column:
+        return h.bitwiseAND(F.lit(63)).cast("int")
+
+    def may_hold(self, h: Column) -> Column:
+        return F.call_function("shiftright", F.get(self.words, self._word(h)), self._bit(h)).bitwiseAND(F.lit(1)) == 1
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP) -> DataFrame:
@@ -95,25 +123,41 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP
     items = benchmark.filter("item_id is not null").select("item_id", bare_words(F.col("text")).alias("item")).filter(F.size("item") > 0)
     items = stored(items.distinct(), "items")
     lengths = sorted(r[0] for r in items.select(F.least(F.size("item"), F.lit(max(SEEDS_FROM)))).distinct().collect())
-    hashed = lambda words: F.transform(words, lambda w: F.xxhash64(w))
-    laid_out = items.select("item_id", F.size("item").alias("n"), hashed(F.col("item")).alias("w"))
-    numbered = lambda h: F.transform(h, lambda x, i: F.struct(i.alias("pos"), x.alias("hash")))
+    laid_out = items.select("item_id", F.size("item").alias("n"), F.col("item").alias("w"))
     by_seed = {seed: [n for n in lengths if seed in _seeds_of(n)] for seed in SEEDS}
     by_seed = {seed: ns for seed, ns in by_seed.items() if ns}
     runs = [n for n in lengths if not _seeds_of(n)]
     length = F.least("n", F.lit(max(SEEDS_FROM)))
-    of_items = [F.when(length.isin(ns), numbered(_window_hashes(F.col("w"), seed))) for seed, ns in by_seed.items()]
-    of_items += [F.when(F.col("n") == n, _whole_runs(F.col("w"), n)) for n in runs]
+    w = F.col("w")
+    of_items = [
+        F.when(length.isin(ns), _at_starts(_starts(w, len(seed)), _seed_hash(w, seed))) for seed, ns in by_seed.items()
+    ]
+    of_items += [F.when(F.col("n") == n, _whole_runs(w, n)) for n in runs]
     none = F.array().cast("array<struct<pos:int,hash:bigint>>")
     item_hits = laid_out.select("item_id", F.explode(F.concat(*[F.coalesce(h, none) for h in of_items], none)).alias("h"))
     item_hits = stored(item_hits.select("item_id", F.col("h.pos").alias("at"), "h.hash"), "seeds")
-    bits = _bit_set(item_hits)
+    seen = BitSet(item_hits)
+    gaps = sorted({_gap(seed) for seed in by_seed})
+    pairs = {
+        gap: BitSet(laid_out.select(F.explode(F.transform(_starts(w, gap + 1), _pair_hash(w, gap))).alias("hash"))) for gap in gaps
+    }
 
     docs = docs.filter("doc_id is not null").select("doc_id", "text")
-    words = docs.select("doc_id", hashed(bare_words(F.col("text"))).alias("words"))
-    hashes = [numbered(_window_hashes(F.col("words"), seed)) for seed in by_seed]
-    hashes += [_whole_runs(F.col("words"), n) for n in runs]
-    passed = [F.filter(h, lambda x: _may_hold(bits, x["hash"])) for h in hashes]
+    words = docs.select("doc_id", bare_words(F.col("text")).alias("words"))
+    w = F.col("words")
+
+    def open_places(gap: int) -> Column:
+        pair = _pair_hash(w, gap)
+        return F.filter(_starts(w, gap + 1), lambda i: pairs[gap].may_hold(pair(i)))
+
+    def seeded(seed: str) -> Column:
+        starts = F.filter(F.col(f"from_{_gap(seed)}"), lambda i: i <= F.size(w) - len(seed))
+        return _at_starts(starts, _seed_hash(w, seed))
+
+    words = words.select("doc_id", "words", *[open_places(gap).alias(f"from_{gap}") for gap in gaps])
+    hashes = [seeded(seed) for seed in by_seed]
+    hashes += [_whole_runs(w, n) for n in runs]
+    passed = [F.filter(h, lambda x: seen.may_hold(x["hash"])) for h in hashes]
     hits = words.select("doc_id", F.explode(F.concat(*passed, none)).alias("h")).select("doc_id", "h.pos", "h.hash")
     near = hits.join(item_hits, "hash").select("doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct()
     near = stored(near, "hits")
