@@ -205,31 +205,40 @@ WITH RECURSIVE v AS (
 SELECT c.vec_id, (SELECT count(*) FROM edges e WHERE e.a = c.vec_id) AS n_links, component_id, c.vec_id = component_id AS kept FROM comp c
 """
 
-# Over items of at least a window's words, as all given ones are.
+# Over items of at least a window's words, as all given ones are. An item is laid wherever it shares two neighbouring words; a place
+# counts if one of the three patterns of equal words lies there.
 SQL["op6_decontamination"] = rf"""
 WITH d AS (
   SELECT doc_id, list_filter(list_transform(regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+'),
-    lambda x: regexp_replace(x, '^[!-/:-@\[-`{{-~]+|[!-/:-@\[-`{{-~]+$', '', 'g')), lambda x: x <> '') AS w FROM documents
+    lambda x: regexp_replace(x, '^[!-/:-@\[-`{{-~]+|[!-/:-@\[-`{{-~]+$', '', 'g')), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL
 ), i AS (
-  SELECT item_id, list_filter(list_transform(regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+'),
-    lambda x: regexp_replace(x, '^[!-/:-@\[-`{{-~]+|[!-/:-@\[-`{{-~]+$', '', 'g')), lambda x: x <> '') AS w FROM benchmark
-), seeds AS (
-  SELECT unnest([[0, 1, 3, 4, 6, 7], [0, 1, 2, 5, 6, 7]]) AS seed
-), ds AS (
-  SELECT doc_id, seed, pos, array_to_string(list_transform(seed, lambda p: w[pos + p]), ' ') AS k
-  FROM (SELECT doc_id, w, seed, unnest(range(1, len(w) - 6)) AS pos FROM d, seeds)
-), hs AS (
-  SELECT item_id, seed, pos, array_to_string(list_transform(seed, lambda p: w[pos + p]), ' ') AS k
-  FROM (SELECT item_id, w, seed, unnest(range(1, len(w) - 6)) AS pos FROM i, seeds)
+  SELECT DISTINCT item_id, list_filter(list_transform(regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+'),
+    lambda x: regexp_replace(x, '^[!-/:-@\[-`{{-~]+|[!-/:-@\[-`{{-~]+$', '', 'g')), lambda x: x <> '') AS w FROM benchmark WHERE item_id IS NOT NULL
+), dp AS (
+  SELECT doc_id, pos, w[pos] AS x, w[pos + 1] AS y FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS pos FROM d)
+), ip AS (
+  SELECT item_id, pos, w[pos] AS x, w[pos + 1] AS y FROM (SELECT item_id, w, unnest(range(1, len(w))) AS pos FROM i)
 ), laid AS (
-  SELECT DISTINCT doc_id, item_id, ds.pos - hs.pos AS shift FROM ds JOIN hs ON ds.k = hs.k AND ds.seed = hs.seed
-), counted AS (
-  SELECT doc_id, item_id, len(i.w) AS n_words, len(list_filter(range(1, len(i.w) + 1),
-    lambda k: shift + k BETWEEN 1 AND len(d.w) AND d.w[shift + k] = i.w[k])) AS matched
+  SELECT DISTINCT doc_id, item_id, dp.pos - ip.pos AS shift FROM dp JOIN ip ON dp.x = ip.x AND dp.y = ip.y
+), agreed AS (
+  SELECT doc_id, item_id, shift, len(i.w) AS n, list_transform(range(1, len(i.w) + 1),
+    lambda k: CASE WHEN shift + k BETWEEN 1 AND len(d.w) THEN d.w[shift + k] = i.w[k] ELSE false END) AS a
   FROM laid JOIN d USING (doc_id) JOIN i USING (item_id)
+), counted AS (
+  SELECT *, len(list_filter(a, lambda x: x)) AS matched FROM agreed WHERE len(list_filter(range(1, n), lambda k: a[k] AND a[k + 1]
+    AND (coalesce(a[k + 2] AND a[k + 4], false) OR coalesce(a[k + 3] AND a[k + 6], false) OR coalesce(a[k + 2] AND a[k + 5], false)))) > 0
+), best AS (
+  SELECT doc_id, item_id, n, max(matched) AS matched, bool_or(len(list_filter(range(1, n - 11),
+    lambda s: len(list_filter(a[s:s + 12], lambda x: x)) >= 10)) > 0) AS dense FROM counted GROUP BY ALL
+), places AS (
+  SELECT doc_id, item_id, n, around, unnest(list_filter(range(1, n + 1), lambda k: a[k])) AS place FROM (
+    SELECT *, unnest([floor(CAST(shift AS DOUBLE) / n) * 2, floor(CAST(shift AS DOUBLE) / n + 0.5) * 2 + 1]) AS around FROM counted)
+), joined AS (
+  SELECT DISTINCT doc_id, item_id FROM (SELECT doc_id, item_id, n, around, count(DISTINCT place) AS c FROM places GROUP BY ALL)
+  WHERE c >= ceil(CAST(0.7 AS DOUBLE) * n)
 )
-SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched, CAST(n_words AS INTEGER) AS n_words
-FROM counted GROUP BY doc_id, item_id, n_words HAVING max(matched) >= ceil(0.7 * n_words)
+SELECT doc_id, item_id, CAST(matched AS INTEGER) AS matched, CAST(n AS INTEGER) AS n_words FROM best
+WHERE matched >= ceil(CAST(0.7 AS DOUBLE) * n) OR dense OR (doc_id, item_id) IN (SELECT (doc_id, item_id) FROM joined)
 """
 
 # CRC-32 of a list of bytes by its table of 256 remainders.

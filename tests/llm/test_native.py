@@ -63,6 +63,36 @@ def test_contaminated_equals_brute_force(ready):
     assert len(got) > 20 and any(m < len(bare(dict(items)[i])) for (_, i), m in got.items())
 
 
+def test_check_sql_finds_parts_and_insertions(ready, tmp_path):
+    """The query's SQL goes by the rules of acceptance: planted parts, swaps and insertions are in both."""
+    import duckdb
+
+    from orewright.llm.queries import QUERIES, SQL
+
+    draw = random.Random(17)
+    word = lambda: "".join(draw.choice("abcdefghij") for _ in range(5))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([15, 20, 31, 44, 59])]
+    docs = [(k, " ".join(word() for _ in range(40))) for k in range(5)]
+    around = lambda w: " ".join([word(), *w, word() + "."])
+    for _, text in items:
+        w = text.split()
+        n = len(w)
+        swapped = list(w)
+        for at in range(0, n, 4):
+            swapped[at] = word()
+        for part in (w, w[:13], w[n // 3 :], w[: n // 2] + [word()] + w[n // 2 :], w[: n // 2 - 2] + w[n // 2 + 1 :], swapped, w[:9], w[5:] + w[:5]):
+            docs.append((len(docs), around(part)))
+        docs.append((len(docs), around([w[0], *[word() if k % 2 else x for k, x in enumerate(w)]])))
+    ready.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    ready.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = sorted(tuple(r) for r in QUERIES["op6_decontamination"](ready, str(tmp_path)).collect())
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    assert got == sorted(con.execute(SQL["op6_decontamination"]).fetchall())
+    assert {i for _, i, _, _ in got} == {0, 1, 2, 3, 4} and len(got) > 25
+
+
 def avoids(seeds, n, wrong):
     """Whether some item of n words with so many unequal ones is hit by none of the seeds."""
     span, masks = max(map(len, seeds)), [int(s, 2) for s in seeds]
