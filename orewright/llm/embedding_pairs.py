@@ -13,7 +13,7 @@ rows as vectors: the number of rows never grows with the square of a group of ne
 
 Defined cases: a vector that is null, empty, zero, or has null or non-finite components, or whose label is
 null, is linked with nothing and is its own component. Vectors of different lengths are never
-compared. Rows that share an id are one vector (the largest by label, then components); a null id drops the row. An
+compared. Components of any finite size count, the smallest and largest too. Rows that share an id are one vector (the largest by label, then components); a null id drops the row. An
 empty table gives an empty result. Other columns are ignored.
 """
 
@@ -34,6 +34,15 @@ STEPS = (4, 8, 16, 32)
 SLACK = 1e-9  # for rounding in the turned products; the decision itself is on the original components
 
 
+def _scaled(rows) -> np.ndarray:
+    """Vectors as a matrix, each times the power of two that brings its largest component to one half or more.
+
+    No cosine changes, and no square of a component over- or underflows in what counts.
+    """
+    x = np.stack([np.asarray(v, np.float64) for v in rows])
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def _axes(vectors: DataFrame) -> dict[int, np.ndarray]:
     """For each vector length the directions of falling variance: a square matrix with a column for each."""
 
@@ -41,7 +50,7 @@ def _axes(vectors: DataFrame) -> dict[int, np.ndarray]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for d, part in b.groupby("d")["embedding"]:
-                x = np.stack([np.asarray(v, np.float64) for v in part])
+                x = _scaled(part)
                 x /= np.linalg.norm(x, axis=1)[:, None]
                 sums[d] = sums.get(d, 0) + x.T @ x
         for d, s in sums.items():
@@ -59,7 +68,7 @@ def _axes(vectors: DataFrame) -> dict[int, np.ndarray]:
 
 def _compare(x: pd.DataFrame, y: pd.DataFrame, same: bool, axes: np.ndarray, least: float):
     """Index pairs (i of x, j of y) whose cosine reaches the threshold; i < j where both are the same tile."""
-    a, b = (np.stack([np.asarray(v, np.float64) for v in t["embedding"]]) for t in (x, y))
+    a, b = _scaled(x["embedding"]), _scaled(y["embedding"])
     na, nb = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
     ta, tb = (a / na[:, None]) @ axes, (b / nb[:, None]) @ axes
     d = axes.shape[0]
@@ -119,7 +128,7 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, tile: int = TILE
         for b in batches:
             cells = np.zeros((len(b), 2), np.int64)
             for at, d, v in zip(range(len(b)), b["d"], b["embedding"], strict=True):
-                v = np.asarray(v, np.float64)
+                v = _scaled([v])[0]
                 cells[at, : min(d, 2)] = np.floor((v / np.linalg.norm(v)) @ axes.value[d][:, :2] / width)
             yield b.assign(cx=cells[:, 0], cy=cells[:, 1])
 

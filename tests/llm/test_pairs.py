@@ -142,3 +142,17 @@ def test_vector_links_equal_brute_force(ready, tile):
 
 def test_vectors_of_nothing(ready):
     assert embedding_links(ready.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_vectors_of_extreme_components(ready):
+    """Cosines do not depend on length: squares that over- or underflow, and subnormal components."""
+    base = [3.0, 4.0, 12.0, 0.5]
+    lengths = [1.0, 1e-200, 1e200, 1e-320, 1.4e307, 7e-310]
+    rows = [(i, [x * s for x in base], "a") for i, s in enumerate(lengths)]
+    rows += [(10 + i, [-x * s for x in base], "a") for i, s in enumerate(lengths)]
+    rows += [(30, [1e200, 0.0], "b"), (31, [2e200, 0.0], "b"), (32, [0.0, 1e-300], "b"), (33, [5e-324, 0.0], "b"), (34, [1e300, 1e-300], "b")]
+    found = embedding_links(ready.createDataFrame(rows, "vec_id long, embedding array<double>, label string"))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in found.collect()}
+    assert {i: got[i] for i in range(6)} == dict.fromkeys(range(6), (5, 0))
+    assert {i: got[i] for i in range(10, 16)} == dict.fromkeys(range(10, 16), (5, 10))
+    assert got[30] == got[31] == got[33] == got[34] == (3, 30) and got[32] == (0, 32)
