@@ -128,7 +128,7 @@ class Grammar:
         return paid
 
     def features(self, text: str) -> list[float]:
-        """Per account: the largest amount of a clause and the logarithm of the sum; and distinct entries met."""
+        """Per account: the largest amount of a clause and the logarithm of the sum; nothing outside clauses counts."""
         tokens = _TOKEN.findall(text.lower())
         amount, known = self.amount, {}
         for t in set(tokens):
@@ -144,11 +144,10 @@ class Grammar:
                     for account, paid in self.clause(part, [known.get(t, 0.0) for t in part]).items():
                         most[account] = max(most[account], paid)
                         total[account] += paid
-        strong = sum(known.values())
-        return [1.0, *(most[a] / 5 for a in ACCOUNTS), *(math.log1p(total[a]) for a in ACCOUNTS), math.log1p(strong), math.log1p(len(known)), max(known.values(), default=0.0) / 5]
+        return [1.0, *(most[a] / 5 for a in ACCOUNTS), *(math.log1p(total[a]) for a in ACCOUNTS)]
 
 
-N_FEATURES = 1 + 2 * len(ACCOUNTS) + 3
+N_FEATURES = 1 + 2 * len(ACCOUNTS)
 
 
 def _entries(text: str) -> set[str]:
