@@ -22,6 +22,7 @@ reads back as no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -132,6 +133,19 @@ class Block:
 
 # --- encoding -----------------------------------------------------------------------------------------------
 
+# The normalizer and the splitting of a tokenizer whose texts can be cut at white space.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_SPLITTING = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
 # Texts of printable ASCII and Latin-1 letters can be cut into the tokenizer's own pieces here, so that a piece
 # that comes again is looked up. All others are encoded whole by the library.
 _SIMPLE = re.compile(r"[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
@@ -144,7 +158,8 @@ class ChunkEncoder:
 
     The normalizer and the splitting pattern of such a tokenizer never look across white space, so a
     text's ids are its chunks' ids in turn; ``tests/llm`` compares with whole texts. Chunks met before
-    are looked up, in a store that starts anew when it is full.
+    are looked up, in a store that starts anew when it is full. Under any other tokenizer, by what its file says,
+    whole texts are encoded by the library.
     """
 
     def __init__(self, path: str):
@@ -153,6 +168,9 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        with open(path, encoding="utf-8") as f:
+            said = json.load(f)
+        self.by_chunk = said.get("normalizer") == _NORMALIZER and said.get("pre_tokenizer") == _SPLITTING
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
         self._renew()
@@ -181,6 +199,8 @@ class ChunkEncoder:
 
     def texts(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts, each text followed by the end id, and the number of ids of each text."""
+        if not self.by_chunk:
+            return self._whole(column, end)
         if len(self.numbers) > _CACHE:
             self._renew()
         lists = pc.ascii_split_whitespace(pc.fill_null(column, "").cast(pa.large_string()))
@@ -203,6 +223,13 @@ class ChunkEncoder:
         out[inside] = taken
         return out, lengths
 
+    def _whole(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same by the library, text by text."""
+        found = [
+            np.array([*self.tokenizer.encode(t or "", add_special_tokens=False).ids, end], np.uint32) for t in column.to_pylist()
+        ]
+        return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(f) for f in found], np.int64)
+
 
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> ChunkEncoder:
