@@ -66,6 +66,16 @@ def test_files_hold_every_document_in_order(odd_docs, ready):
     assert got == want
 
 
+def test_other_tokenizers_encode_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Hello  World's\tend\n", None, "", "naïve ÉTÉ 12,345 <|endoftext|> x"]
+    encoder = ChunkEncoder(path)
+    ids, lengths = encoder.texts(pa.array(texts), 7)
+    want = [[*encoder.tokenizer.encode(t or "", add_special_tokens=False).ids, 7] for t in texts]
+    assert ids.tolist() == sum(want, []) and lengths.tolist() == [len(w) for w in want]
+    assert not encoder.by_chunk and ChunkEncoder(PATH).by_chunk
+
+
 def test_files_of_nothing(ready):
     path = work_folder(ready, "tokens")
     write_token_files(ready.createDataFrame([], "doc_id long, text string"), path, PATH)
@@ -89,6 +99,22 @@ def test_pipeline_stages_take_effect(odd_docs, ready, tmp_path, sample):
     assert sorted(kept, key=repr) == sorted([*first, None], key=repr)
 
 
+def test_pipeline_takes_one_row_an_id(ready, tmp_path, sample):
+    """Rows without an id are refused at the door, with those beside the longest text of an id; both are counted."""
+    for name in ("labels", "benchmark"):
+        ready.read.parquet(f"{sample}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    item = ready.read.parquet(f"{sample}/benchmark.parquet").first()["text"]
+    rows = [(1, "short"), (1, "a longer text"), (1, None), (2, "b"), (2, "a"), (2, "b"), (None, item), (None, None), (3, None)]
+    docs = ready.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, n int")
+    assert sorted(map(tuple, corpus_pipeline.admitted(docs).collect()), key=repr) == sorted([(1, "a longer text", 5), (2, "b", 5), (3, None, 5)], key=repr)
+    assert {r["reason"]: r["rows"] for r in corpus_pipeline.refused(docs).collect()} == {"no id": 2, "id repeated": 4}
+    assert {r["rows"] for r in corpus_pipeline.refused(docs.limit(0)).collect()} == {0}
+    kept = corpus_pipeline.STAGES[0][1](ready, docs, str(tmp_path))
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} <= {1, 2, 3}
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id for r in corpus_pipeline.run(ready, str(tmp_path)).collect()} <= {1, 2, 3}
+
+
 def test_pipeline_runs_on_the_sample(ready, sample):
     rows = corpus_pipeline.run(ready, sample).collect()
     in_order = sorted(rows, key=lambda r: r.start)
