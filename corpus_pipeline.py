@@ -6,7 +6,7 @@ Stages hand on the columns of documents; the last returns what its files hold.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orewright.llm.base import id_filter, prepared, stored, table
@@ -21,25 +21,52 @@ from orewright.session import work_folder
 TOKENIZER = "word_bpe_49k.json"
 
 
+def one_row_an_id(docs: DataFrame) -> DataFrame:
+    """Of rows that share an id the one with the longest text, of those the last by text; rows without an id stay as they are.
+
+    Only ids that occur again are looked at: the texts of all others stay where they are.
+    """
+    again = stored(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "again")
+    last = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), F.col("text").desc_nulls_last(), F.xxhash64(*docs.columns))
+    rest = docs.join(again, "doc_id", "left_semi").withColumn("__place", F.row_number().over(last)).filter("__place = 1")
+    return docs.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(rest.select(docs.columns))
+
+
+def admitted(docs: DataFrame) -> DataFrame:
+    """The documents that the pipeline takes: an id names one document, and a row without an id none.
+
+    Its decisions, files and links all go by id, so a row without one could be neither checked nor found again.
+    """
+    return one_row_an_id(docs.filter("doc_id is not null"))
+
+
+def refused(docs: DataFrame) -> DataFrame:
+    """How many rows `admitted` leaves out, by reason: ``no id`` and ``id repeated``."""
+    ids = docs.groupBy("doc_id").count()
+    none = F.sum(F.when(F.col("doc_id").isNull(), F.col("count")).otherwise(0))
+    more = F.sum(F.when(F.col("doc_id").isNotNull(), F.col("count") - 1).otherwise(0))
+    counts = ids.agg(F.coalesce(none, F.lit(0)).alias("no id"), F.coalesce(more, F.lit(0)).alias("id repeated"))
+    return counts.unpivot([], ["no id", "id repeated"], "reason", "rows")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Admitted documents that the quality classifier does not reject."""
+    docs = admitted(docs)
     model = fit_quality(training_rows(docs, table(prepared(spark), sf_dir, "labels"), "quality"))
     return docs.filter(quality_score(model)(F.col("text").cast("string")) >= model.cut)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near duplicates. Rows without an id name no document and stay."""
-    prepared(spark)
-    groups = ngram_jaccard_join(docs)
-    gone = groups.filter("doc_id <> component_id").select("doc_id")
-    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    gone = stored(gone.withColumn("gone", F.lit(True)).unionByName(again.withColumn("gone", F.lit(False))), "gone")
+    docs = one_row_an_id(docs)
+    groups = ngram_jaccard_join(docs.filter("doc_id is not null"))
+    gone = stored(groups.filter("doc_id <> component_id").select("doc_id"), "gone")
     # Rows that the filter clears go through as they are; only the others meet their ids.
     _, suspect = id_filter(gone, "doc_id")
-    marked = docs.withColumn("__suspect", F.coalesce(suspect(F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))) & F.col("doc_id").isNotNull(), F.lit(False)))
-    clear = marked.filter("not __suspect").drop("__suspect")
-    rest = marked.filter("__suspect").drop("__suspect").join(gone.filter("gone").select("doc_id"), "doc_id", "left_anti")
-    return clear.unionByName(rest.dropDuplicates(["doc_id"]))
+    named = F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))
+    marked = docs.withColumn("__suspect", F.coalesce(suspect(named) & F.col("doc_id").isNotNull(), F.lit(False)))
+    rest = marked.filter("__suspect").join(gone, "doc_id", "left_anti")
+    return marked.filter("not __suspect").select(docs.columns).unionByName(rest.select(docs.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
