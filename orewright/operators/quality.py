@@ -127,13 +127,36 @@ def null_counts(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
     return _counted(df, {name: F.col(column).isNull() for name, column in checks.items()})
 
 
-def orphan_counts(child: DataFrame, checks: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
-    """``relationships`` for several keys of one table, name -> (column, parent).
+def key_counts(df: DataFrame, column: str, names: Mapping[str, str], also: Mapping[str, Column] | None = None) -> DataFrame:
+    """``unique`` and ``not_null`` of a key in one pass: rows shrink to one for each key, which both are counted from.
+
+    ``names`` has the name of the check for ``unique`` and, where asked for, ``not_null``; ``also`` has further
+    tests of rows, which are added up on the way.
+    """
+    also = dict(also or {})
+    per_key = df.groupBy(F.col(column).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(test).alias(f"_{i}") for i, test in enumerate(also.values())]
+    )
+    known = F.col("_key").isNotNull()
+    found = {names["unique"]: F.count_if(known & (F.col("_n") > 1))}
+    if "not_null" in names:
+        found[names["not_null"]] = F.sum(F.when(known, 0).otherwise(F.col("_n")))
+    found |= {name: F.sum(f"_{i}") for i, name in enumerate(also)}
+    counts = per_key.agg(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.coalesce(n, F.lit(0)).cast("long").alias("violations")) for name, n in found.items()
+    ]).alias("_c"))
+    return counts.select(F.inline("_c"))
+
+
+def orphan_counts(
+    child: DataFrame, checks: Mapping[str, tuple[str, DataFrame]], also: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """``relationships`` for several keys of one table, name -> (column, parent), and further tests of its rows, in one pass.
 
     The parent has the column too. Each parent is reduced to its distinct keys, so the left
     joins keep the child's rows as they are.
     """
-    held, tests = child, {}
+    held, tests = child, dict(also or {})
     for i, (name, (column, parent)) in enumerate(checks.items()):
         keys = parent.select(F.col(column).alias(f"_k{i}")).distinct()
         held = held.join(keys, F.col(column) == F.col(f"_k{i}"), "left")
@@ -186,26 +209,26 @@ LINKS = {
 
 
 def ledger_check_counts(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
-    """Violations of the 32 declared checks; each table is read once per kind of check."""
+    """Violations of the 32 declared checks: a table is read once for each key that must be unique, or once in all.
+
+    What else is asked of its rows is counted in the same pass.
+    """
     parts = []
-    for layer, tables in REQUIRED.items():
-        for table, columns in tables.items():
-            names = {f"not_null {layer}.{table}.{c}": c for c in columns}
-            parts.append(null_counts(layers[layer][table], names))
-    repeated = {
-        f"unique {layer}.{table}.{c}": unique(layers[layer][table], [c])
-        for layer, tables in DISTINCT.items()
-        for table, columns in tables.items()
-        for c in columns
-    }
-    parts.append(check_summary(repeated))
-    for layer, tables in LINKS.items():
-        for table, parents in tables.items():
-            names = {
-                f"relationships {layer}.{table}.{c}": (c, layers[layer][parent])
-                for c, parent in parents.items()
-            }
-            parts.append(orphan_counts(layers[layer][table], names))
+    for layer, tables in layers.items():
+        for table, df in tables.items():
+            required, unique_ones = (kind.get(layer, {}).get(table, []) for kind in (REQUIRED, DISTINCT))
+            rest = {f"not_null {layer}.{table}.{c}": F.col(c).isNull() for c in required if c not in unique_ones}
+            if parents := LINKS.get(layer, {}).get(table):
+                names = {f"relationships {layer}.{table}.{c}": (c, layers[layer][parent]) for c, parent in parents.items()}
+                parts.append(orphan_counts(df, names, rest))
+                rest = {}
+            for i, c in enumerate(unique_ones):
+                names = {"unique": f"unique {layer}.{table}.{c}"}
+                if c in required:
+                    names["not_null"] = f"not_null {layer}.{table}.{c}"
+                parts.append(key_counts(df, c, names, rest if i == 0 else None))
+            if rest and not unique_ones:
+                parts.append(_counted(df, rest))
     strange = accepted_values(layers["stg"]["accounts"], "account_type", ACCOUNT_TYPES)
     parts.append(check_summary({"accepted_values stg.accounts.account_type": strange}))
     return reduce(DataFrame.unionByName, parts)

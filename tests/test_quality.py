@@ -3,6 +3,8 @@ from datetime import datetime, timedelta
 
 from conftest import values
 
+from pyspark.sql import functions as F
+
 from orewright.operators import quality
 
 
@@ -58,3 +60,12 @@ def test_32_checks_are_declared():
     n += sum(len(c) for t in quality.DISTINCT.values() for c in t.values())
     n += sum(len(c) for t in quality.LINKS.values() for c in t.values())
     assert n + 1 == 32
+
+
+def test_a_key_is_checked_in_one_pass(frame):
+    df = frame([(1, "a"), (1, None), (2, "b"), (None, None), (None, "c"), (3, "d"), (3, "d")], "k int, v string")
+    got = quality.key_counts(df, "k", {"unique": "u", "not_null": "n"}, {"v": F.col("v").isNull()})
+    assert values(got) == [("n", 2), ("u", 2), ("v", 2)]
+    assert values(quality.key_counts(df.limit(0), "k", {"unique": "u"}, {"v": F.col("v").isNull()})) == [("u", 0), ("v", 0)]
+    parents = frame([(1,), (9,)], "k int")
+    assert values(quality.orphan_counts(df, {"o": ("k", parents)}, {"v": F.col("v").isNull()})) == [("o", 3), ("v", 2)]
