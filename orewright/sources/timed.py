@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,7 @@ FACTS = "clock string, newest long, ahead long, unclocked long"
 
 
 def write_timed(rows: DataFrame, path: str, clock: str, clocks: Mapping[str, Column] | None = None, write: str = "0") -> None:
-    """Store rows in folders by the UTC day of their clock, and the facts of all clocks; in one pass over the rows.
+    """Store rows in folders by the UTC day of their clock, then the facts of all clocks, read from what was written.
 
     ``clocks`` names further clocks as expressions over the rows. Ranges of the clock are tasks, so a day with most
     of the rows is many files, and their rows lie in its order.
@@ -38,14 +38,12 @@ def write_timed(rows: DataFrame, path: str, clock: str, clocks: Mapping[str, Col
         ahead = F.unix_micros(at) - F.unix_micros(F.col(clock))
         unclocked = F.count_if(at.isNotNull() & F.col(clock).isNull())
         told |= {f"newest_{k}": F.max(F.unix_micros(at)), f"ahead_{k}": F.max(ahead), f"unclocked_{k}": unclocked}
-    seen = Observation()
-    placed = rows.observe(seen, *[what.alias(name) for name, what in told.items()])
-    placed = placed.withColumn(DAY, F.to_date(clock)).repartitionByRange(F.col(clock)).sortWithinPartitions(clock)
-    placed.write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/rows/write={write}")
-    facts = [
-        (name, *(seen.get[f"{what}_{k}"] for what in ("newest", "ahead", "unclocked"))) for k, name in enumerate(all_clocks)
-    ]
-    rows.sparkSession.createDataFrame(facts, FACTS).coalesce(1).write.mode("overwrite").parquet(f"{path}/facts/write={write}")
+    spark, to = rows.sparkSession, f"{path}/rows/write={write}"
+    placed = rows.withColumn(DAY, F.to_date(clock)).repartitionByRange(F.col(clock)).sortWithinPartitions(clock)
+    placed.write.mode("overwrite").partitionBy(DAY).parquet(to)
+    seen = spark.read.schema(rows.schema).parquet(to).agg(*[what.alias(name) for name, what in told.items()]).first()
+    facts = [(name, *(seen[f"{what}_{k}"] for what in ("newest", "ahead", "unclocked"))) for k, name in enumerate(all_clocks)]
+    spark.createDataFrame(facts, FACTS).coalesce(1).write.mode("overwrite").parquet(f"{path}/facts/write={write}")
 
 
 @dataclass(frozen=True)

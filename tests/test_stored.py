@@ -89,6 +89,9 @@ def test_broken_writes_are_not_seen_and_repeated_ones_count_once(spark, timed, t
     reopened = open_timed(spark, table.path, table.schema, "at")
     assert sorted(r.id for r in reopened.rows().collect()) == list(range(240))
     assert open_timed(spark, str(tmp_path / "none"), table.schema, "at").since("at", "1 hour").count() == 0
+    write_timed(spark.createDataFrame([], EVENTS), str(tmp_path / "empty"), "at", {"arrived": arrived()})
+    empty = open_timed(spark, str(tmp_path / "empty"), table.schema, "at")
+    assert empty.since("arrived", "1 hour").count() == 0 and empty.expire("at", "1 day") == 0
 
 
 def test_expired_days_go_and_rows_without_the_clock_stay(spark, tmp_path):
