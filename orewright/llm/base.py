@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -19,7 +22,7 @@ from orewright.session import tune, work_folder
 # Words are runs of anything but blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
-BATCH_ROWS = 1000
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -35,10 +38,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 def prepared(spark: SparkSession) -> SparkSession:
     """A session with the runtime settings whose executors can import this package: Spark sends it to them once.
 
-    Batches to Python hold fewer rows than by default, as rows here carry whole texts, on joins two of them.
+    Batches to Python are bounded in rows and in bytes, as rows here carry whole texts, on joins two of them: both sides
+    hold some batches in memory outside the heap, which is not given back.
     """
     context = tune(spark).sparkContext
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if not any(f.endswith("/orewright.zip") for f in context.listFiles):
         package = Path(__file__).resolve().parents[1]
         archive = Path(tempfile.mkdtemp()) / "orewright.zip"
@@ -101,6 +106,26 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(low.toDF("v", "m")).distinct()
 
 
+# --- what Python workers keep ------------------------------------------------------------------------------
+
+_kept: dict[str, object] = {}
+
+
+def kept_by_worker(owner: str, make: Callable[[], object] | None = None) -> object:
+    """What an operator keeps in a Python worker from one task to the next; called where its tasks begin.
+
+    Workers outlive stages, so whatever another operator kept there goes first, and its memory back to the system.
+    """
+    if any(o != owner for o in _kept):
+        _kept.clear()
+        gc.collect()
+        with contextlib.suppress(AttributeError, OSError):  # only some C libraries have it
+            ctypes.CDLL(None).malloc_trim(0)
+    if owner not in _kept:
+        _kept[owner] = make() if make else None
+    return _kept[owner]
+
+
 # --- a filter of fixed size over ids: no id is lost, some others pass -------------------------------------
 
 FILTER_BITS = 1 << 24

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orewright.llm.base import components, id_filter, stored
+from orewright.llm.base import components, id_filter, kept_by_worker, stored
 from orewright.llm.words import mixed, shingle_sets, slices
 
 ORDERS = 3
@@ -59,6 +59,7 @@ def token_sketch(docs: DataFrame) -> np.ndarray:
     """
 
     def count(batches):
+        kept_by_worker("n-grams")
         row = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             for part in slices(batch, "text"):
@@ -107,6 +108,7 @@ def _digests(docs: DataFrame, sketch) -> DataFrame:
     seeds = _seeds(ORDERS + HEADS)
 
     def digest(batches):
+        kept_by_worker("n-grams")
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, n, f1, f2, heads, prefixes = part.column(0), [], [], [], [], []
@@ -142,6 +144,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame, sketch) -> Dat
         return int(np.add.reduce(mixed(s ^ seeds[0])).view(np.int64))
 
     def compare(batches):
+        kept_by_worker("n-grams")
         last = None
         for batch in batches:
             for part in slices(batch, "text_b"):
