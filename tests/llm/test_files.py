@@ -105,8 +105,8 @@ def test_pipeline_takes_one_row_an_id(ready, tmp_path, sample):
         ready.read.parquet(f"{sample}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
     item = ready.read.parquet(f"{sample}/benchmark.parquet").first()["text"]
     rows = [(1, "short"), (1, "a longer text"), (1, None), (2, "b"), (2, "a"), (2, "b"), (None, item), (None, None), (3, None)]
-    docs = ready.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, n int")
-    assert sorted(map(tuple, corpus_pipeline.admitted(docs).collect()), key=repr) == sorted([(1, "a longer text", 5), (2, "b", 5), (3, None, 5)], key=repr)
+    docs = ready.createDataFrame([(i, t, "s", 5) for i, t in rows], "doc_id long, text string, source string, n int")
+    assert sorted(map(tuple, corpus_pipeline.admitted(docs).collect()), key=repr) == sorted([(1, "a longer text", "s", 5), (2, "b", "s", 5), (3, None, "s", 5)], key=repr)
     assert {r["reason"]: r["rows"] for r in corpus_pipeline.refused(docs).collect()} == {"no id": 2, "id repeated": 4}
     assert {r["rows"] for r in corpus_pipeline.refused(docs.limit(0)).collect()} == {0}
     kept = corpus_pipeline.STAGES[0][1](ready, docs, str(tmp_path))
