@@ -27,7 +27,6 @@ import os
 import re
 import zlib
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from orewright.llm.base import kept_by_worker
 from orewright.llm.words import slices
 
 SAMPLE = 256
@@ -150,7 +150,7 @@ _SPLITTING = {
 # that comes again is looked up. All others are encoded whole by the library.
 _SIMPLE = re.compile(r"[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^\sa-z0-9\u00DF-\u00F6\u00F8-\u00FF]+")
-_CACHE = 500_000
+_CACHE = 250_000  # chunks, and pieces, that an encoder keeps: about 100 MB of a worker's memory
 
 
 class ChunkEncoder:
@@ -158,7 +158,7 @@ class ChunkEncoder:
 
     The normalizer and the splitting pattern of such a tokenizer never look across white space, so a
     text's ids are its chunks' ids in turn; ``tests/llm`` compares with whole texts. Chunks met before
-    are looked up, in a store that starts anew when it is full. Under any other tokenizer, by what its file says,
+    are looked up, in stores of bounded size that start anew when they are full. Under any other tokenizer, by what its file says,
     whole texts are encoded by the library.
     """
 
@@ -173,10 +173,13 @@ class ChunkEncoder:
         self.by_chunk = said.get("normalizer") == _NORMALIZER and said.get("pre_tokenizer") == _SPLITTING
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.pieces: dict[str, list[int]] = {}
         self._renew()
 
     def _renew(self) -> None:
-        self.pieces: dict[str, list[int]] = {}
+        """Begin a new store of chunks; pieces, which cost most to encode, stay until they are too many themselves."""
+        if len(self.pieces) > _CACHE:
+            self.pieces = {}
         self.numbers: dict[str, int] = {}
         self.ids, self.ends = array("I"), array("q", [0])
 
@@ -231,10 +234,9 @@ class ChunkEncoder:
         return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(f) for f in found], np.int64)
 
 
-@lru_cache(maxsize=1)
 def _encoder(path: str) -> ChunkEncoder:
-    """One encoder for all tasks of a worker process."""
-    return ChunkEncoder(path)
+    """One encoder for all tasks of a worker process, until another operator's tasks begin there."""
+    return kept_by_worker(f"tokens of {path}", lambda: ChunkEncoder(path))
 
 
 def token_blocks(docs: DataFrame, tokenizer: str, end_id: int = 1, block_ids: int = BLOCK_IDS) -> DataFrame:
