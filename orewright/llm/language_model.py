@@ -9,7 +9,9 @@ It is exact, and the texts' probabilities sum to one over unseen words taken tog
 Counts of words are summed over all training texts by Spark and never leave it: chunks of documents ask for
 the counts of their own words by a join, and only counts that differ from a chunk's own go back. Expected
 counts of transitions and emissions are summed per task and then by Spark; the driver holds tables of states by
-classes, the same size for any corpus. A first guess comes from ``START_TEXTS`` training texts.
+classes, the same size for any corpus. A first guess comes from how often two classes stand ``GAPS`` places apart
+in all training texts, at most ``CLASSES`` squared counts: states and moves are fitted to these pairs from several
+random starts, and the one that explains them best goes on to whole sequences.
 
 Long texts: training cuts sequences into runs of ``RUN`` tokens; scoring never does, it multiplies the transfer
 matrices of a long text's runs.
@@ -39,7 +41,8 @@ END_CLASS = CLASSES - 1
 END_WORD = np.uint64(0x0E4D)
 ROUNDS = 2
 RUN = 1024
-START_TEXTS = 400
+GAPS = (1, 4, 16)
+STARTS = 8
 CHUNK_CHARS = 12_000_000
 
 
@@ -167,19 +170,71 @@ def _runs(begin: np.ndarray) -> np.ndarray:
     return np.concatenate([*cuts, begin[-1:]])
 
 
-def _start_chain(texts: list[str], top: np.ndarray) -> Chain:
-    """A chain from a few texts: states that stay, apart by chance at first, brought further apart by Baum-Welch."""
-    draw = np.random.default_rng(3)
-    h, t, begin = _tokens(pa.array(texts, pa.large_string()))
-    seen, begin = _classes(h, t, top), _runs(begin)
-    base = np.bincount(seen, minlength=CLASSES) + 0.1
-    emit = base * draw.gamma(2.0, 0.5, (STATES, CLASSES))
-    move = np.full((STATES, STATES), 0.05 / max(1, STATES - 1)) + 0.95 * np.eye(STATES)
-    chain = Chain.from_counts(np.ones(STATES), move * 1000, emit)
-    for _ in range(25 if len(seen) else 0):
-        starts, moves, emits, _ = chain.counts(seen, begin)
-        chain = Chain.from_counts(starts, moves, emits)
-    return chain
+def class_pairs(training: DataFrame, top: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often a class stands some of ``GAPS`` places before a class in a text, and how often one begins a text, over all rows (text)."""
+    cells = CLASSES * CLASSES
+    shared = training.sparkSession.sparkContext.broadcast(top)
+
+    def count(batches):
+        total = np.zeros(cells + CLASSES, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text", 8 << 20):
+                h, t, begin = _tokens(part.column(0))
+                seen, text = _classes(h, t, shared.value), np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+                for gap in GAPS:
+                    at = np.flatnonzero(text[gap:] == text[:-gap])
+                    total[:cells] += np.bincount(seen[at] * CLASSES + seen[at + gap], minlength=cells)
+                total[cells:] += np.bincount(seen[begin[:-1]], minlength=CLASSES)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["cell", "n"])
+
+    counted = training.select("text").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(cells + CLASSES)
+    out[counted["cell"].to_numpy()] = counted["n"].to_numpy()
+    return out[:cells].reshape(CLASSES, CLASSES), out[cells:]
+
+
+class _Pairs:
+    """States fitted to counts of pairs by EM: the weight of every two states and what they emit."""
+
+    def __init__(self, pairs: np.ndarray, seed: int):
+        draw = np.random.default_rng(seed)
+        self.pairs, base = pairs, pairs.sum(0) + 0.1
+        self.both = (np.full((STATES, STATES), 0.05 / max(1, STATES - 1)) + 0.95 * np.eye(STATES)) / STATES
+        self.emits = base * draw.gamma(2.0, 0.5, (STATES, CLASSES))
+        self.moves = self.both * 1000
+
+    def _emit(self) -> np.ndarray:
+        return (self.emits + 0.01) / (self.emits + 0.01).sum(1, keepdims=True)
+
+    def fit(self, steps: int) -> _Pairs:
+        for _ in range(steps if self.pairs.any() else 0):
+            emit = self._emit()
+            after, before = self.both @ emit, self.both.T @ emit
+            ratio = self.pairs / (emit.T @ after)
+            self.moves = self.both * (emit @ ratio @ emit.T)
+            self.emits = emit * (after @ ratio.T + before @ ratio)
+            self.both = (self.moves + 0.1) / (self.moves + 0.1).sum()
+        return self
+
+    def log_likelihood(self) -> float:
+        emit = self._emit()
+        return float((self.pairs * np.log(emit.T @ self.both @ emit)).sum())
+
+    def chain(self, first: np.ndarray) -> Chain:
+        starts = self.both.sum(1)[:, None] * self._emit()
+        return Chain.from_counts((starts / starts.sum(0) * first).sum(1), self.moves, self.emits)
+
+
+def _start_chain(pairs: np.ndarray, first: np.ndarray) -> Chain:
+    """States that stay, apart by chance at first, brought further apart by EM on the pairs; the best of several."""
+    best, most = None, -math.inf
+    for seed in range(STARTS):
+        found = _Pairs(pairs, seed).fit(30)
+        log = found.log_likelihood()
+        if best is None or log > most:
+            best, most = found, log
+    return best.fit(70).chain(first)
 
 
 class LanguageModel:
@@ -232,10 +287,7 @@ def fit_language_model(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS)
         class_tokens[at], class_words[at] = n, 1
 
     training = docs.filter("training")
-    # About so many texts by a hash of their own, so that no task sends more than its share.
-    share = START_TEXTS / max(1, training.count())
-    drawn = training.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 31)) < F.lit(share * (1 << 31)))
-    chain = _start_chain(sorted(r[0] for r in drawn.select("text").limit(2 * START_TEXTS).collect()), top_words)
+    chain = _start_chain(*class_pairs(training, top_words))
     for _ in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast((chain, top_words))
 

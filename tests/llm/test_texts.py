@@ -147,6 +147,27 @@ def test_language_scores_equal_counts_and_beat_them(ready, monkeypatch):
     assert all(r.score < 0 for r in rows)
 
 
+def test_the_first_guess_counts_all_training_texts(ready):
+    docs, _ = corpus(ready)
+    many = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).crossJoin(ready.range(3).select(F.col("id").alias("copy")))
+    many = many.unionByName(ready.createDataFrame([(7, "only here", 0)], "doc_id long, text string, copy long")).withColumn("training", F.lit(True))
+    model = lm.fit_language_model(many, lm.word_counts(many), rounds=0)
+    pairs, first = lm.class_pairs(many, model.top)
+    want, want_first = np.zeros_like(pairs), np.zeros_like(first)
+    for r in many.collect():
+        h, t, _ = lm._tokens(pa.array([r.text], pa.large_string()))
+        seen = lm._classes(h, t, model.top)
+        for gap in lm.GAPS:
+            np.add.at(want, (seen[:-gap], seen[gap:]), 1)
+        want_first[seen[0]] += 1
+    assert (pairs == want).all() and (first == want_first).all()
+    # Every class that occurs behind or before another weighs more than what smoothing gives one that does not.
+    occurs = (want.sum(0) + want.sum(1)) > 0
+    assert model.chain.emit.max(1)[occurs].min() > 5 * model.chain.emit.max(1)[~occurs].max()
+    logs = [lm._Pairs(pairs, 0).fit(steps).log_likelihood() for steps in (0, 5, 20)]
+    assert logs[0] < logs[1] < logs[2]
+
+
 def test_language_scores_of_nothing(ready):
     assert language_scores(ready.createDataFrame([], "doc_id long, text string")).count() == 0
     assert language_scores(ready.createDataFrame([(5, None)], "doc_id long, text string")).count() == 1
