@@ -56,6 +56,17 @@ def roll_up(cube: Cube, fact: DataFrame, dims: Sequence[str], measures: Sequence
     return fact.groupBy(*dims).agg(*[cube.measures[m].over().alias(m) for m in measures])
 
 
+def coarser(cube: Cube, rollup: Rollup, dims: Sequence[str]) -> DataFrame:
+    """A rollup's table summed to fewer dimensions.
+
+    A measure that cannot be summed over one that goes is summed from its column ``…_once``, in which the writer
+    counted a key in one row of that dimension only.
+    """
+    gone = {*rollup.dims} - {*dims}
+    sums = [F.sum(f"{m}_once" if cube.measures[m].fixed & gone else m).alias(m) for m in rollup.measures]
+    return rollup.table.groupBy(*dims).agg(*sums)
+
+
 def _answers(cube: Cube, rollup: Rollup, measures: Sequence[str], by: Sequence[str], tested: Sequence[str]) -> bool:
     if not {*by, *tested} <= {*rollup.dims} or not {*measures} <= {*rollup.measures}:
         return False

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orewright.functions.numbers import safe_divide
@@ -165,28 +165,44 @@ SALES = rollups.Cube(
     metrics={"aov": (("recognized_revenue", "recognized_orders"), safe_divide)},
 )
 DAY = ("order_date", "month", "channel")
-# Each with the rollup it is summed from, which holds what it needs; none: the fact.
+# Each with the rollup it is summed from; none: the fact, which is read once for all of them.
 ROLLUPS = {
-    "day-category": ((*DAY, "category"), None), "day": (DAY, None), "channel": (("month", "channel"), "day"), "category": (("category",), None),
+    "day-category": ((*DAY, "category"), None), "day": (DAY, "day-category"), "channel": (("month", "channel"), "day"),
+    "category": (("category",), "day-category"),
 }
 
 
 @shared
 def sales_lines(g: Given) -> DataFrame:
-    return metric_plans.lines(g).withColumn("month", F.month("order_date"))
+    """Lines with what they have from products and orders. Orders come last, so an order's rows lie together afterwards."""
+    used = ["order_id", "category", "quantity", "gross_sales", "net_sales", "est_profit"]
+    lines = metric.profit_lines(retail_plans.items(g), retail_plans.products(g)).select(*used)
+    header = retail.order_header(retail_plans.orders(g)).drop("customer_id", "order_datetime")
+    return lines.join(header, "order_id").withColumn("month", F.month("order_date"))
+
+
+def finest_rollup(g: Given) -> DataFrame:
+    """Sums by day and category. Orders are counted in each of their categories and, in ``…_once``, in the first only.
+
+    Lines shrink to one row for an order and category where the join left them; counts are plain ones then, where
+    distinct ones would repeat every line for each of them on its way through the exchange.
+    """
+    dims, _ = ROLLUPS["day-category"]
+    rows = metric.order_grain(sales_lines(g), dims)
+    rows = rows.withColumn("_first", F.row_number().over(Window.partitionBy("order_id").orderBy("category")) == 1)
+    made = {**metric.METRICS, **metric.ROW_COUNTS}
+    once = [metric.FIRST_COUNTS[m]().alias(f"{m}_once") for m in SALES.measures if SALES.measures[m].fixed]
+    return rows.groupBy(*dims).agg(*[made[m]().alias(m) for m in SALES.measures], *once)
 
 
 @shared
 def sales_rollups(g: Given) -> list[rollups.Rollup]:
-    """The stored rollups, written once: the finer ones from the fact, the coarser from a finer one where sums allow it."""
+    """The stored rollups, written once: the finest from the fact, every other one from a finer one."""
     found: dict[str, rollups.Rollup] = {}
     measures = tuple(SALES.measures)
     for name, (dims, source) in ROLLUPS.items():
         def write(path: str, dims=dims, source=source) -> None:
-            if source is None:
-                table = rollups.roll_up(SALES, sales_lines(g), dims, measures)
-            else:
-                table = found[source].table.groupBy(*dims).agg(*[F.sum(m).alias(m) for m in measures])
+            table = finest_rollup(g) if source is None else rollups.coarser(SALES, found[source], dims)
             table.write.parquet(path)
 
         table = g.spark.read.parquet(g.kept(f"rollup-{name}", ["lineitem", "orders", "part"], write))

@@ -328,6 +328,18 @@ def test_reports_read_rollups_only(spark, sample):
     assert values(fallback) == values(want)
 
 
+def test_rollups_read_the_fact_once_and_repeat_no_line(spark, sample):
+    g = Given(spark, sample)
+    table = stored.finest_rollup(g)
+    plan = plan_of(table)
+    assert "Expand" not in plan and plan.count("lineitem.parquet") == 1
+    finest = rollups.Rollup(table, (*stored.DAY, "category"), tuple(stored.SALES.measures), 0)
+    for dims in (["category"], stored.DAY, ["month", "channel"], []):
+        want = rollups.roll_up(stored.SALES, stored.sales_lines(g), dims, finest.measures)
+        assert values(rollups.coarser(stored.SALES, finest, dims)) == values(want)
+    assert [n for n, (_, source) in stored.ROLLUPS.items() if source is None] == ["day-category"]
+
+
 def test_medians_from_counts_and_sketches(spark):
     draw = random.Random(3)
     rows = [(draw.choice("ab"), date(2024, 1, 1) + timedelta(days=draw.randint(0, 20)), draw.choice([None, *range(30)])) for _ in range(3000)]
