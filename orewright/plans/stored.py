@@ -19,19 +19,30 @@ from orewright.plans.checks import COUNTED, RECOGNIZED
 from orewright.plans.ledger import AMOUNTS
 from orewright.plans.registry import REGISTRY, query
 from orewright.session import work_folder
-from orewright.sources import tables
+from orewright.sources import folders, tables
 from orewright.sources.adapters import Given, shared
 
 BUCKETS = 8
+BUCKET_BYTES = 16 << 20
+
+
+def bucket_count(sizes: int) -> int:
+    """Buckets for given files of so many bytes: one task reads a bucket, so it holds ``BUCKET_BYTES`` of them at most."""
+    count = BUCKETS
+    while count * BUCKET_BYTES < sizes:
+        count *= 2
+    return count
 
 
 def bucketed(g: Given, key: str, sources: dict[str, tuple[str, Callable[[Given], DataFrame]]]) -> list[DataFrame]:
-    """Tables stored in buckets of a key that they share, each kept for as long as the given table it comes from."""
+    """Tables stored in buckets of a key that they share, as many for each, kept for as long as the given table it comes from."""
+    buckets = bucket_count(sum(folders.signature(g.spark, g.path(source))[0] for source, _ in sources.values()))
+
     def stored(name: str, source: str, build: Callable[[Given], DataFrame]) -> DataFrame:
         def write(path: str) -> None:
-            tables.write_bucketed(build(g), _named(g, path, name), key, BUCKETS)
+            tables.write_bucketed(build(g), _named(g, path, name), key, buckets)
 
-        return tables.table(g.spark, _named(g, g.kept(f"{name}-buckets", [source], write), name))
+        return tables.table(g.spark, _named(g, g.kept(f"{name}-{buckets}-buckets", [source], write), name))
 
     return [stored(name, source, build) for name, (source, build) in sources.items()]
 

@@ -142,6 +142,18 @@ def test_no_exchange_under_the_large_join(spark, sample, name):
     assert plan.count("BroadcastHashJoin") <= 5
 
 
+def test_buckets_grow_in_number_not_in_size(spark, sample, monkeypatch):
+    assert [stored.bucket_count(n << 20) for n in (0, 128, 129, 1024, 6144)] == [8, 8, 16, 64, 512]
+    names = ["fact_sales_bucketed", "gl_totals_bucketed", "fact_gl_activity_bucketed"]
+    before = {n: values(QUERIES[n].run(spark, sample)) for n in names}
+    monkeypatch.setattr(stored, "BUCKET_BYTES", 8 << 10)
+    for name in names:
+        df = QUERIES[name].run(spark, sample)
+        plan = plan_of(df)
+        assert plan.count("SelectedBucketsCount: 32 out of 32") == 2
+        assert values(df) == before[name]
+
+
 # --- distinct counts -----------------------------------------------------------------------------------------
 
 
