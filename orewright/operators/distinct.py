@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NO_BITS = bytes(4096)
@@ -25,13 +25,14 @@ def id_sets(rows: DataFrame, ids: str, by: Sequence[str]) -> DataFrame:
     where = rows.filter(F.col(ids).isNotNull()).select(
         *by, F.bitmap_bucket_number(ids).alias("block"), F.bitmap_bit_position(ids).cast("smallint").alias("place")
     )
-    return _blocks(where.distinct(), by)
+    # Dealt out by block first: else every map task would send a bitmap for each block it meets.
+    return _blocks(where.distinct().repartition(*by, "block"), by)
 
 
 def _blocks(places: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Sets of distinct places that lie together by block."""
     keys = [*by, "block"]
-    # Dealt out by block first: else every map task would send a bitmap for each block it meets.
-    held = places.repartition(*keys).groupBy(*keys).agg(
+    held = places.groupBy(*keys).agg(
         F.sort_array(F.collect_list("place")).alias("places"), F.bitmap_construct_agg(F.col("place").cast("long")).alias("bits")
     )
     few = F.size("places") <= FEW
@@ -41,10 +42,12 @@ def _blocks(places: DataFrame, by: Sequence[str]) -> DataFrame:
 def merged_sets(sets: DataFrame, by: Sequence[str]) -> DataFrame:
     """The union of sets per coarser group, in the same form.
 
-    Lists meet as places, bitmaps by OR; where both occur in one block, the list is written as a bitmap too.
+    Lists meet as places, bitmaps by OR; where both occur in one block, the list is written as a bitmap too. Lists
+    travel as they are, once, and are spelled out where they meet: a block gets ``FEW`` places at most from each group.
     """
     keys = [*by, "block"]
-    lists = _blocks(sets.filter("places is not null").select(*keys, F.explode("places").alias("place")).distinct(), by)
+    lists = sets.filter("places is not null").select(*keys, "places").repartition(*keys)
+    lists = _blocks(lists.select(*keys, F.explode("places").alias("place")).distinct(), by)
     maps = sets.filter("bits is not null").select(*keys, F.lit(None).cast("array<smallint>").alias("places"), "bits")
     together = lists.unionByName(maps).groupBy(*keys).agg(
         F.count("bits").alias("maps"), F.max("places").alias("places"), F.bitmap_or_agg(F.coalesce("bits", F.lit(NO_BITS))).alias("bits")
@@ -58,10 +61,14 @@ def merged_sets(sets: DataFrame, by: Sequence[str]) -> DataFrame:
     return alone.unionByName(full.select(*keys, F.lit(None).cast("array<smallint>").alias("places"), "bits"))
 
 
+def size() -> Column:
+    """Number of ids in a stored block."""
+    return F.coalesce(F.when(F.col("places").isNotNull(), F.size("places")).cast("long"), F.bitmap_count("bits"))
+
+
 def set_sizes(sets: DataFrame, by: Sequence[str], name: str) -> DataFrame:
     """Number of distinct ids per group of stored sets."""
-    size = F.coalesce(F.size("places").cast("long"), F.bitmap_count("bits"))
-    return merged_sets(sets, by).groupBy(*by).agg(F.sum(size).alias(name))
+    return merged_sets(sets, by).groupBy(*by).agg(F.sum(size()).alias(name))
 
 
 def not_in_set(rows: DataFrame, ids: str, sets: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orewright.functions.numbers import safe_divide
@@ -102,17 +102,22 @@ COUNTS = {
 GRAINS = {
     "all": [], "day": ["order_date"], "month": ["order_month"], "channel": ["channel"], "month x channel": ["order_month", "channel"],
 }
+FINE = ["order_date", "channel", "status"]
+SHOWN = ["order_date", "order_month", "channel"]
 _MONTH = "strftime(order_date, '%Y-%m')"
 
 
+def month_of_day() -> Column:
+    return F.date_format("order_date", "yyyy-MM")
+
+
 def sales_sets(g: Given) -> DataFrame:
     """Customers and orders as sets per day, channel and class of status: the one table all counts come from."""
     def write(path: str) -> None:
         ok = retail.recognized(F.col("order_status"))
         sold = retail_plans.sales(g).withColumn("status", F.when(ok, "yes").when(~ok, "no").otherwise("blank"))
-        fine = ["order_date", "channel", "status"]
         sets = [
-            distinct.id_sets(sold, column, fine).withColumn("kind", F.lit(kind))
+            distinct.id_sets(sold, column, FINE).withColumn("kind", F.lit(kind))
             for kind, column in (("customers", "customer_id"), ("orders", "order_id"))
         ]
         sets[0].unionByName(sets[1]).write.partitionBy("kind").parquet(path)
@@ -120,6 +125,16 @@ def sales_sets(g: Given) -> DataFrame:
     return g.spark.read.parquet(g.kept("sales-sets", ["lineitem", "orders"], write))
 
 
+def customer_sets_by_month(g: Given) -> DataFrame:
+    """The sets of customers per month, channel and class of status, which all grains coarser than a day are merged from."""
+    def write(path: str) -> None:
+        sets = sales_sets(g).filter("kind = 'customers'").withColumn("order_month", month_of_day())
+        distinct.merged_sets(sets, ["order_month", "channel", "status"]).write.parquet(path)
+
+    held = g.spark.read.parquet(g.kept("customer-sets-by-month", ["lineitem", "orders"], write))
+    return held.withColumns({"kind": F.lit("customers"), "order_date": F.lit(None).cast("date")})
+
+
 def _grain_sql(name: str, columns: list[str]) -> str:
     shown = {"order_date": "CAST(order_date AS VARCHAR)", "order_month": _MONTH, "channel": "channel"}
     keys = ", ".join(f"{shown[c] if c in columns else 'CAST(NULL AS VARCHAR)'} AS {c}" for c in shown)
@@ -131,20 +146,28 @@ def _grain_sql(name: str, columns: list[str]) -> str:
 @query("A-14", "M-03", "M-04", sql="\nUNION ALL ".join(_grain_sql(n, c) for n, c in GRAINS.items()))
 def distinct_by_grain(g: Given) -> DataFrame:
     """Distinct customers and orders at five grains from one stored table of sets."""
-    day, channel = F.col("order_date"), F.col("channel")
-    values = {"order_date": day.cast("string"), "order_month": F.date_format(day, "yyyy-MM"), "channel": channel}
+    by_day = sales_sets(g).withColumn("order_month", month_of_day())
+    customers = [
+        distinct.set_sizes(_asked(sets, "customers", grains, ["block", "places", "bits"]), ["grain", *SHOWN, "name"], "n")
+        for sets, grains in ((by_day, ["day"]), (customer_sets_by_month(g), ["all", "month", "channel", "month x channel"]))
+    ]
+    # An order has one day, channel and status, so it is in one set and sizes of sets add up.
+    held = by_day.filter("kind = 'orders'").groupBy("kind", *FINE, "order_month").agg(F.sum(distinct.size()).alias("n"))
+    sizes = customers[0].unionByName(customers[1]).unionByName(_asked(held, "orders", list(GRAINS), ["n"]))
+    shown = [F.coalesce(F.sum(F.when(F.col("name") == c, F.col("n"))), F.lit(0)).alias(c) for c in COUNTS]
+    return sizes.groupBy("grain", *SHOWN).agg(*shown)
+
+
+def _asked(rows: DataFrame, kind: str, grains: list[str], columns: list[str]) -> DataFrame:
+    """Rows of a kind once for each of the grains and each count that takes their status: grain, ``SHOWN``, name and the columns."""
     nothing = F.lit(None).cast("string")
     grain = F.explode(F.array(*[
-        F.struct(F.lit(n).alias("grain"), *[(v if c in columns else nothing).alias(c) for c, v in values.items()])
-        for n, columns in GRAINS.items()
+        F.struct(F.lit(n).alias("grain"), *[(F.col(c).cast("string") if c in GRAINS[n] else nothing).alias(c) for c in SHOWN]) for n in grains
     ])).alias("g")
-    counted = [F.when((F.col("kind") == kind) & F.col("status").isin(*classes), name) for name, (kind, classes) in COUNTS.items()]
-    asked = sales_sets(g).select("block", "places", "bits", F.filter(F.array(*counted), lambda c: c.isNotNull()).alias("names"), grain)
-    asked = asked.select("block", "places", "bits", "g.*", F.explode("names").alias("name"))
-    keys = ["grain", *values]
-    sizes = distinct.set_sizes(asked, [*keys, "name"], "n")
-    shown = [F.coalesce(F.sum(F.when(F.col("name") == c, F.col("n"))), F.lit(0)).alias(c) for c in COUNTS]
-    return sizes.groupBy(*keys).agg(*shown)
+    counted = [F.when(F.col("status").isin(*classes), name) for name, (of, classes) in COUNTS.items() if of == kind]
+    names = F.filter(F.array(*counted), lambda c: c.isNotNull()).alias("names")
+    asked = rows.filter(F.col("kind") == kind).select(*columns, names, grain)
+    return asked.select(*columns, "g.*", F.explode("names").alias("name"))
 
 
 @query("J-17", "D-03", sql="""
