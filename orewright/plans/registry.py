@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from orewright.functions.numbers import stable_round
 from orewright.plans.checks import over
-from orewright.session import tune
+from orewright.session import spread, tune
+from orewright.sources import folders
 from orewright.sources.adapters import Given
 
 RATIO_DIGITS = 6
@@ -26,7 +27,8 @@ class Query:
     ratios: tuple[str, ...]
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        return portable(self.build(Given(tune(spark), folder)), self.ratios)
+        spread(tune(spark), folders.signature(spark, folder)[0])
+        return portable(self.build(Given(spark, folder)), self.ratios)
 
 
 REGISTRY: dict[str, Query] = {}

@@ -106,12 +106,14 @@ def report_salary_vs_tenure(g: Given) -> DataFrame:
     SELECT journal_entry_id, account_id, account_name, account_type, cost_center_name, sum(debit_amount) AS debits,
       sum(credit_amount) AS credits FROM gl GROUP BY ALL""", real=["debits", "credits"])
 def report_gl_drill_through(g: Given) -> DataFrame:
-    """Entry totals by account and cost center, from the star fact and its dimensions."""
-    keys = ["journal_entry_id", "account_key", "cost_center_key"]
-    sums = ledger.fact(g).groupBy(*keys).agg(F.sum("debit_amount").alias("debits"), F.sum("credit_amount").alias("credits"))
-    named = gl.drill_through(sums, gl.dim_accounts(ledger.accounts(g)), gl.dim_cost_centers(ledger.centers(g)))
+    """Entry totals by account and cost center, from the star fact and its dimensions.
+
+    Summed once, under what is shown: hardly a line shares its entry, account and center with another, so sums by key
+    in between would hold every line once more.
+    """
+    named = gl.drill_through(ledger.fact(g), gl.dim_accounts(ledger.accounts(g)), gl.dim_cost_centers(ledger.centers(g)))
     shown = ["journal_entry_id", "account_id", "account_name", "account_type", "cost_center_name"]
-    return named.groupBy(*shown).agg(F.sum("debits").alias("debits"), F.sum("credits").alias("credits"))
+    return named.groupBy(*shown).agg(F.sum("debit_amount").alias("debits"), F.sum("credit_amount").alias("credits"))
 
 
 @query("V-09", "A-10", sql="""

@@ -142,6 +142,19 @@ def test_no_exchange_under_the_large_join(spark, sample, name):
     assert plan.count("BroadcastHashJoin") <= 5
 
 
+def test_exchanges_start_with_partitions_by_size(spark, sample, monkeypatch):
+    monkeypatch.setattr("orewright.session.PARTITION_BYTES", 16 << 10)
+    size = folders.signature(spark, sample)[0]
+    plan = plan_of(QUERIES["report_gl_drill_through"].run(spark, sample))
+    assert f", {size >> 14}), ENSURE_REQUIREMENTS" in plan and size >> 14 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One sum, in two steps; the dates' join has none.
+    assert plan.count("sum(debit_amount") == 2
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16MB"
+    monkeypatch.undo()
+    QUERIES["report_gl_drill_through"].run(spark, sample)
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+
+
 def test_buckets_grow_in_number_not_in_size(spark, sample, monkeypatch):
     assert [stored.bucket_count(n << 20) for n in (0, 128, 129, 1024, 6144)] == [8, 8, 16, 64, 512]
     names = ["fact_sales_bucketed", "gl_totals_bucketed", "fact_gl_activity_bucketed"]
