@@ -187,6 +187,15 @@ def test_sets_merge_to_any_grain(spark, monkeypatch):
     assert values(distinct.not_in_set(child, "id", known), "k") == [(k,) for k, i in ((3, -70_001), (4, 39_999), (5, 1 << 40), (6, 0)) if i not in want]
 
 
+def test_lists_travel_once_and_spelled_out_ids_never(spark, sample):
+    sets = spark.createDataFrame([("a", 0, [1, 2], None), ("b", 0, [2, 3], None)], "x string, block long, places array<smallint>, bits binary")
+    merged = distinct.merged_sets(sets, ["x"])
+    assert [line for line in plan_of(merged).splitlines() if "Exchange" in line and "place#" in line.split("ENSURE")[0]] == []
+    assert values(distinct.set_sizes(sets, [], "n")) == [(3,)]
+    df = QUERIES["distinct_by_grain"].run(spark, sample)
+    assert any("/customer-sets-by-month-" in f for f in df.inputFiles())
+
+
 # --- folders of batches --------------------------------------------------------------------------------------
 
 ROWS = "k string, at timestamp, n long"
