@@ -104,8 +104,9 @@ class BitSet:
             F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), self._bit(F.col("hash")))).alias("bits")
         )
         held = [0] * (1 << self.bits - 6)
-        for row in rows.collect():  # at most 65,536 rows, whatever the benchmark
-            held[row["word"]] = row["bits"]
+        rows = rows.toArrow()  # at most 65,536 rows, whatever the benchmark
+        for word, bits in zip(rows["word"].to_pylist(), rows["bits"].to_pylist(), strict=True):
+            held[word] = bits
         self.words = F.split(F.lit(",".join(map(str, held))), ",").cast("array<bigint>")
 
     def _word(self, h: Column) -> Column:

@@ -81,11 +81,11 @@ def token_sketch(docs: DataFrame) -> np.ndarray:
 
     made = (
         docs.select("text").mapInArrow(count, "chunk int, counts binary")
-        .groupBy("chunk").applyInPandas(add, "chunk int, counts binary").toPandas()
+        .groupBy("chunk").applyInPandas(add, "chunk int, counts binary").toArrow()
     )
     sketch = np.zeros((1 << SKETCH_BITS) // SKETCH_CHUNK * SKETCH_CHUNK, np.uint16).reshape(-1, SKETCH_CHUNK)
     for chunk, counts in zip(made["chunk"], made["counts"], strict=True):
-        sketch[chunk] = np.frombuffer(counts, np.uint16)
+        sketch[chunk.as_py()] = np.frombuffer(counts.as_buffer(), np.uint16)
     return sketch.ravel()
 
 
@@ -220,7 +220,8 @@ def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
     reps = stored(reps, "reps")
 
     near = stored(_verified(docs, stored(_star_pairs(reps), "pairs"), reps, sketch), "near")
-    comp = components(near).withColumnRenamed("id", "doc_id")
+    stars = components(near)
+    comp = stars.withColumnRenamed("id", "doc_id")
     grouped = reps.select(*keys).join(comp, "doc_id", "left")
     grouped = stored(grouped.select(*keys, F.coalesce("component", "doc_id").alias("comp")), "grouped")
 
@@ -237,7 +238,7 @@ def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
     across = stored(_verified(docs, stored(_cross_pairs(rows), "pairs"), reps, sketch), "across")
 
     member = one.join(first, ["n", "f1", "f2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
-    links = near.unionAll(across)
+    links = stars.toDF("a", "b").unionAll(across)  # the stars stand for the links they come from
     final = components(links).withColumnRenamed("id", "rep")
     # A component's smallest representative is its smallest id: a class is represented by its smallest.
     return member.join(final, "rep", "left").select(

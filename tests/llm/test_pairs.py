@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orewright.llm import embedding_pairs, ngram_join
+from orewright.llm import base, embedding_pairs, ngram_join
 from orewright.llm.base import components
 from orewright.llm.embedding_pairs import embedding_links
 from orewright.llm.ngram_join import ngram_jaccard_join, prefix_length
@@ -99,6 +99,16 @@ def test_components_of_a_path_and_a_hub(ready):
     assert got == {**dict.fromkeys(range(31), 0), **dict.fromkeys(range(1000, 1050), 1000)}
 
 
+def test_components_take_no_step_beyond_stars(ready, monkeypatch):
+    steps, own = [], base._small_star
+    monkeypatch.setattr(base, "_small_star", lambda edges: steps.append(1) or own(edges))
+    for links, most in (([], 0), ([(1, 2), (3, 1), (8, 9), (5, 5), (2, 1)], 0), ([(1, 3), (2, 3)], 1)):
+        steps.clear()
+        got = {r.id: r.component for r in components(ready.createDataFrame(links, "a long, b long")).collect()}
+        assert got == {i: c for i, c in groups({i for x in links for i in x if x[0] != x[1]}, links and [x for x in links if x[0] != x[1]]).items()}
+        assert len(steps) <= most
+
+
 def vectors(draw, n, d):
     centers = draw.normal(size=(6, d))
     rows = []
