@@ -27,6 +27,7 @@ import os
 import re
 import zlib
 from array import array
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -149,8 +150,19 @@ _SPLITTING = {
 # Texts of printable ASCII and Latin-1 letters can be cut into the tokenizer's own pieces here, so that a piece
 # that comes again is looked up. All others are encoded whole by the library.
 _SIMPLE = re.compile(r"[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^\sa-z0-9\u00DF-\u00F6\u00F8-\u00FF]+")
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^\sa-z0-9\u00DF-\u00F6\u00F8-\u00FF]+|\n")
 _CACHE = 250_000  # chunks, and pieces, that an encoder keeps: about 100 MB of a worker's memory
+_TOGETHER = 4096  # pieces that are encoded at once
+
+
+def _gathered(ids: array, ends: array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the entries with these numbers of a store, one after the other, and where each entry begins and the last ends."""
+    ends = np.array(ends)
+    first, n = ends[at], ends[at + 1] - ends[at]
+    upto = np.concatenate(([0], np.cumsum(n)))
+    places = np.repeat(first - upto[:-1], n)
+    places += np.arange(len(places))
+    return np.array(ids, np.uint32)[places], upto
 
 
 class ChunkEncoder:
@@ -167,38 +179,62 @@ class ChunkEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.words = Tokenizer(self.tokenizer.model)
+        self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
         self.by_chunk = said.get("normalizer") == _NORMALIZER and said.get("pre_tokenizer") == _SPLITTING
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
-        self.pieces: dict[str, list[int]] = {}
+        # Lower-case letters become an upper-case letter or sign and another sign, so none is replaced twice.
+        self.letters = {chr(c): to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+        self.pieces: dict[str, int] = {"\n": 0}
+        self.piece_ids, self.piece_ends = array("I"), array("q", [0, 0])
         self._renew()
 
     def _renew(self) -> None:
         """Begin a new store of chunks; pieces, which cost most to encode, stay until they are too many themselves."""
         if len(self.pieces) > _CACHE:
-            self.pieces = {}
+            # The line feed between chunks is a piece without ids.
+            self.pieces, self.piece_ids, self.piece_ends = {"\n": 0}, array("I"), array("q", [0, 0])
+        # The first entry is the end of a text, whose id is put in afterwards.
         self.numbers: dict[str, int] = {}
-        self.ids, self.ends = array("I"), array("q", [0])
-
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(piece.translate(self.letters))]
-        return ids
-
-    def _number(self, chunk: str) -> int:
-        """The number of a chunk in the store, which it enters here."""
-        if _SIMPLE.fullmatch(chunk) and "<|" not in chunk:
-            for p in _PIECES.findall(chunk.lower()):
-                self.ids.extend(self._piece(p))
-        else:
-            self.ids.extend(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
-        self.ends.append(len(self.ids))
-        number = self.numbers[chunk] = len(self.ends) - 2
-        return number
+        self.ids, self.ends = array("I", [0]), array("q", [0, 1])
+
+    def _enter(self, chunks: list[str]) -> None:
+        """Give new chunks their numbers in the store, those of pieces all at once."""
+        simple = [c for c in chunks if _SIMPLE.fullmatch(c) and "<|" not in c]
+        if simple:
+            pieces = _PIECES.findall("\n".join(simple).lower() + "\n")
+            self._enter_pieces([p for p in dict.fromkeys(pieces) if p not in self.pieces])
+            at = np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
+            taken, upto = _gathered(self.piece_ids, self.piece_ends, at)
+            self._extend(simple, taken, upto[1:][at == 0])
+        if len(simple) < len(chunks):
+            among = set(simple)
+            for chunk in chunks:
+                if chunk not in among:
+                    ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+                    self._extend([chunk], np.array(ids, np.uint32), np.array([len(ids)]))
+
+    def _extend(self, chunks: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        first = len(self.ends) - 1
+        self.numbers.update(zip(chunks, range(first, first + len(chunks)), strict=True))
+        self.ends.frombytes((ends + len(self.ids)).astype(np.int64).tobytes())
+        self.ids.frombytes(ids.astype(np.uint32).tobytes())
+
+    def _enter_pieces(self, pieces: list[str]) -> None:
+        """Encode pieces by the tokenizer's model, as words of one text in its alphabet of bytes."""
+        for begin in range(0, len(pieces), _TOGETHER):
+            some = pieces[begin : begin + _TOGETHER]
+            text = " ".join(some)
+            for letter, in_bytes in self.letters.items():
+                text = text.replace(letter, in_bytes)
+            made = self.words.encode(text, add_special_tokens=False)
+            n = np.bincount(np.array(made.word_ids, np.int64), minlength=len(some))
+            first = len(self.piece_ends) - 1
+            self.pieces.update(zip(some, range(first, first + len(some)), strict=True))
+            self.piece_ends.frombytes((np.cumsum(n) + len(self.piece_ids)).astype(np.int64).tobytes())
+            self.piece_ids.extend(made.ids)
 
     def texts(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts, each text followed by the end id, and the number of ids of each text."""
@@ -210,21 +246,17 @@ class ChunkEncoder:
         bounds = lists.offsets.to_numpy()
         codes = pc.dictionary_encode(pc.list_flatten(lists))
         words = codes.indices.to_numpy()
-        known, new = self.numbers.get, self._number
-        numbers = [n if (n := known(w)) is not None else new(w) for w in codes.dictionary.to_pylist()]
-        ends = np.array(self.ends)
-        at = np.array(numbers, np.int64)[words] if len(words) else np.zeros(0, np.int64)
-        first, n = ends[at], ends[at + 1] - ends[at]
-        upto = np.concatenate(([0], np.cumsum(n)))
+        chunks = codes.dictionary.to_pylist()
+        at = np.fromiter(map(self.numbers.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(at < 0)
+        self._enter(missing := [chunks[i] for i in new])
+        at[new] = np.fromiter(map(self.numbers.__getitem__, missing), np.int64, len(new))
+        at = at[words]
         bounds = bounds - bounds[0]
-        lengths = upto[bounds[1:]] - upto[bounds[:-1]] + 1
-        # ids of the words, then the end ids put in behind each text
-        taken = np.array(self.ids, np.uint32)[np.repeat(first - upto[:-1], n) + np.arange(upto[-1])]
-        out = np.full(int(lengths.sum()), end, np.uint32)
-        inside = np.ones(len(out), bool)
-        inside[np.cumsum(lengths) - 1] = False
-        out[inside] = taken
-        return out, lengths
+        out, upto = _gathered(self.ids, self.ends, np.insert(at, bounds[1:], 0))
+        behind = upto[bounds[1:] + np.arange(1, len(bounds))]
+        out[behind - 1] = end
+        return out, np.diff(behind, prepend=0)
 
     def _whole(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The same by the library, text by text."""

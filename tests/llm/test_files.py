@@ -137,3 +137,25 @@ def test_queries_equal_their_check_sql(ready, sample, name):
 
 def test_every_operator_has_a_query():
     assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
+
+
+def test_new_chunks_are_encoded_together():
+    """The encoder asks its tokenizer once for many new chunks and agrees with it on each, also when its stores start anew."""
+    draw = random.Random(9)
+    chunks = ["".join(draw.choice("abcdEFß'.,0çÿÀ") for _ in range(draw.randint(1, 9))) for _ in range(3000)] + ["it's", "日本", "a<|b", "Ōe"]
+    texts = [None, "", *(" ".join(draw.choices(chunks, k=40)) for _ in range(300))]
+    encoder, asked = ChunkEncoder(PATH), 0
+
+    class Counted:
+        def encode(self, *args, _own=encoder.words, **kwargs):
+            nonlocal asked
+            asked += 1
+            return _own.encode(*args, **kwargs)
+
+    encoder.words = Counted()
+    for _ in range(2):
+        ids, lengths = encoder.texts(pa.array(texts), 1)
+        want = [[*encoder.tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+        assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+        encoder._renew()
+    assert 1 <= asked <= 4
