@@ -13,8 +13,9 @@ classes, the same size for any corpus. A first guess comes from how often two cl
 in all training texts, at most ``CLASSES`` squared counts: states and moves are fitted to these pairs from several
 random starts, and the one that explains them best goes on to whole sequences.
 
-Long texts: training cuts sequences into runs of ``RUN`` tokens; scoring never does, it multiplies the transfer
-matrices of a long text's runs.
+Long texts: training cuts sequences into runs of ``RUN`` tokens; scoring never does, it takes all texts of a slice
+one token further at a time and, where only a few long ones go on, multiplies the transfer matrices of their runs.
+A chunk's tokens are made once; what depends on a word alone is worked out once for each distinct word of the chunk.
 
 Defined cases: a missing or empty text is an end alone. Rows without an id are training rows. Every row gives one row, also rows with
 equal ids. Without training rows all words are unknown. An empty table gives an empty result. Other columns are ignored.
@@ -22,6 +23,7 @@ equal ids. Without training rows all words are unknown. An empty table gives an
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -41,6 +43,7 @@ END_CLASS = CLASSES - 1
 END_WORD = np.uint64(0x0E4D)
 ROUNDS = 2
 RUN = 1024
+FEW = 16
 GAPS = (1, 4, 16)
 STARTS = 8
 CHUNK_CHARS = 12_000_000
@@ -66,12 +69,26 @@ def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out_h, out_t, begin
 
 
+def _distinct(hashes: np.ndarray, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words of tokens, their tails, and which of them each token is."""
+    coded = pa.array(hashes).dictionary_encode()
+    words, at = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    of_words = np.empty(len(words), np.int64)
+    of_words[at] = tails
+    return words, of_words, at
+
+
 def _classes(hashes: np.ndarray, tails: np.ndarray, top: np.ndarray) -> np.ndarray:
     """Class of every token; ``top`` holds the sorted hashes of the words that are classes of their own."""
+    words, tails, each = _distinct(hashes, tails)
+    return _word_classes(words, tails, top)[each]
+
+
+def _word_classes(words: np.ndarray, tails: np.ndarray, top: np.ndarray) -> np.ndarray:
     out = TOP + tails
     if len(top):
-        at = np.minimum(np.searchsorted(top, hashes), len(top) - 1)
-        found = top[at] == hashes
+        at = np.minimum(np.searchsorted(top, words), len(top) - 1)
+        found = top[at] == words
         out[found] = at[found]
     out[tails < 0] = END_CLASS
     return out
@@ -88,80 +105,79 @@ class Chain:
         norm = lambda x: x / x.sum(-1, keepdims=True)
         return cls(norm(start + 0.1), norm(move + 0.1), norm(emit + 0.01))
 
-    def _by_length(self, begin: np.ndarray):
+    def _steps(self, seen: np.ndarray, begin: np.ndarray):
+        """Sequences by length, longest first, and their begins; how many have a token at each step, and what emits these, states by sequences."""
         length = np.diff(begin)
         order = np.argsort(-length, kind="stable")
-        steps = int(length[order[0]]) if len(order) else 0
-        alive = np.searchsorted(-length[order], -np.arange(1, steps + 1), "right")
-        return order, begin[:-1][order], alive
+        at, emit = begin[:-1][order], np.ascontiguousarray(self.emit.T)
+        alive = np.searchsorted(-length[order], -np.arange(1, (length[order[0]] if len(order) else 0) + 1), "right")
+        return order, at, alive, lambda t: emit.take(seen[at[: alive[t]] + t], 1)
+
+    def _step(self, now: np.ndarray | None, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States by sequences one token further, scaled to sum to one, and what they summed to; sequences that ended are left out."""
+        now = (self.start[:, None] if now is None else self.move.T @ now[:, : emit.shape[1]]) * emit
+        total = now.sum(0)
+        now /= total
+        return now, total
 
     def counts(self, seen: np.ndarray, begin: np.ndarray):
         """Expected starts, moves and emissions over sequences, and their log likelihood."""
         k = len(self.start)
-        order, at, alive = self._by_length(begin)
-        alpha = np.empty((len(seen), k))
-        scale = np.ones(len(seen))
-        now = None
+        _, at, alive, emitted = self._steps(seen, begin)
+        place = np.concatenate([[0], np.cumsum(alive)])  # of each step's first token where steps follow each other
+        alpha, scale, now = np.empty((k, len(seen))), np.empty(len(seen)), None
         for t, m in enumerate(alive):
-            now = (self.start if t == 0 else now[:m] @ self.move) * self.emit[seen[at[:m] + t]]
-            total = now.sum(1)
-            now /= total[:, None]
-            alpha[at[:m] + t], scale[at[:m] + t] = now, total
-        starts, moves = alpha[at].sum(0) * 0, np.zeros((k, k))
-        gamma = alpha  # becomes the states' weights, from the last step back
-        beta = np.ones((len(at), k))
-        for t in range(len(alive) - 2, -1, -1):
-            m = alive[t + 1]
-            here, after = at[:m] + t, at[:m] + t + 1
-            back = beta[:m] * self.emit[seen[after]] / scale[after][:, None]
-            moves += alpha[here].T @ back
-            gamma_after = alpha[after] * beta[:m]
-            beta[:m] = back @ self.move.T
-            gamma[after] = gamma_after
-        gamma[at] = alpha[at] * beta
-        starts = gamma[at].sum(0)
-        emits = np.stack([np.bincount(seen, gamma[:, s], CLASSES) for s in range(k)])
-        return starts, moves * self.move, emits, float(np.log(scale).sum())
+            now, total = self._step(now, emitted(t))
+            alpha[:, place[t] : place[t] + m], scale[place[t] : place[t] + m] = now, total
+        moves, beta = np.zeros((k, k)), np.ones((k, len(at)))
+        for t in range(len(alive) - 1, 0, -1):  # alpha becomes the states' weights, from the last step back
+            m = alive[t]
+            here, after = slice(place[t - 1], place[t - 1] + m), slice(place[t], place[t] + m)
+            back = emitted(t)
+            back *= beta[:, :m]
+            back /= scale[after]
+            moves += alpha[:, here] @ back.T
+            alpha[:, after] *= beta[:, :m]
+            beta[:, :m] = self.move @ back
+        alpha[:, : len(at)] *= beta
+        by_step = np.concatenate([np.zeros(0, np.int64), *(seen[at[:m] + t] for t, m in enumerate(alive))])
+        emits = np.stack([np.bincount(by_step, weights, CLASSES) for weights in alpha])
+        return alpha[:, : len(at)].sum(1), moves * self.move, emits, float(np.log(scale).sum())
 
     def log10_likelihoods(self, seen: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        """Of each sequence, exactly. Long ones go by the product of their runs' transfer matrices."""
-        length = np.diff(begin)
-        out = np.zeros(len(length))
-        short = np.flatnonzero(length <= RUN)
-        order = short[np.argsort(-length[short], kind="stable")]
-        at = begin[:-1][order]
-        alive = np.searchsorted(-length[order], -np.arange(1, (length[order[0]] if len(order) else 0) + 1), "right")
+        """Of each sequence, exactly. Once fewer than ``FEW`` go on, and for more than ``RUN`` tokens, they go by products of transfer matrices."""
+        order, at, alive, emitted = self._steps(seen, begin)
         sums, now = np.zeros(len(order)), None
         for t, m in enumerate(alive):
-            now = (self.start if t == 0 else now[:m] @ self.move) * self.emit[seen[at[:m] + t]]
-            total = now.sum(1)
-            now /= total[:, None]
+            if 0 < t < len(alive) - RUN and m < FEW:
+                for i in range(m):
+                    sums[i] += self._long(now[:, i], seen[at[i] + t : begin[order[i] + 1]])
+                break
+            now, total = self._step(now, emitted(t))
             sums[:m] += np.log10(total)
+        out = np.empty(len(order))
         out[order] = sums
-        for i in np.flatnonzero(length > RUN):
-            out[i] = self._long(seen[begin[i] : begin[i + 1]])
         return out
 
-    def _long(self, seen: np.ndarray) -> float:
-        k, n = len(self.start), len(seen) - 1
-        first = self.start * self.emit[seen[0]]
-        rest = seen[1:]
-        run = max(64, int(math.sqrt(n)))
-        runs = (n + run - 1) // run
-        made, logs = np.broadcast_to(np.eye(k), (runs, k, k)).copy(), np.zeros(runs)
+    def _long(self, now: np.ndarray, rest: np.ndarray) -> float:
+        """What a sequence's further tokens add, from its states before them."""
+        k, n = len(self.start), len(rest)
+        run = max(64, math.isqrt(n))
+        runs = n // run
+        emit = np.ascontiguousarray(self.emit.T)
+        made, logs, score = np.repeat(np.eye(k)[:, :, None], runs, 2), np.zeros(runs), 0.0  # state after, state before, run
         for t in range(run):
-            m = (n - t + run - 1) // run
-            part = (made[:m].reshape(-1, k) @ self.move).reshape(m, k, k) * self.emit[rest[np.arange(m) * run + t]][:, None, :]
-            total = part.sum((1, 2))
-            made[:m] = part / total[:, None, None]
-            logs[:m] += np.log10(total)
-        now = first / first.sum()
-        score = math.log10(first.sum())
-        for matrix, log in zip(made, logs, strict=True):
-            now = now @ matrix
+            made = (self.move.T @ made.reshape(k, -1)).reshape(k, k, runs)
+            made *= emit.take(rest[t : runs * run : run], 1)[:, None, :]
+            total = made.sum((0, 1))
+            made /= total
+            logs += np.log10(total)
+        tails = ((self.move * self.emit[o]).T for o in rest[runs * run :])
+        for matrix in itertools.chain(np.moveaxis(made, 2, 0), tails):
+            now = matrix @ now
             total = float(now.sum())
-            now, score = now / total, score + math.log10(total) + float(log)
-        return score
+            now, score = now / total, score + math.log10(total)
+        return score + float(logs.sum())
 
 
 def _runs(begin: np.ndarray) -> np.ndarray:
@@ -261,8 +277,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 h, t, _ = _tokens(part.column(0))
-                w, at, n = np.unique(h, return_index=True, return_counts=True)
-                words.append(w), tails.append(t[at]), sums.append(n)
+                w, t, each = _distinct(h, t)
+                words.append(w), tails.append(t), sums.append(np.bincount(each, minlength=len(w)))
                 if sum(map(len, words)) > 3_000_000:
                     yield flush()
         if words:
@@ -327,7 +343,7 @@ def language_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     )
 
     def own_words(group: pa.Table) -> pa.Table:
-        words, known = _own_counts(group)
+        words, _, known, _ = _own_counts(group)
         chunk = group["chunk"][0].as_py()
         return pa.table({"chunk": pa.array(np.full(len(words), chunk, np.int32)), "word": words.view(np.int64), "own": known})
 
@@ -346,35 +362,38 @@ def _parts(group: pa.Table):
         yield from slices(batch, "text", 8 << 20)
 
 
-def _own_counts(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """A chunk's distinct words and how often its training rows have each."""
-    words, sums = [np.zeros(0, np.uint64)], [np.zeros(0)]
+def _own_counts(group: pa.Table):
+    """A chunk's distinct words, their tails and how often its training rows have each; its parts as (rows, their distinct words'
+    places among the chunk's, which of them each token is, where each row's tokens begin)."""
+    parts, words, tails, sums = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0)]
     for part in _parts(group):
-        h, _, begin = _tokens(part.column(0))
+        h, t, begin = _tokens(part.column(0))
+        w, t, each = _distinct(h, t)
         training = np.repeat(part.column(2).to_numpy(zero_copy_only=False), np.diff(begin))
-        w, inverse = np.unique(h, return_inverse=True)
-        words.append(w), sums.append(np.bincount(inverse, training))
-    w, inverse = np.unique(np.concatenate(words), return_inverse=True)
-    return w, np.bincount(inverse, np.concatenate(sums), len(w)).astype(np.int64)
+        parts.append((part, each, begin))
+        words.append(w), tails.append(t), sums.append(np.bincount(each, training, len(w)))
+    words, at, merged = np.unique(np.concatenate(words), return_index=True, return_inverse=True)
+    known = np.bincount(merged, np.concatenate(sums), len(words)).astype(np.int64)
+    places = np.split(merged, np.cumsum([len(x) for x in sums[1:]]))
+    return words, np.concatenate(tails)[at], known, [(part, w, each, begin) for w, (part, each, begin) in zip(places, parts, strict=False)]
 
 
 def _scored(group: pa.Table, others: pa.Table, model: LanguageModel) -> pa.Table:
-    words, n = _own_counts(group)
+    words, tails, n, parts = _own_counts(group)
     if len(others) and len(words):
         n[np.searchsorted(words, others["word"].to_numpy().view(np.uint64))] = others["n"].to_numpy()
+    classes = _word_classes(words, tails, model.top)
+    bases = np.log10((n + 1) / (model.tokens + model.words + 1))
+    insides = np.where(classes == END_CLASS, 0.0, np.log10((n + 1) / (model.class_tokens[classes] + model.class_words[classes] + 1)))
     out = []
-    for part in _parts(group):
-        h, t, begin = _tokens(part.column(0))
-        c = n[np.searchsorted(words, h)]
-        seen = _classes(h, t, model.top)
-        base = np.log10((c + 1) / (model.tokens + model.words + 1))
-        inside = np.where(seen == END_CLASS, 0.0, np.log10((c + 1) / (model.class_tokens[seen] + model.class_words[seen] + 1)))
+    for part, w, each, begin in parts:
+        known, seen, base, inside = (n > 0)[w][each], classes[w][each], bases[w][each], insides[w][each]
         at = begin[:-1]
         out.append(
             pd.DataFrame(
                 {
                     "doc_id": part.column(1).to_pandas(integer_object_nulls=True), "held_out": ~part.column(2).to_numpy(zero_copy_only=False),
-                    "n_tokens": np.diff(begin), "n_known": np.add.reduceat((c > 0).astype(np.int64), at), "train_tokens": model.tokens,
+                    "n_tokens": np.diff(begin), "n_known": np.add.reduceat(known.astype(np.int64), at), "train_tokens": model.tokens,
                     "base_score": np.add.reduceat(base, at), "score": np.add.reduceat(inside, at) + model.chain.log10_likelihoods(seen, begin),
                 }
             )

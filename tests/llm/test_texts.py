@@ -168,6 +168,60 @@ def test_the_first_guess_counts_all_training_texts(ready):
     assert logs[0] < logs[1] < logs[2]
 
 
+def plain_log10(chain, seen):
+    """Of one sequence, step by step."""
+    now, score = chain.start * chain.emit[seen[0]], 0.0
+    for o in seen[1:]:
+        score += math.log10(now.sum())
+        now = (now / now.sum()) @ chain.move * chain.emit[o]
+    return score + math.log10(now.sum())
+
+
+@pytest.mark.parametrize("lengths", [[], [1], [2, 1, 2], [lm.RUN + 2], [5, 3000, 40, 1, 2500, 64, 1100, 2 * lm.RUN + 1, 7], [9] * 40 + [3000] * 3 + [2000]])
+def test_likelihoods_of_sequences_of_many_lengths(lengths):
+    draw = np.random.default_rng(3)
+    k = lm.STATES
+    chain = lm.Chain.from_counts(draw.random(k), draw.random((k, k)), draw.random((k, lm.CLASSES)))
+    seen, begin = draw.integers(0, lm.CLASSES, sum(lengths)), np.cumsum([0, *lengths])
+    want = [plain_log10(chain, seen[a:b]) for a, b in itertools.pairwise(begin)]
+    assert np.allclose(chain.log10_likelihoods(seen, begin), want, rtol=1e-12)
+    starts, moves, emits, log = chain.counts(seen, begin)
+    assert np.isclose(starts.sum(), len(lengths)) and np.isclose(moves.sum(), len(seen) - len(lengths))
+    assert np.allclose(emits.sum(0), np.bincount(seen, minlength=lm.CLASSES)) and np.isclose(log / math.log(10), sum(want))
+
+
+def test_a_chunk_is_cut_into_tokens_once(monkeypatch):
+    texts = [t or "" for t in odd_texts()] + ["one two one", "two", "three one two"]
+    training = [i % 3 > 0 for i in range(len(texts))]
+    column = pa.array(texts, pa.large_string())
+    group = pa.table({"doc_id": pa.array(range(len(texts))), "text": column, "training": training})
+    draw = np.random.default_rng(4)
+    k = lm.STATES
+    chain = lm.Chain.from_counts(draw.random(k), draw.random((k, k)), draw.random((k, lm.CLASSES)))
+    tokens = [lm._tokens(column[i : i + 1])[:2] for i in range(len(texts))]
+    counts = collections.Counter(itertools.chain(*(h.tolist() for (h, _), use in zip(tokens, training) if use)))
+    frequent = np.sort(np.array([w for w, _ in counts.most_common(6) if w != int(lm.END_WORD)], np.uint64))
+    elsewhere = {int(tokens[-1][0][0]): 7, int(tokens[-2][0][0]): 5}
+    counts.update(elsewhere)
+    others = pa.table({"word": np.array(list(elsewhere), np.uint64).view(np.int64), "n": [counts[w] for w in elsewhere]})
+    of_classes = draw.integers(50, 90, (2, lm.CLASSES)).astype(float)
+    model = lm.LanguageModel(chain, frequent, 1000, 300, *of_classes)
+    want = []
+    for h, t in tokens:
+        c = np.array([counts[w] for w in h.tolist()])
+        classes = lm._classes(h, t, frequent)
+        inside = sum(math.log10((n + 1) / (of_classes[:, x].sum() + 1)) for n, x in zip(c, classes) if x != lm.END_CLASS)
+        want.append((len(h), (c > 0).sum(), np.log10((c + 1) / 1301).sum(), inside + plain_log10(chain, classes)))
+    made = []
+    cut = lm._tokens
+    monkeypatch.setattr(lm, "slices", lambda batch, column, most: slices(batch, column, 300))
+    monkeypatch.setattr(lm, "_tokens", lambda column: made.append(len(column)) or cut(column))
+    found = lm._scored(group, others, model)
+    assert found["doc_id"].to_pylist() == list(range(len(texts))) and len(made) > 2
+    assert np.allclose(np.stack([found[c].to_numpy() for c in ("n_tokens", "n_known", "base_score", "score")], 1), want, rtol=1e-10)
+    assert sum(made) == len(texts)
+
+
 def test_language_scores_of_nothing(ready):
     assert language_scores(ready.createDataFrame([], "doc_id long, text string")).count() == 0
     assert language_scores(ready.createDataFrame([(5, None)], "doc_id long, text string")).count() == 1
